@@ -86,11 +86,7 @@ def absorption_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def absorption_series_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six assets beside a benchmark that is left out by name before the spectrum.
-
-    The ratio of the top eigenvalue and the number of components have no SQL
-    form here; spectrum_invariants checks the spectra they come from.
-    """
+    """Six assets beside a benchmark that is left out by name before the spectrum."""
     prices = materialise(with_benchmark(prices_of(spark, sf_dir, TYPES_DAY)), "prices")
     returns = materialise(P.simple_returns(P.aligned(P.exclude_asset(prices, "MKT"))), "returns")
     z = P.standardise(P.assert_absent(returns, "MKT"))
@@ -114,18 +110,26 @@ def _funds(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
     return P.simple_returns(named, pad=True)
 
 
+def _performance(found: DataFrame) -> DataFrame:
+    """Logs of the growth and of the ratio: the derived prices swing far more than real ones."""
+    logged = found.withColumns(
+        {"log_ret": F.log1p("ann_ret"), "log_sharpe": F.log(F.abs("sharpe"))}
+    )
+    return show(logged, ["universe", "n"], log_ret=6, ann_vol=6, log_sharpe=6)
+
+
 def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights from the flags' absorption ratio applied to the two funds."""
     weights = G.regime_weights(G.standardised_shift(_flag_series(spark, sf_dir)))
     found = G.backtest(weights, _funds(spark, sf_dir, TYPES_DAY))
-    return show(found, ["universe", "n"], ann_ret=6, ann_vol=6, sharpe=6)
+    return _performance(found)
 
 
 def backtest_lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with each weight applied on the following date."""
     weights = G.regime_weights(G.standardised_shift(_flag_series(spark, sf_dir)))
     found = G.backtest(weights, _funds(spark, sf_dir, TYPES_DAY), lag=1)
-    return show(found, ["universe", "n"], ann_ret=6, ann_vol=6, sharpe=6)
+    return _performance(found)
 
 
 def weekly_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +139,7 @@ def weekly_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = G.standardised_shift(series, 15, 63)
     weights = G.regime_weights(shift)
     strategy = G.backtest(weights, _funds(spark, sf_dir, TYPES_WEEK), periods_per_year=52)
-    return show(strategy, ["universe", "n"], ann_ret=6, ann_vol=6, sharpe=6)
+    return _performance(strategy)
 
 
 def _types_cov_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,8 +223,8 @@ _WEIGHTS = """weights AS (
 
 
 def _backtest(periods: int) -> str:
-    return f"""SELECT universe, n, {S.rnd('ann_ret', 6)} AS ann_ret, {S.rnd('ann_vol', 6)} AS ann_vol,
-       {S.rnd('ann_ret / ann_vol', 6)} AS sharpe
+    return f"""SELECT universe, n, {S.rnd('ln(1 + ann_ret)', 6)} AS log_ret, {S.rnd('ann_vol', 6)} AS ann_vol,
+       {S.rnd('ln(abs(ann_ret / ann_vol))', 6)} AS log_sharpe
 FROM (SELECT universe, count(*) AS n, exp(sum(ln(1 + r)) * {periods} / count(*)) - 1 AS ann_ret,
              stddev_samp(r) * sqrt({periods}) AS ann_vol
       FROM (SELECT universe, dt, sum(w * r) AS r FROM weights JOIN fund USING (universe, dt, asset)
@@ -251,6 +255,50 @@ _POWERS = [
         for p in range(2, 7)
     ],
 ]
+_SIX = [
+    *_POWERS,
+    "powers AS (SELECT * FROM "
+    + " JOIN ".join(
+        f"(SELECT {_KEYS}, sum(cov) AS t{p} FROM {'full_cov' if p == 1 else f'c{p}'} "
+        f"WHERE ai = aj GROUP BY {_KEYS})" + ("" if p == 1 else f" USING ({_KEYS})")
+        for p in range(1, 7)
+    )
+    + ")",
+    # Newton's identities: elementary symmetric sums, hence the characteristic polynomial.
+    f"""sym AS (
+    SELECT *, (e5 * t1 - e4 * t2 + e3 * t3 - e2 * t4 + e1 * t5 - t6) / 6 AS e6
+    FROM (SELECT *, (e4 * t1 - e3 * t2 + e2 * t3 - e1 * t4 + t5) / 5 AS e5
+    FROM (SELECT *, (e3 * t1 - e2 * t2 + e1 * t3 - t4) / 4 AS e4
+    FROM (SELECT *, (e2 * t1 - e1 * t2 + t3) / 3 AS e3
+    FROM (SELECT *, (e1 * t1 - t2) / 2 AS e2 FROM (SELECT *, t1 AS e1 FROM powers))))))""",
+    # Largest root by Newton steps from above, then division by it; six times.
+    f"""roots({_KEYS}, k, trace, poly, found) AS (
+    SELECT {_KEYS}, 0, t1, [1.0, -e1, e2, -e3, e4, -e5, e6]::DOUBLE[], []::DOUBLE[] FROM sym
+    UNION ALL
+    SELECT {_KEYS}, k + 1, trace,
+           list_reduce(list_transform(poly[1:6 - k], lambda c: [c]),
+                       lambda s, c: list_append(s, c[1] + x * s[len(s)])),
+           list_append(found, x)
+    FROM (SELECT *, list_reduce(list_transform(range(120), lambda z: trace),
+              lambda r, z: r - list_reduce(poly, lambda s, c: s * r + c)
+                  / list_reduce(list_transform(poly[1:6 - k], lambda c, i: c * (7 - k - i)),
+                                lambda s, c: s * r + c)) AS x
+          FROM roots WHERE k < 6))""",
+    f"""eig AS (
+    SELECT {_KEYS}, found[1] / trace AS top_share, 1 + len(list_filter(range(1, 7),
+           lambda j: list_sum(found[1:j]) / trace < 0.8)) AS components
+    FROM roots WHERE k = 6)""",
+]
+
+
+def _six_series(start: int, stop: int | None, period: int) -> str:
+    upper = "" if stop is None else f" AND ix < {stop}"
+    return f"""ar AS (
+    SELECT c.universe, c.dt, c.ix, top_share AS ar, components
+    FROM (SELECT * FROM cal WHERE ix >= {start}{upper}) c
+    JOIN eig e ON e.universe = c.universe AND e.ix = c.ix - (c.ix - {start}) % {period})"""
+
+
 _PCA = [
     *_FLAG_WINDOWS,
     """full_cov AS (
@@ -286,6 +334,15 @@ ORACLES = {
     "absorption_ratio": S.with_(*_UNIVERSE_EIGEN)
     + f"SELECT universe, {S.rnd('l1 / (l1 + l2 + l3)', 6)} AS ar FROM eig",
     "absorption_series": S.with_(*_AR) + f"SELECT {_KEYS}, components, {S.rnd('ar', 6)} AS ar FROM ar",
+    "absorption_series_types": S.with_(
+        *S.base(TYPES_DAY, standard=True), S.dates("zr"), S.schedule(START, 21, STOP),
+        S.window_cov("zr", LOOKBACK), *_SIX, _six_series(START, STOP, 21), recursive=True,
+    ) + f"SELECT {_KEYS}, components, {S.rnd('ar', 6)} AS ar FROM ar",
+    "weekly_strategy": S.with_(
+        *S.base(TYPES_WEEK, standard=True), S.dates("zr"), S.schedule(42, 1),
+        S.window_cov("zr", 42), *_SIX, _six_series(42, None, 1), _shift(15, 63), _WEIGHTS,
+        *_fund(TYPES_WEEK), recursive=True,
+    ) + _backtest(52),
     "ar_shift": S.with_(*_AR, _shift(15, 252))
     + f"SELECT universe, dt, {S.rnd('ar_short', 6)} AS ar_short, {S.rnd('ar_long', 6)} AS ar_long, "
     f"{S.rnd('ar_shift', 5)} AS ar_shift FROM shift",
