@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 TOLERANCE = 1e-12
+#: A bound missed by no more than this counts as met where nothing can move any more.
+STUCK_TOLERANCE = 1e-9
 
 
 def least_variance(
@@ -17,13 +19,15 @@ def least_variance(
     currently violated one is added until the limit holds.
     """
     bounds = list(bounds)
+    seen: set[bytes] = set()
     while True:
         w = _with_bounds(cov, bounds)
         if w is None or short_limit is None:
             return w
         negative = w < 0
-        if -w[negative].sum() <= short_limit + TOLERANCE:
+        if -w[negative].sum() <= short_limit + TOLERANCE or negative.tobytes() in seen:
             return w
+        seen.add(negative.tobytes())
         bounds.append((negative.astype(float), -short_limit))
 
 
@@ -61,7 +65,7 @@ def _with_bounds(cov: np.ndarray, bounds: list[tuple[np.ndarray, float]]) -> np.
             primal_step = (h_all[p] - g_all[p] @ w) / curvature if full else np.inf
             t = min(dual_step, primal_step)
             if np.isinf(t):
-                return None
+                return w if slack[p] >= -STUCK_TOLERANCE else None
             u = [v - t * s for v, s in zip(u, r_active)]
             u_p += t
             if full:

@@ -132,20 +132,23 @@ def fit_models(cov: DataFrame, start: int, step: int = 1, refresh: int = 252, sp
     ).select("universe", "ref_ix", "assets", "n_train", "m.*")
 
 
-@pandas_udf("kernel array<double>, shift double")
-def _trace_kernel(
-    size: pd.Series, enc: pd.Series, enc_bias: pd.Series, dec: pd.Series, dec_bias: pd.Series
-) -> pd.DataFrame:
-    kernels, shifts = [], []
-    for n, e, eb, d, db in zip(size, enc, enc_bias, dec, dec_bias):
-        down = np.asarray(e).reshape(n, -1)
-        up = np.asarray(d).reshape(-1, n)
-        product = down @ up
-        both = product + product.T
-        both[np.diag_indices(n)] /= 2
-        kernels.append(both[np.triu_indices(n)])
-        shifts.append(float((np.asarray(eb) @ up + np.asarray(db)).sum()))
-    return pd.DataFrame({"kernel": kernels, "shift": shifts})
+def _trace_kernel():
+    @pandas_udf("kernel array<double>, shift double")
+    def kernel(
+        size: pd.Series, enc: pd.Series, enc_bias: pd.Series, dec: pd.Series, dec_bias: pd.Series
+    ) -> pd.DataFrame:
+        kernels, shifts = [], []
+        for n, e, eb, d, db in zip(size, enc, enc_bias, dec, dec_bias):
+            down = np.asarray(e).reshape(n, -1)
+            up = np.asarray(d).reshape(-1, n)
+            product = down @ up
+            both = product + product.T
+            both[np.diag_indices(n)] /= 2
+            kernels.append(both[np.triu_indices(n)])
+            shifts.append(float((np.asarray(eb) @ up + np.asarray(db)).sum()))
+        return pd.DataFrame({"kernel": kernels, "shift": shifts})
+
+    return kernel
 
 
 def autoencoder_ratio(
@@ -155,7 +158,7 @@ def autoencoder_ratio(
 
     A date uses the model of its last refresh.
     """
-    k = _trace_kernel(F.size("assets"), "enc", "enc_bias", "dec", "dec_bias")
+    k = _trace_kernel()(F.size("assets"), "enc", "enc_bias", "dec", "dec_bias")
     kernels = models.select("universe", "ref_ix", k.alias("k")).select("universe", "ref_ix", "k.*")
     rows = matrix_rows(cov, ["universe", "dt", "ix"]).withColumn(
         "ref_ix", refresh_row(F.col("ix"), start, step, refresh)

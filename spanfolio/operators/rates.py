@@ -119,26 +119,54 @@ def zero_coupon(level: str, maturity: str, growth: float = STATE_GROWTH, face: f
     )
 
 
-def swap_states(level: str, strike: str, exercise: str, growth: float = STATE_GROWTH) -> Column:
-    """Value per unit notional of a payer swap at each state of its exercise date.
+def _legs(level: str, paid: str, growth: float) -> str:
+    """Value at every node of a leg that pays ``paid`` per period in arrears, list by time step."""
+    rate = f"{level}[i] * exp({growth}D * j)"
+    return f"""slice(aggregate(sequence(size({level}) - 1, 0, -1), array(array_repeat(0D, size({level}) + 1)),
+        (v, i) -> concat(array(transform(sequence(0, i), j ->
+            (0.5D * (v[0][j] + v[0][j + 1]) + {paid.format(rate=rate)}) / (1D + {rate}))), v)),
+        1, size({level}))"""
 
-    Payments run from there to the last tenor of the curve, each in arrears of
-    the rate it is based on.
+
+def _state_prices(level: str, growth: float) -> str:
+    """Value today of 1 paid in each state of each time step."""
+
+    def half(j: str) -> str:
+        return f"0.5D * q[i][{j}] / (1D + {level}[i] * exp({growth}D * ({j})))"
+
+    return f"""slice(aggregate(sequence(0, size({level}) - 1), array(array(1D)),
+        (q, i) -> concat(q, array(transform(sequence(0, i + 1), j ->
+            IF(j <= i, {half('j')}, 0D) + IF(j >= 1, {half('j - 1')}, 0D))))),
+        1, size({level}))"""
+
+
+def swap_lattices(levels: DataFrame, growth: float = STATE_GROWTH) -> DataFrame:
+    """``(curve_id, exercise, floating, annuity, state_price)``, lists over the states of a date.
+
+    The legs run from the exercise date to the last tenor. A swap is linear in
+    its strike, so one lattice serves every strike of a curve and date.
     """
-    return F.expr(
-        f"""aggregate(sequence(size({level}) - 1, {exercise}, -1), array_repeat(0D, size({level}) + 1),
-            (v, i) -> transform(sequence(0, i), j ->
-                (0.5D * (v[j] + v[j + 1]) + {level}[i] * exp({growth}D * j) - {strike})
-                / (1D + {level}[i] * exp({growth}D * j))))"""
+    lists = levels.where("status = 'ok'").select(
+        "curve_id",
+        F.expr(_legs("level", "{rate}", growth)).alias("floating"),
+        F.expr(_legs("level", "1D", growth)).alias("annuity"),
+        F.expr(_state_prices("level", growth)).alias("state_price"),
+    )
+    nodes = F.posexplode(F.arrays_zip("floating", "annuity", "state_price")).alias("exercise", "x")
+    return lists.select("curve_id", nodes).select(
+        "curve_id", F.col("exercise").cast("long").alias("exercise"), "x.*"
     )
 
 
-def swaption_value(level: str, states: str, exercise: str, growth: float = STATE_GROWTH) -> Column:
+def swap_states(strike: str) -> Column:
+    """Value per unit notional of a payer swap at each state of its exercise date."""
+    return F.expr(f"zip_with(floating, annuity, (f, a) -> f - {strike} * a)")
+
+
+def swaption_value(states: str) -> Column:
     """Value at time 0 of the right to enter the swap at its one exercise date."""
     return F.expr(
-        f"""aggregate(sequence({exercise} - 1, 0, -1), transform({states}, s -> greatest(s, 0D)),
-            (v, i) -> transform(sequence(0, i), j ->
-                0.5D * (v[j] + v[j + 1]) / (1D + {level}[i] * exp({growth}D * j))))[0]"""
+        f"aggregate(zip_with({states}, state_price, (s, q) -> greatest(s, 0D) * q), 0D, (t, v) -> t + v)"
     )
 
 
@@ -169,19 +197,17 @@ def positions(contracts: DataFrame, terms: list[str], amount: str) -> DataFrame:
 def price_swaps(contracts: DataFrame, levels: DataFrame, strike: Column) -> DataFrame:
     """Positions with ``states`` (swap at exercise) and ``unit`` (swaption now), per unit notional.
 
-    ``levels`` is :func:`calibrate` output; curves that could not be fitted have
-    no price and their positions carry nulls.
+    ``levels`` is :func:`calibrate` output. Positions on a curve that could not
+    be fitted carry nulls.
     """
     held = positions(contracts, ["curve_id", "desk", "strike_step", "exercise"], "notional")
-    fitted = levels.select("curve_id", "status", "level")
-    priced = (
-        held.join(fitted, "curve_id", "left")
+    return (
+        held.join(swap_lattices(levels), ["curve_id", "exercise"], "left")
         .withColumn("strike", strike)
-        .withColumn("ex", F.col("exercise").cast("int"))
-        .withColumn("states", swap_states("level", "strike", "ex"))
-        .withColumn("unit", swaption_value("level", "states", "ex"))
+        .withColumn("states", swap_states("strike"))
+        .withColumn("unit", swaption_value("states"))
+        .drop("floating", "annuity", "state_price")
     )
-    return priced.drop("ex", "level")
 
 
 def bond_values(bonds: DataFrame) -> DataFrame:

@@ -20,12 +20,17 @@ def aligned_prices(spark: SparkSession, sf_dir: str, spec: PanelSpec) -> DataFra
     return aligned(prices_of(spark, sf_dir, spec))
 
 
-def returns_of(
-    spark: SparkSession, sf_dir: str, spec: PanelSpec, standard: bool = False
-) -> DataFrame:
+def returns_of(spark: SparkSession, sf_dir: str, spec: PanelSpec) -> DataFrame:
     """Aligned returns, written once for the same reason."""
-    returns = materialise(simple_returns(aligned_prices(spark, sf_dir, spec)), "returns")
-    return standardise(returns) if standard else returns
+    return materialise(simple_returns(aligned_prices(spark, sf_dir, spec)), "returns")
+
+
+def standardised_of(
+    spark: SparkSession, sf_dir: str, spec: PanelSpec
+) -> tuple[DataFrame, DataFrame]:
+    """Standardised returns and their calendar, which needs the dates only."""
+    returns = returns_of(spark, sf_dir, spec)
+    return standardise(returns), dates_of(returns)
 
 
 def dates_of(panel: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanfolio.operators import panel as P
 from spanfolio.operators import rolling as R
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import aligned_prices, dates_of, prices_of, returns_of, show
+from spanfolio.plans.common import aligned_prices, dates_of, prices_of, show, standardised_of
 from spanfolio.sources import sheets
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
@@ -16,11 +16,12 @@ from spanfolio.sources.tables import (
     FLAGS_DAY,
     TYPES_DAY,
     TYPES_WEEK,
+    period_start,
     price_panel,
     read_table,
     with_benchmark,
 )
-from spanfolio.sources.workspace import new_path
+from spanfolio.sources.workspace import materialise, new_path
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 KEY = ["universe", "dt", "asset"]
@@ -49,7 +50,7 @@ def panel_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = (
         read_table(spark, sf_dir, "lineitem")
         .join(read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.date_trunc("week", "l_shipdate").cast("date").alias("dt"), F.col("p_type").alias("asset"))
+        .groupBy(period_start(F.col("l_shipdate"), "week").alias("dt"), F.col("p_type").alias("asset"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg(F.col("l_extendedprice") / F.nullif("l_quantity", F.lit(0.0))).alias("p"),
@@ -122,7 +123,7 @@ def padded_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show(returns_of(spark, sf_dir, BRANDS_WEEK, standard=True), [*KEY, "ix"], r=6)
+    return show(standardised_of(spark, sf_dir, BRANDS_WEEK)[0], [*KEY, "ix"], r=6)
 
 
 def past_standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +158,7 @@ def rolling_std(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scheduled_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean return of each 21st row, carried to the rows after it."""
     returns = P.simple_returns(aligned_prices(spark, sf_dir, FLAGS_DAY))
-    per_date = returns.groupBy("universe", "dt", "ix").agg(F.avg("r").alias("r"))
+    per_date = materialise(returns.groupBy("universe", "dt", "ix").agg(F.avg("r").alias("r")), "series")
     grid = P.evaluation_grid(per_date.select("universe", "dt", "ix"), 1512, 2520, 1)
     due = P.evaluation_grid(per_date, 1512, 2520, 21)
     carried = R.carry_forward(grid, due, 1512, 1, 21)

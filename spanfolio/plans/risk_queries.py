@@ -9,7 +9,7 @@ from spanfolio.operators import moments as M
 from spanfolio.operators import panel as P
 from spanfolio.operators import risk as K
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import dates_of, returns_of, show
+from spanfolio.plans.common import returns_of, show, standardised_of
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
     BRANDS_WEEK,
@@ -77,35 +77,35 @@ def trace_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, TYPES_DAY, standard=True)
-    return show(M.rolling_cov(z, dates_of(z), 504, 21, 1512, 2520), WINDOW_PAIR, cov=6)
+    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
+    return show(M.rolling_cov(z, dates, 504, 21, 1512, 2520), WINDOW_PAIR, cov=6)
 
 
 def rolling_cov_every_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, TYPES_WEEK, standard=True)
-    return show(M.rolling_cov(z, dates_of(z), 104, 1, 150), WINDOW_PAIR, cov=6)
+    z, dates = standardised_of(spark, sf_dir, TYPES_WEEK)
+    return show(M.rolling_cov(z, dates, 104, 1, 150), WINDOW_PAIR, cov=6)
 
 
 def snapshot_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five matrices, 60 rows apart."""
-    z = returns_of(spark, sf_dir, TYPES_DAY, standard=True)
-    return show(M.rolling_cov(z, dates_of(z), 504, 60, 1000, 1300), WINDOW_PAIR, cov=6)
+    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
+    return show(M.rolling_cov(z, dates, 504, 60, 1000, 1300), WINDOW_PAIR, cov=6)
 
 
 def expanding_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, TYPES_DAY, standard=True)
-    return show(M.expanding_cov(z, dates_of(z), 21, 1512, 2520), WINDOW_PAIR, cov=6)
+    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
+    return show(M.expanding_cov(z, dates, 21, 1512, 2520), WINDOW_PAIR, cov=6)
 
 
 def weighted_window_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, TYPES_DAY, standard=True)
-    found = M.weighted_window_cov(z, dates_of(z), 504, 21, 1512, 252.0, stop=2520)
+    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
+    found = M.weighted_window_cov(z, dates, 504, 21, 1512, 252.0, stop=2520)
     return show(found.withColumn("cov", F.col("cov") * 1e6), WINDOW_PAIR, cov=6)
 
 
 def weighted_window_cov_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, TYPES_DAY, standard=True)
-    found = M.weighted_window_cov(z, dates_of(z), 504, 21, 1512, 252.0, "recent_first", 2520)
+    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
+    found = M.weighted_window_cov(z, dates, 504, 21, 1512, 252.0, "recent_first", 2520)
     return show(found.withColumn("cov", F.col("cov") * 1e6), WINDOW_PAIR, cov=6)
 
 

@@ -17,7 +17,7 @@ from spanfolio.operators import rolling as R
 from spanfolio.operators import signal as G
 from spanfolio.operators import spectrum as C
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import aligned_prices, dates_of, prices_of, returns_of, show
+from spanfolio.plans.common import dates_of, prices_of, returns_of, show, standardised_of
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
     FLAGS_DAY,
@@ -32,8 +32,8 @@ LOOKBACK, START, STOP = 504, 1512, 2520
 
 
 def _window_cov(spark: SparkSession, sf_dir: str, spec, step: int = 21) -> DataFrame:
-    z = returns_of(spark, sf_dir, spec, standard=True)
-    return M.rolling_cov(z, dates_of(z), LOOKBACK, step, START, STOP)
+    z, dates = standardised_of(spark, sf_dir, spec)
+    return M.rolling_cov(z, dates, LOOKBACK, step, START, STOP)
 
 
 def spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +77,8 @@ def absorption_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = returns_of(spark, sf_dir, FLAGS_DAY, standard=True)
-    return C.absorption_series(z, dates_of(z), LOOKBACK, START, STOP)
+    z, dates = standardised_of(spark, sf_dir, FLAGS_DAY)
+    return C.absorption_series(z, dates, LOOKBACK, START, STOP)
 
 
 def absorption_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,8 +134,8 @@ def backtest_lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole chain on weekly prices with windows short enough for the smallest tables."""
-    z = returns_of(spark, sf_dir, TYPES_WEEK, standard=True)
-    series = C.absorption_series(z, dates_of(z), 42, 42, None, refresh=1)
+    z, dates = standardised_of(spark, sf_dir, TYPES_WEEK)
+    series = C.absorption_series(z, dates, 42, 42, None, refresh=1)
     shift = G.standardised_shift(series, 15, 63)
     weights = G.regime_weights(shift)
     strategy = G.backtest(weights, _funds(spark, sf_dir, TYPES_WEEK), periods_per_year=52)

@@ -20,6 +20,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def period_start(when: Column, grain: str) -> Column:
+    """First date of the day, week (from Monday) or month of a timestamp without zone.
+
+    Works on the date; truncating the timestamp would convert every row between zones.
+    """
+    day = when.cast("date")
+    return day if grain == "day" else F.trunc(day, grain)
+
+
 @dataclass(frozen=True)
 class PanelSpec:
     """Which columns of ``lineitem`` and ``part`` name the universe and the asset."""
@@ -59,7 +68,7 @@ def price_panel(spark: SparkSession, sf_dir: str, spec: PanelSpec) -> DataFrame:
     universe = F.col(spec.universe) if spec.universe else F.lit(ONE_UNIVERSE)
     return lines.groupBy(
         universe.alias("universe"),
-        F.date_trunc(spec.grain, "l_shipdate").cast("date").alias("dt"),
+        period_start(F.col("l_shipdate"), spec.grain).alias("dt"),
         F.col(spec.asset).alias("asset"),
     ).agg(F.avg(F.col("l_extendedprice") / F.nullif("l_quantity", F.lit(0.0))).alias("price"))
 
@@ -78,7 +87,7 @@ def track_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     revenue = (
         read_table(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", F.date_trunc("month", "l_shipdate").cast("date").alias("month"))
+        .groupBy("l_suppkey", period_start(F.col("l_shipdate"), "month").alias("month"))
         .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
     )
     market = revenue.groupBy("month").agg(F.avg("revenue").alias("market"))

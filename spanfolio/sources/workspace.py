@@ -11,19 +11,19 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def workspace(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``, else the one the context checkpoints to.
 
-    Where the setting is absent a temporary folder is made, but only in local
-    mode: on a cluster no executor could read a folder of the driver's machine.
+    Where neither is set a temporary folder is made, but only in local mode: on a
+    cluster no executor could read a folder of the driver's machine.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spanfolio-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="spanfolio-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
