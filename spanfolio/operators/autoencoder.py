@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from spanfolio.operators.moments import matrix_rows, rolling_cov
+from spanfolio.operators.moments import matrix_rows
 from spanfolio.operators.rolling import refresh_row
 
 MODEL_SCHEMA = (
@@ -126,6 +126,30 @@ def fit_models(cov: DataFrame, start: int, step: int = 1, refresh: int = 252, sp
         .where("last_ix = ref_ix")
         .withColumn("train", F.transform("slots", lambda x: x["cov"]))
     )
+    return _train(sets, spec)
+
+
+def fit_stack(cov: DataFrame, start: int, step: int, n_train: int, spec: TrainSpec = TrainSpec()) -> DataFrame:
+    """One model per universe, trained on the first ``n_train`` matrices; ``ref_ix`` is ``start``."""
+    used = cov.where((F.col("ix") >= start) & (F.col("ix") < start + n_train * step))
+    sets = (
+        matrix_rows(used, ["universe", "ix"])
+        .groupBy("universe")
+        .agg(
+            F.min("assets").alias("assets"),
+            F.sort_array(F.collect_list(F.struct("ix", "cov"))).alias("slots"),
+        )
+        .select(
+            "universe",
+            F.lit(start).cast("long").alias("ref_ix"),
+            "assets",
+            F.transform("slots", lambda x: x["cov"]).alias("train"),
+        )
+    )
+    return _train(sets, spec)
+
+
+def _train(sets: DataFrame, spec: TrainSpec) -> DataFrame:
     model = _trainer(spec)(F.size("assets"), "train")
     return sets.select(
         "universe", "ref_ix", "assets", F.size("train").cast("long").alias("n_train"), model.alias("m")
@@ -209,10 +233,3 @@ def codings(cov: DataFrame, models: DataFrame) -> DataFrame:
         .agg((F.sum(F.col("cov") * F.col("weight")) + F.first("bias")).alias("code"))
         .select("universe", "dt", "ix", "asset", (F.col("code_ix") + 1).cast("long").alias("k"), "code")
     )
-
-
-def daily_cov(
-    returns: DataFrame, dates: DataFrame, lookback: int, start: int, stop: int | None, step: int = 1
-) -> DataFrame:
-    """A matrix for every evaluated row, as the ratio on each date needs."""
-    return rolling_cov(returns, dates, lookback, step, start, stop)

@@ -27,8 +27,8 @@ from spanfolio.functions.columns import half_life_decay
 TILE = 256
 #: Dates per group, unless a single block is longer.
 CHUNK_ROWS = 1024
-#: Moment rows one group may emit.
-MAX_EMITTED = 2_000_000
+#: Moment rows one group may emit, unless a single block has more.
+MAX_EMITTED = 500_000
 
 MOMENT_SCHEMA = (
     "universe string, block long, ai string, aj string, "
@@ -108,17 +108,21 @@ def block_moments(returns: DataFrame, block_rows: int, tile: int = TILE) -> Data
     more than ``tile`` assets each row goes to one group per pair of tiles that
     contains its own tile.
     """
-    blocks_per_chunk = max(
-        1, min(CHUNK_ROWS // block_rows, MAX_EMITTED // (tile * tile))
+    width = F.least(F.col("n_assets"), F.lit(tile).cast("long"))
+    blocks_per_chunk = F.greatest(
+        F.lit(1).cast("long"),
+        F.least(
+            F.lit(CHUNK_ROWS // block_rows).cast("long"),
+            F.floor(F.lit(float(MAX_EMITTED)) / (width * width)),
+        ),
     )
-    chunk_rows = blocks_per_chunk * block_rows
     n_tiles = F.ceil(F.col("n_assets") / F.lit(float(tile))).cast("long")
     tiled = returns.select(
         "universe",
         "ix",
         "asset",
         "r",
-        F.expr(f"ix div {chunk_rows}").alias("chunk"),
+        F.floor(F.col("ix") / (blocks_per_chunk * block_rows)).alias("chunk"),
         F.pmod(F.xxhash64("asset"), n_tiles).alias("tile"),
         n_tiles.alias("n_tiles"),
     )
@@ -314,6 +318,25 @@ def weighted_window_cov(
     return _label(found, dates)
 
 
+def deviations(returns: DataFrame) -> DataFrame:
+    """Sample deviation of each asset over all dates."""
+    return returns.groupBy("universe", "asset").agg(F.stddev_samp("r").alias("s"))
+
+
+def standardised_cov(cov: DataFrame, deviation: DataFrame) -> DataFrame:
+    """Covariance of standardised returns, from that of the returns themselves.
+
+    Subtracting a constant changes no covariance and a constant divisor comes
+    out of it, so the divisors are applied to the few entries of each matrix and
+    the panel's rows are joined with nothing.
+    """
+    left = deviation.withColumnsRenamed({"asset": "ai", "s": "si"})
+    right = deviation.withColumnsRenamed({"asset": "aj", "s": "sj"})
+    scaled = F.try_divide(F.col("cov"), F.col("si") * F.col("sj"))
+    joined = cov.join(left, ["universe", "ai"]).join(right, ["universe", "aj"])
+    return joined.withColumn("cov", scaled).select(*cov.columns)
+
+
 def trace(cov: DataFrame, keys: list[str]) -> DataFrame:
     """Sum of the diagonal per key."""
     return cov.where("ai = aj").groupBy(*keys).agg(F.sum("cov").alias("trace"))

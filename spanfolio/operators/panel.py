@@ -53,15 +53,24 @@ def calendar(dates: DataFrame) -> DataFrame:
     return dates.withColumn("ix", F.row_number().over(order).cast("long") - 1)
 
 
-def aligned(panel: DataFrame, value: str = "price") -> DataFrame:
-    """Complete dates only, with ``ix`` and ``n_assets``: one join does both."""
+def aligned(panel: DataFrame, value: str = "price", dates: DataFrame | None = None) -> DataFrame:
+    """Complete dates only, with ``ix`` and ``n_assets``: one join does both.
+
+    ``dates`` is ``calendar(complete_dates(panel))`` where the caller has it as a
+    written table; its known size then decides how the panel is joined.
+    """
     present = drop_missing(panel, value)
-    numbered = calendar(complete_dates(present))
+    numbered = calendar(complete_dates(present)) if dates is None else dates
     return present.join(numbered, ["universe", "dt"]).select(
         "universe", "dt", "ix", "asset", "n_assets", value
     )
 
 
+def return_dates(price_dates: DataFrame) -> DataFrame:
+    """Calendar of the returns of an aligned panel: its first date has none."""
+    return price_dates.where("ix > 0").select("universe", "dt", (F.col("ix") - 1).alias("ix"))
+
+
 def _by_date():
     return Window.partitionBy("universe", "asset").orderBy("dt")
 

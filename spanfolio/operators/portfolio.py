@@ -84,6 +84,9 @@ def _solver(method: str):
         targets, limits = target.to_numpy(float), limit.to_numpy(float)
         for at, stack in unpack(size, list(packed)):
             means = np.stack([mu[i] for i in at])
+            known = np.isfinite(stack).all(axis=(1, 2)) & np.isfinite(means).all(axis=1)
+            status[at[~known]] = "undefined"
+            at, stack, means = at[known], stack[known], means[known]
             solvable = np.linalg.eigvalsh(stack)[:, 0] > 0
             status[at[~solvable]] = "singular"
             at, stack, means = at[solvable], stack[solvable], means[solvable]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from spanfolio.operators.moments import matrix_rows, rolling_cov, unpack
+from spanfolio.operators.moments import matrix_rows, rolling_cov, standardised_cov, unpack
 from spanfolio.operators.panel import evaluation_grid
 from spanfolio.operators.rolling import carry_forward, cumulative_share, ranks_needed
 
@@ -16,7 +16,10 @@ WINDOW = ["universe", "dt", "ix"]
 
 
 def _spectra(method: str):
-    """Arrow function from packed matrices to descending eigenvalues, a stack at a time."""
+    """Arrow function from packed matrices to descending eigenvalues, a stack at a time.
+
+    A matrix with an unknown entry has unknown eigenvalues.
+    """
 
     @pandas_udf("array<double>")
     def spectra(size: pd.Series, packed: pd.Series) -> pd.Series:
@@ -26,7 +29,9 @@ def _spectra(method: str):
                 centred = stack - stack.mean(axis=1, keepdims=True)
                 rows = stack.shape[1]
                 stack = np.swapaxes(centred, 1, 2) @ centred / max(rows - 1, 1)
-            values = np.linalg.eigvalsh(stack)[:, ::-1]
+            known = np.isfinite(stack).all(axis=(1, 2))
+            values = np.full(stack.shape[:2], np.nan)
+            values[known] = np.linalg.eigvalsh(stack[known])[:, ::-1]
             for i, v in zip(at, values):
                 out[i] = v
         return pd.Series(out)
@@ -98,13 +103,17 @@ def absorption_series(
     frac: float = 0.2,
     threshold: float = 0.8,
     method: str = "eig",
+    deviation: DataFrame | None = None,
 ) -> DataFrame:
     """``(universe, dt, ix, ar, components)`` for every evaluated date.
 
     Spectra are taken every ``refresh`` steps only, and a date carries the values
-    of its last refresh. The schedule is applied before the matrix step.
+    of its last refresh. The schedule is applied before the matrix step. With
+    ``deviation`` the returns count as standardised by it.
     """
     cov = rolling_cov(returns, dates, lookback, step * refresh, start, stop)
+    if deviation is not None:
+        cov = standardised_cov(cov, deviation)
     found = absorption_and_components(spectrum(cov, WINDOW, method), WINDOW, frac, threshold)
     grid = evaluation_grid(dates, start, stop, step).select("universe", "dt", "ix")
     carried = carry_forward(grid, found, start, step, refresh)

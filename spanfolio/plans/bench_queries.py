@@ -8,7 +8,7 @@ from spanfolio.operators import moments as M
 from spanfolio.operators import risk as K
 from spanfolio.operators import spectrum as C
 from spanfolio.plans import spectrum_queries
-from spanfolio.plans.common import returns_of, standardised_of
+from spanfolio.plans.common import panel_of, returns_of
 from spanfolio.sources.tables import BRANDS_DAY
 
 #: Queries whose names end in ``_wide_panel`` are here; the rest are registered ones.
@@ -33,13 +33,13 @@ def asset_risk_report_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_cov_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, BRANDS_DAY)
-    return M.rolling_cov(z, dates, 504, 21, 1512, 2520)
+    p = panel_of(spark, sf_dir, BRANDS_DAY)
+    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p.deviation)
 
 
 def absorption_series_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, BRANDS_DAY)
-    return C.absorption_series(z, dates, 504, 1512, 2520)
+    p = panel_of(spark, sf_dir, BRANDS_DAY)
+    return C.absorption_series(p.rows, p.dates, 504, 1512, 2520, deviation=p.deviation)
 
 
 def warm_up(spark: SparkSession, sf_dir: str) -> None:

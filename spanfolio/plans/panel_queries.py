@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanfolio.operators import panel as P
 from spanfolio.operators import rolling as R
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import aligned_prices, dates_of, prices_of, show, standardised_of
+from spanfolio.plans.common import aligned_prices, dates_of, panel_of, prices_of, returns_of, show
 from spanfolio.sources import sheets
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
@@ -100,8 +100,7 @@ def skip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = dates_of(P.simple_returns(aligned_prices(spark, sf_dir, TYPES_DAY)))
-    return P.evaluation_grid(dates, 1512, 2520, 5)
+    return P.evaluation_grid(panel_of(spark, sf_dir, TYPES_DAY).dates, 1512, 2520, 5)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +122,7 @@ def padded_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show(standardised_of(spark, sf_dir, BRANDS_WEEK)[0], [*KEY, "ix"], r=6)
+    return show(P.standardise(returns_of(spark, sf_dir, BRANDS_WEEK)), [*KEY, "ix"], r=6)
 
 
 def past_standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +131,7 @@ def past_standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def half_life_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = dates_of(P.simple_returns(aligned_prices(spark, sf_dir, BRAND_FLAGS_MONTH)))
+    dates = panel_of(spark, sf_dir, BRAND_FLAGS_MONTH).dates
     return show(P.half_life_weights(dates, 24.0), ["universe", "dt", "ix"], w=9)
 
 

@@ -9,7 +9,7 @@ from spanfolio.operators import moments as M
 from spanfolio.operators import portfolio as O
 from spanfolio.operators import risk as K
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import dates_of, returns_of, show
+from spanfolio.plans.common import panel_of, returns_of, show
 from spanfolio.sources.tables import BRAND_FLAGS_MONTH, BRANDS_WEEK, FLAGS_DAY
 from spanfolio.sources.workspace import materialise
 
@@ -162,9 +162,9 @@ def solution_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_min_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum-variance portfolio of every rolling window."""
-    returns = returns_of(spark, sf_dir, FLAGS_DAY)
+    p = panel_of(spark, sf_dir, FLAGS_DAY)
     keys = ["universe", "dt", "ix"]
-    cov = M.rolling_cov(returns, dates_of(returns), 252, 21, 252)
+    cov = M.rolling_cov(p.rows, p.dates, 252, 21, 252)
     rows = M.matrix_rows(cov, keys).withColumn("mu", F.array_repeat(F.lit(0.0), F.size("assets")))
     return _weights(O.solve(rows, "min_variance"), keys)
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from spanfolio.operators import moments as M
 from spanfolio.operators import panel as P
 from spanfolio.operators import risk as K
+from spanfolio.operators import rolling as R
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import returns_of, show, standardised_of
+from spanfolio.plans.common import panel_of, returns_of, show
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
     BRANDS_WEEK,
@@ -76,37 +77,55 @@ def trace_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(ratio, ["universe"], trace_ratio=8)
 
 
+def _scaled(found: DataFrame, panel) -> DataFrame:
+    """Windows of standardised returns."""
+    return show(M.standardised_cov(found, panel.deviation), WINDOW_PAIR, cov=6)
+
+
 def rolling_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
-    return show(M.rolling_cov(z, dates, 504, 21, 1512, 2520), WINDOW_PAIR, cov=6)
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    return _scaled(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p)
 
 
 def rolling_cov_every_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, TYPES_WEEK)
-    return show(M.rolling_cov(z, dates, 104, 1, 150), WINDOW_PAIR, cov=6)
+    p = panel_of(spark, sf_dir, TYPES_WEEK)
+    return _scaled(M.rolling_cov(p.rows, p.dates, 104, 1, 150), p)
 
 
 def snapshot_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five matrices, 60 rows apart."""
-    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
-    return show(M.rolling_cov(z, dates, 504, 60, 1000, 1300), WINDOW_PAIR, cov=6)
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    return _scaled(M.rolling_cov(p.rows, p.dates, 504, 60, 1000, 1300), p)
+
+
+def stale_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix of the last refresh on every evaluated date."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    found = M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p.deviation)
+    grid = P.evaluation_grid(p.dates, 1512, 2520, 1)
+    return show(R.carry_forward(grid, found, 1512, 1, 21), WINDOW_PAIR, cov=6)
 
 
 def expanding_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
-    return show(M.expanding_cov(z, dates, 21, 1512, 2520), WINDOW_PAIR, cov=6)
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    return _scaled(M.expanding_cov(p.rows, p.dates, 21, 1512, 2520), p)
 
 
-def weighted_window_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
-    found = M.weighted_window_cov(z, dates, 504, 21, 1512, 252.0, stop=2520)
+def _weighted_cov(spark: SparkSession, sf_dir: str, decay: str) -> DataFrame:
+    """Weights multiply standardised rows, so these are standardised one by one."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    found = M.weighted_window_cov(
+        P.standardise(p.rows), p.dates, 504, 21, 1512, 252.0, decay, 2520
+    )
     return show(found.withColumn("cov", F.col("cov") * 1e6), WINDOW_PAIR, cov=6)
 
 
+def weighted_window_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weighted_cov(spark, sf_dir, "as_reference")
+
+
 def weighted_window_cov_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, TYPES_DAY)
-    found = M.weighted_window_cov(z, dates, 504, 21, 1512, 252.0, "recent_first", 2520)
-    return show(found.withColumn("cov", F.col("cov") * 1e6), WINDOW_PAIR, cov=6)
+    return _weighted_cov(spark, sf_dir, "recent_first")
 
 
 def portfolio_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +183,7 @@ QUERIES = {
     for f in (
         asset_mean, shrinkage_mean, asset_risk_report, risk_report_table, extreme_risk, covariance,
         covariance_by_universe, cov_annualised, trace_total, trace_ratio, rolling_cov,
-        rolling_cov_every_date, snapshot_cov, expanding_cov, weighted_window_cov,
+        rolling_cov_every_date, snapshot_cov, stale_cov, expanding_cov, weighted_window_cov,
         weighted_window_cov_recent, portfolio_series, equal_weight_risk, ceiling_var, ceiling_cvar,
         ceiling_risk_daily, realised_performance, luck_screen, luck_screen_best_of,
     )
@@ -252,6 +271,9 @@ ORACLES = {
         *S.base(TYPES_WEEK, standard=True), S.dates("zr"), S.schedule(150, 1), S.window_cov("zr", 104)
     ) + _WINDOWS,
     "snapshot_cov": S.with_(*_DAILY, S.schedule(1000, 60, 1300), S.window_cov("zr", 504)) + _WINDOWS,
+    "stale_cov": S.with_(*_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", 504))
+    + f"SELECT c.universe, c.dt, c.ix, ai, aj, n, {_cols(cov=6)} FROM cal c JOIN wcov w "
+    "ON w.universe = c.universe AND w.ix = c.ix - (c.ix - 1512) % 21 WHERE c.ix >= 1512 AND c.ix < 2520",
     "expanding_cov": S.with_(*_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", None)) + _WINDOWS,
     "weighted_window_cov": _weighted("a.ix - s.ix + 504"),
     "weighted_window_cov_recent": _weighted("s.ix - 1 - a.ix"),

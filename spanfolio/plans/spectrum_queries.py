@@ -17,7 +17,7 @@ from spanfolio.operators import rolling as R
 from spanfolio.operators import signal as G
 from spanfolio.operators import spectrum as C
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import dates_of, prices_of, returns_of, show, standardised_of
+from spanfolio.plans.common import panel_of, prices_of, returns_of, returns_of_prices, show
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
     FLAGS_DAY,
@@ -32,8 +32,8 @@ LOOKBACK, START, STOP = 504, 1512, 2520
 
 
 def _window_cov(spark: SparkSession, sf_dir: str, spec, step: int = 21) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, spec)
-    return M.rolling_cov(z, dates, LOOKBACK, step, START, STOP)
+    p = panel_of(spark, sf_dir, spec)
+    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, step, START, STOP), p.deviation)
 
 
 def spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +77,8 @@ def absorption_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z, dates = standardised_of(spark, sf_dir, FLAGS_DAY)
-    return C.absorption_series(z, dates, LOOKBACK, START, STOP)
+    p = panel_of(spark, sf_dir, FLAGS_DAY)
+    return C.absorption_series(p.rows, p.dates, LOOKBACK, START, STOP, deviation=p.deviation)
 
 
 def absorption_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +88,8 @@ def absorption_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def absorption_series_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six assets beside a benchmark that is left out by name before the spectrum."""
     prices = materialise(with_benchmark(prices_of(spark, sf_dir, TYPES_DAY)), "prices")
-    returns = materialise(P.simple_returns(P.aligned(P.exclude_asset(prices, "MKT"))), "returns")
-    z = P.standardise(P.assert_absent(returns, "MKT"))
-    series = C.absorption_series(z, dates_of(returns), LOOKBACK, START, STOP)
+    p = returns_of_prices(P.assert_absent(P.exclude_asset(prices, "MKT"), "MKT"))
+    series = C.absorption_series(p.rows, p.dates, LOOKBACK, START, STOP, deviation=p.deviation)
     return show(series, [*WINDOW, "components"], ar=6)
 
 
@@ -134,8 +133,8 @@ def backtest_lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole chain on weekly prices with windows short enough for the smallest tables."""
-    z, dates = standardised_of(spark, sf_dir, TYPES_WEEK)
-    series = C.absorption_series(z, dates, 42, 42, None, refresh=1)
+    p = panel_of(spark, sf_dir, TYPES_WEEK)
+    series = C.absorption_series(p.rows, p.dates, 42, 42, None, refresh=1, deviation=p.deviation)
     shift = G.standardised_shift(series, 15, 63)
     weights = G.regime_weights(shift)
     strategy = G.backtest(weights, _funds(spark, sf_dir, TYPES_WEEK), periods_per_year=52)
@@ -157,6 +156,28 @@ def autoencoder_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(E.autoencoder_ratio(cov, models, START), WINDOW, ae_ratio=4)
 
 
+def autoencoder_ratio_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrices every 21 rows only; the ratio, like the matrix, holds until the next one."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    cov = materialise(
+        M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 21, START, STOP), p.deviation), "cov"
+    )
+    models = materialise(E.fit_models(cov, START, 21, 12), "models")
+    ratio = E.autoencoder_ratio(cov, models, START, 21, 12)
+    grid = P.evaluation_grid(p.dates, START, STOP, 1)
+    return show(R.carry_forward(grid, ratio, START, 1, 21), WINDOW, ae_ratio=4)
+
+
+def autoencoder_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model on the first three of five matrices, applied to all five."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    cov = materialise(
+        M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 60, 1000, 1300), p.deviation), "cov"
+    )
+    models = E.fit_stack(cov, 1000, 60, 3, E.TrainSpec(codes=200, epochs=10, batch=5))
+    return show(E.autoencoder_ratio(cov, models, 1000, 60, 5), WINDOW, ae_ratio=4)
+
+
 def autoencoder_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = _types_cov_daily(spark, sf_dir)
     models = materialise(E.fit_models(cov, START), "models")
@@ -169,7 +190,7 @@ QUERIES = {
         spectrum, spectrum_by_universe, spectrum_invariants, spectrum_pca_of_cov, cumulative_share,
         components_needed, absorption_ratio, absorption_series, absorption_series_types, ar_shift,
         regime_weights, backtest, backtest_lagged, weekly_strategy, autoencoder_fit,
-        autoencoder_ratio, autoencoder_codings,
+        autoencoder_ratio, autoencoder_ratio_scheduled, autoencoder_snapshot, autoencoder_codings,
     )
 }
 

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanfolio.sources.workspace import materialise
+
 #: Universe name when the whole table is one universe.
 ONE_UNIVERSE = "ALL"
 
@@ -83,14 +85,17 @@ def track_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(entity, grp, n, wins)``: in how many months a supplier beat the average one.
 
     The benchmark is the month's mean revenue, which combines map-side, rather
-    than a median, which would need all suppliers of a month in one place.
+    than a median, which would need all suppliers of a month in one place. Both
+    tables are written: revenue is read twice, and the few months are then known
+    to be few.
     """
-    revenue = (
+    revenue = materialise(
         read_table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", period_start(F.col("l_shipdate"), "month").alias("month"))
-        .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
+        .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")),
+        "revenue",
     )
-    market = revenue.groupBy("month").agg(F.avg("revenue").alias("market"))
+    market = materialise(revenue.groupBy("month").agg(F.avg("revenue").alias("market")), "market")
     records = (
         revenue.join(market, "month")
         .groupBy("l_suppkey")

@@ -32,7 +32,7 @@ def shared_panels():
 
         return once
 
-    for name in ("prices_of", "returns_of"):
+    for name in ("prices_of", "panel_of"):
         shared = cached(getattr(common, name))
         for module in (common, panel_queries, portfolio_queries, risk_queries, spectrum_queries):
             if hasattr(module, name):

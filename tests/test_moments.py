@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spanfolio.operators import moments as M
 from spanfolio.operators import spectrum as C
-from spanfolio.operators.panel import half_life_weights
+from spanfolio.operators.panel import half_life_weights, standardise
 
 SCHEMA = "universe string, dt date, ix long, asset string, n_assets long, r double"
 DAY = dt.date(2020, 1, 1)
@@ -183,6 +183,22 @@ def test_absorption_series_carries_values(spark, returns, x):
         assert r.ar == pytest.approx(values[0] / values.sum())
 
 
+def test_standardised_windows_equal_windows_of_standardised_rows(returns):
+    a = by_ix(M.rolling_cov(standardise(returns), dates(returns), 24, 6, 30))
+    b = by_ix(M.standardised_cov(M.rolling_cov(returns, dates(returns), 24, 6, 30), M.deviations(returns)))
+    assert sorted(a) == sorted(b)
+    for ix in a:
+        assert np.allclose(matrix(a[ix], 5), matrix(b[ix], 5), rtol=1e-10)
+
+
+def test_asset_without_deviation_gives_unknown_spectrum(spark):
+    x = np.random.default_rng(2).normal(size=(30, 3))
+    x[:, 1] = 0.5
+    r = panel(spark, x)
+    cov = M.standardised_cov(M.covariance(r), M.deviations(r))
+    assert [v["lambda"] for v in C.spectrum(cov, ["universe"]).collect()] == [None] * 3
+
+
 def test_trace_and_mirror(spark, returns, x):
     cov = M.covariance(returns)
     full = M.both_halves(cov).collect()

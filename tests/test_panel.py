@@ -50,6 +50,13 @@ def test_only_complete_dates_stay_and_are_numbered(spark):
     assert ln[("A", D[3])] == pytest.approx(math.log(4))
 
 
+def test_given_dates_are_used(spark):
+    p = prices(spark, [(D[0], "A", 1.0), (D[1], "A", 2.0), (D[2], "A", 3.0)])
+    dates = P.calendar(P.complete_dates(p)).where(F.col("dt") > D[0])
+    assert {r.ix for r in P.aligned(p, dates=dates).collect()} == {1, 2}
+    assert [r.ix for r in P.return_dates(dates).orderBy("ix").collect()] == [0, 1]
+
+
 def test_no_date_is_complete(spark):
     p = prices(spark, [(D[0], "A", 1.0), (D[1], "B", 1.0)])
     assert P.aligned(p).count() == 0
