@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanfolio.functions.arrow import once
 from spanfolio.operators.moments import matrix_rows
 from spanfolio.operators.rolling import refresh_row
 
@@ -101,7 +102,7 @@ def _trainer(spec: TrainSpec):
             models.append(train(stack, spec.codes or default_codes(n), spec))
         return pd.DataFrame(models)
 
-    return fit
+    return once(fit)
 
 
 def fit_models(cov: DataFrame, start: int, step: int = 1, refresh: int = 252, spec: TrainSpec = TrainSpec()) -> DataFrame:
@@ -172,7 +173,7 @@ def _trace_kernel():
             shifts.append(float((np.asarray(eb) @ up + np.asarray(db)).sum()))
         return pd.DataFrame({"kernel": kernels, "shift": shifts})
 
-    return kernel
+    return once(kernel)
 
 
 def autoencoder_ratio(

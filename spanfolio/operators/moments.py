@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfolio.functions.columns import half_life_decay
@@ -108,35 +108,34 @@ def block_moments(returns: DataFrame, block_rows: int, tile: int = TILE) -> Data
     more than ``tile`` assets each row goes to one group per pair of tiles that
     contains its own tile.
     """
-    width = F.least(F.col("n_assets"), F.lit(tile).cast("long"))
-    blocks_per_chunk = F.greatest(
-        F.lit(1).cast("long"),
-        F.least(
-            F.lit(CHUNK_ROWS // block_rows).cast("long"),
-            F.floor(F.lit(float(MAX_EMITTED)) / (width * width)),
-        ),
+    blocks_per_chunk = (
+        f"greatest(1L, least({CHUNK_ROWS // block_rows}L, "
+        f"{MAX_EMITTED}L div pow(least(n_assets, {tile}L), 2)::bigint))"
     )
-    n_tiles = F.ceil(F.col("n_assets") / F.lit(float(tile))).cast("long")
-    tiled = returns.select(
-        "universe",
-        "ix",
-        "asset",
-        "r",
-        F.floor(F.col("ix") / (blocks_per_chunk * block_rows)).alias("chunk"),
-        F.pmod(F.xxhash64("asset"), n_tiles).alias("tile"),
-        n_tiles.alias("n_tiles"),
-    )
-    routed = tiled.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1)).alias("other")
-    ).select(
-        "universe",
-        "chunk",
-        F.least("tile", "other").alias("t_left"),
-        F.greatest("tile", "other").alias("t_right"),
-        "ix",
-        "asset",
-        "tile",
-        "r",
+    routed = (
+        returns.selectExpr(
+            "universe",
+            "ix",
+            "asset",
+            "r",
+            f"ix div ({blocks_per_chunk} * {block_rows}L) AS chunk",
+            f"(n_assets + {tile - 1}L) div {tile}L AS n_tiles",
+        )
+        .selectExpr(
+            "*",
+            "pmod(xxhash64(asset), n_tiles) AS tile",
+            "explode(sequence(0L, n_tiles - 1)) AS other",
+        )
+        .selectExpr(
+            "universe",
+            "chunk",
+            "least(tile, other) AS t_left",
+            "greatest(tile, other) AS t_right",
+            "ix",
+            "asset",
+            "tile",
+            "r",
+        )
     )
 
     def moments(key: tuple, table: pa.Table) -> pa.Table:
@@ -147,30 +146,30 @@ def block_moments(returns: DataFrame, block_rows: int, tile: int = TILE) -> Data
     )
 
 
-def _combined(n: Column, sx: Column, sy: Column, sxsy: Column, cxy: Column) -> Column:
-    """Sample covariance from sums of block moments."""
-    return F.try_divide(cxy + sxsy - sx * sy / n, n - 1)
+_SUMS = ("n", "sx", "sy", "sxsy", "cxy")
+_BLOCK_MEAN_PRODUCT = "sx * sy / n AS sxsy"
+#: Sample covariance from sums of block moments.
+_COV = "try_divide(cxy + sxsy - sx * sy / n, n - 1) AS cov"
 
 
 def covariance(returns: DataFrame) -> DataFrame:
     """Sample covariance ``(universe, ai, aj, n, cov)`` over all dates, ``ai <= aj``."""
     total = (
         block_moments(returns, CHUNK_ROWS)
-        .withColumn("sxsy", F.expr("sx * sy / n"))
+        .selectExpr("*", _BLOCK_MEAN_PRODUCT)
         .groupBy("universe", "ai", "aj")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxsy", "cxy")])
+        .agg(*[F.sum(c).alias(c) for c in _SUMS])
     )
-    cov = _combined(*[F.col(c) for c in ("n", "sx", "sy", "sxsy", "cxy")])
-    return total.select("universe", "ai", "aj", "n", cov.alias("cov"))
+    return total.selectExpr("universe", "ai", "aj", "n", _COV)
 
 
 def _block_size(lookback: int, step: int, start: int) -> int:
     return math.gcd(math.gcd(lookback, step), start)
 
 
-def _on_schedule(end: Column, start: int, stop: int | None, step: int) -> Column:
-    due = (end >= start) & ((end - start) % step == 0)
-    return due if stop is None else due & (end < stop)
+def _on_schedule(start: int, stop: int | None, step: int) -> str:
+    due = f"ix >= {start} AND (ix - {start}) % {step} = 0"
+    return due if stop is None else f"{due} AND ix < {stop}"
 
 
 def _label(windows: DataFrame, dates: DataFrame) -> DataFrame:
@@ -180,7 +179,11 @@ def _label(windows: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-_SUMS = ("n", "sx", "sy", "sxsy", "cxy")
+def _summed(moments: DataFrame, partition: str, frame: str) -> DataFrame:
+    over = f"OVER (PARTITION BY {partition} ORDER BY block ROWS BETWEEN {frame} AND CURRENT ROW)"
+    return moments.selectExpr(
+        "universe", "ai", "aj", "block", *[f"sum({c}) {over} AS {c}" for c in _SUMS]
+    )
 
 
 def _trailing_sums(moments: DataFrame, per_window: int | None) -> DataFrame:
@@ -192,35 +195,22 @@ def _trailing_sums(moments: DataFrame, per_window: int | None) -> DataFrame:
     of p * q. The second window is over a finer key than the first, so it needs
     no further shuffle.
     """
-    pair = ["universe", "ai", "aj"]
-    near = Window.partitionBy(*pair).orderBy("block")
+    pair = "universe, ai, aj"
     if per_window is None:
-        frame = near.rowsBetween(Window.unboundedPreceding, 0)
-        return moments.withColumns({c: F.sum(c).over(frame) for c in _SUMS})
+        return _summed(moments, pair, "UNBOUNDED PRECEDING")
     p = next(d for d in range(math.isqrt(per_window), 0, -1) if per_window % d == 0)
     q = per_window // p
     if p == 1:
         p, q = q, 1
-    first = near.rowsBetween(1 - p, 0)
-    sums = moments.withColumns({c: F.sum(c).over(first) for c in _SUMS})
-    if q == 1:
-        return sums
-    apart = Window.partitionBy(*pair, F.col("block") % p).orderBy("block").rowsBetween(1 - q, 0)
-    return sums.withColumns({c: F.sum(c).over(apart) for c in _SUMS})
+    sums = _summed(moments, pair, f"{p - 1} PRECEDING")
+    return sums if q == 1 else _summed(sums, f"{pair}, block % {p}", f"{q - 1} PRECEDING")
 
 
 def _windows(returns: DataFrame, block: int, per_window: int | None) -> DataFrame:
     """Covariance of the window that ends with each block, labelled by the row after it."""
-    moments = block_moments(returns, block).withColumn("sxsy", F.expr("sx * sy / n"))
-    sums = _trailing_sums(moments, per_window)
-    cov = _combined(*[F.col(c) for c in _SUMS])
-    return sums.select(
-        "universe",
-        ((F.col("block") + 1) * block).alias("ix"),
-        "ai",
-        "aj",
-        "n",
-        cov.alias("cov"),
+    moments = block_moments(returns, block).selectExpr("*", _BLOCK_MEAN_PRODUCT)
+    return _trailing_sums(moments, per_window).selectExpr(
+        "universe", f"(block + 1) * {block}L AS ix", "ai", "aj", "n", _COV
     )
 
 
@@ -238,7 +228,7 @@ def rolling_cov(
     ``dates``, the calendar of the returns. Only full windows are returned.
     """
     block = _block_size(lookback, step, start)
-    due = _on_schedule(F.col("ix"), start, stop, step) & (F.col("n") == lookback)
+    due = f"{_on_schedule(start, stop, step)} AND n = {lookback}"
     return _label(_windows(returns, block, lookback // block).where(due), dates)
 
 
@@ -247,7 +237,7 @@ def expanding_cov(
 ) -> DataFrame:
     """Covariance of all rows before each scheduled row."""
     block = math.gcd(step, start)
-    due = _on_schedule(F.col("ix"), start, stop, step)
+    due = _on_schedule(start, stop, step)
     return _label(_windows(returns, block, None).where(due), dates)
 
 
@@ -297,9 +287,7 @@ def weighted_window_cov(
                 F.struct("sx", "sy", F.expr("cxy + sx * sy / n").alias("sxy"))
             ).over(order).alias("parts"),
         )
-        .where(
-            _on_schedule(F.col("ix"), start, stop, step) & (F.size("parts") == per_window)
-        )
+        .where(f"{_on_schedule(start, stop, step)} AND size(parts) = {per_window}")
     )
     factor = half_life_decay(place * block, half_life) / norm
     weighted = (
@@ -330,11 +318,11 @@ def standardised_cov(cov: DataFrame, deviation: DataFrame) -> DataFrame:
     out of it, so the divisors are applied to the few entries of each matrix and
     the panel's rows are joined with nothing.
     """
-    left = deviation.withColumnsRenamed({"asset": "ai", "s": "si"})
-    right = deviation.withColumnsRenamed({"asset": "aj", "s": "sj"})
-    scaled = F.try_divide(F.col("cov"), F.col("si") * F.col("sj"))
+    left = deviation.selectExpr("universe", "asset AS ai", "s AS si")
+    right = deviation.selectExpr("universe", "asset AS aj", "s AS sj")
     joined = cov.join(left, ["universe", "ai"]).join(right, ["universe", "aj"])
-    return joined.withColumn("cov", scaled).select(*cov.columns)
+    scaled = {"cov": "try_divide(cov, si * sj) AS cov"}
+    return joined.selectExpr(*[scaled.get(c, c) for c in cov.columns])
 
 
 def trace(cov: DataFrame, keys: list[str]) -> DataFrame:
@@ -372,22 +360,22 @@ def matrix_rows(cov: DataFrame, keys: list[str], mu: DataFrame | None = None) ->
 
     A row holds the n(n+1)/2 entries of one matrix, never more than one key.
     """
-    entries = cov.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("ai", "aj", "cov"))).alias("e")
-    )
-    diagonal = F.filter("e", lambda x: x["ai"] == x["aj"])
-    rows = entries.select(
-        *keys,
-        F.transform(diagonal, lambda x: x["ai"]).alias("assets"),
-        F.transform("e", lambda x: x["cov"]).alias("cov"),
+    rows = (
+        cov.groupBy(*keys)
+        .agg(F.expr("sort_array(collect_list(struct(ai, aj, cov)))").alias("e"))
+        .selectExpr(
+            *keys,
+            "transform(filter(e, x -> x.ai = x.aj), x -> x.ai) AS assets",
+            "transform(e, x -> x.cov) AS cov",
+        )
     )
     if mu is None:
         return rows
     means = mu.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("asset", "mu"))).alias("m")
+        F.expr("sort_array(collect_list(struct(asset, mu)))").alias("m")
     )
-    return rows.join(means, keys).select(
-        *keys, "assets", "cov", F.transform("m", lambda x: x["mu"]).alias("mu")
+    return rows.join(means, keys).selectExpr(
+        *keys, "assets", "cov", "transform(m, x -> x.mu) AS mu"
     )
 
 

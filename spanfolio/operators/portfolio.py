@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanfolio.functions.arrow import once
 from spanfolio.functions.quadratic import least_variance
 from spanfolio.operators.moments import unpack
 
@@ -104,7 +105,7 @@ def _solver(method: str):
                     weights[i] = w if s == OK else None
         return pd.DataFrame({"status": status, "w": weights})
 
-    return solve_batch
+    return once(solve_batch)
 
 
 def _value(v: Column | float | None) -> Column:

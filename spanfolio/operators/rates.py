@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanfolio.functions.arrow import once
+
 # Growth of the short rate per state and face of the discount bonds.
 STATE_GROWTH = 0.1
 FACE = 100.0
@@ -66,7 +68,7 @@ def _calibrator(growth: float):
                 found[i] = level[row] if good[row] else None
         return pd.DataFrame({"status": status, "level": found})
 
-    return levels
+    return once(levels)
 
 
 def calibrate(curves: DataFrame, growth: float = STATE_GROWTH) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from spanfolio.functions.arrow import once
 from spanfolio.operators.moments import matrix_rows, rolling_cov, standardised_cov, unpack
 from spanfolio.operators.panel import evaluation_grid
 from spanfolio.operators.rolling import carry_forward, cumulative_share, ranks_needed
@@ -36,11 +37,11 @@ def _spectra(method: str):
                 out[i] = v
         return pd.Series(out)
 
-    return spectra
+    return once(spectra)
 
 
-def spectrum(cov: DataFrame, keys: list[str], method: str = "eig") -> DataFrame:
-    """``(keys, k, lambda)``, k = 1 for the largest eigenvalue.
+def eigenvalues(cov: DataFrame, keys: list[str], method: str = "eig") -> DataFrame:
+    """``(keys, v ARRAY<DOUBLE>)``, the eigenvalues of each key in descending order.
 
     ``method='eig'`` takes the eigenvalues of the matrix itself;
     ``'pca_of_cov'`` those of the covariance of the matrix's own rows.
@@ -48,7 +49,12 @@ def spectrum(cov: DataFrame, keys: list[str], method: str = "eig") -> DataFrame:
     if method not in ("eig", "pca_of_cov"):
         raise ValueError(f"unknown method: {method}")
     rows = matrix_rows(cov, keys)
-    values = rows.select(*keys, _spectra(method)(F.size("assets"), "cov").alias("v"))
+    return rows.select(*keys, _spectra(method)(F.size("assets"), "cov").alias("v"))
+
+
+def spectrum(cov: DataFrame, keys: list[str], method: str = "eig") -> DataFrame:
+    """``(keys, k, lambda)``, k = 1 for the largest eigenvalue; see :func:`eigenvalues`."""
+    values = eigenvalues(cov, keys, method)
     return values.select(*keys, F.posexplode("v").alias("p", "lambda")).select(
         *keys, (F.col("p") + 1).cast("long").alias("k"), "lambda"
     )
@@ -75,19 +81,23 @@ def components_needed(spectra: DataFrame, keys: list[str], threshold: float = 0.
 
 
 def absorption_and_components(
-    spectra: DataFrame, keys: list[str], frac: float = 0.2, threshold: float = 0.8
+    values: DataFrame, keys: list[str], frac: float = 0.2, threshold: float = 0.8
 ) -> DataFrame:
-    """Both measures in one grouping; all steps share the partitioning by key."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    top = F.greatest(F.floor(F.lit(frac) * n), F.lit(1).cast("long"))
-    reached = F.min(F.when(F.col("share") >= threshold, F.col("k")))
+    """Both measures from rows of :func:`eigenvalues`, as array expressions without a shuffle."""
+    top = F.greatest(F.floor(F.lit(frac) * F.size("v")), F.lit(1).cast("long")).cast("int")
+    total = "aggregate(v, 0D, (s, x) -> s + x)"
+    before = F.expr(
+        f"""aggregate(v, named_struct('sum', 0D, 'k', 0L),
+            (s, x) -> named_struct('sum', s.sum + x,
+                'k', s.k + IF((s.sum + x) / total >= {threshold}D, 0L, 1L))).k"""
+    )
     return (
-        cumulative_share(spectra, keys)
-        .withColumn("top", top)
-        .groupBy(*keys)
-        .agg(
-            F.max(F.when(F.col("k") == F.col("top"), F.col("share"))).alias("ar"),
-            F.coalesce(reached, F.max("k") + 1).alias("components"),
+        values.select(*keys, "v", top.alias("top"), F.expr(total).alias("total"))
+        .where("total <> 0")
+        .select(
+            *keys,
+            F.expr("aggregate(slice(v, 1, top), 0D, (s, x) -> s + x) / total").alias("ar"),
+            (before + 1).alias("components"),
         )
     )
 
@@ -114,7 +124,7 @@ def absorption_series(
     cov = rolling_cov(returns, dates, lookback, step * refresh, start, stop)
     if deviation is not None:
         cov = standardised_cov(cov, deviation)
-    found = absorption_and_components(spectrum(cov, WINDOW, method), WINDOW, frac, threshold)
+    found = absorption_and_components(eigenvalues(cov, WINDOW, method), WINDOW, frac, threshold)
     grid = evaluation_grid(dates, start, stop, step).select("universe", "dt", "ix")
     carried = carry_forward(grid, found, start, step, refresh)
     return carried.select("universe", "dt", "ix", "ar", "components")

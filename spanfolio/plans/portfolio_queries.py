@@ -23,12 +23,14 @@ VOLS = (0.4, 1.0, 1.5)
 
 
 class Moments:
-    """Returns, means and covariance of one panel; each is read by several branches."""
+    """Returns, means and covariance of one panel; written where several branches read them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spec=BRAND_FLAGS_MONTH):
+    def __init__(self, spark: SparkSession, sf_dir: str, spec=BRAND_FLAGS_MONTH, written: bool = False):
         self.returns = returns_of(spark, sf_dir, spec)
-        self.mu = materialise(K.asset_mean(self.returns), "mu")
-        self.cov = materialise(M.covariance(self.returns).select("universe", "ai", "aj", "cov"), "cov")
+        self.mu = K.asset_mean(self.returns)
+        self.cov = M.covariance(self.returns).select("universe", "ai", "aj", "cov")
+        if written:
+            self.mu, self.cov = materialise(self.mu, "mu"), materialise(self.cov, "cov")
 
     @property
     def rows(self) -> DataFrame:
@@ -80,12 +82,12 @@ def short_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weights(O.solve(_vols(Moments(spark, sf_dir)), "target_vol", F.col("target")), LEVEL)
+    return _weights(O.solve(_vols(Moments(spark, sf_dir, written=True)), "target_vol", F.col("target")), LEVEL)
 
 
 def target_vol_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return, the same written as riskless rate plus excess, and volatility."""
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     weights = O.weights_long(O.solve(_vols(m), "target_vol", F.col("target")), LEVEL)
     solved = materialise(weights.where("status = 'ok'"), "weights")
     stats = O.portfolio_stats(solved, m.mu, m.cov, LEVEL)
@@ -107,7 +109,7 @@ def tangency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tangency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     stats = O.portfolio_stats(_tangency(m), m.mu, m.cov, UNIVERSE, RF)
     return show(stats, UNIVERSE, ret=6, variance=6, vol=6, sharpe=6)
 
@@ -119,12 +121,12 @@ def _scaled(m: Moments) -> DataFrame:
 
 
 def target_vol_riskless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return show(_scaled(Moments(spark, sf_dir)), ["universe", "asset"], w=6, w_rf=6)
+    return show(_scaled(Moments(spark, sf_dir, written=True)), ["universe", "asset"], w=6, w_rf=6)
 
 
 def realised_riskless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Realised performance of the scaled portfolio with its riskless part."""
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     scaled = _scaled(m)
     rest = scaled.groupBy("universe").agg(F.max("w_rf").alias("w_rf"))
     series = K.portfolio_series(m.returns, scaled).join(rest, "universe")
@@ -134,7 +136,7 @@ def realised_riskless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def portfolio_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of portfolios weighted by inverse variance."""
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     inverse = m.cov.where("ai = aj").select("universe", F.col("ai").alias("asset"), (1 / F.col("cov")).alias("iv"))
     total = inverse.groupBy("universe").agg(F.sum("iv").alias("total"))
     weights = inverse.join(total, "universe").withColumn("w", F.col("iv") / F.col("total"))
@@ -144,7 +146,7 @@ def portfolio_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_fund_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """200 mixtures of the portfolios with the floors 1.0 and 1.1 times the mean return."""
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     funds = materialise(
         O.weights_long(O.solve(_floors(m), "return_floor", F.col("target")), LEVEL), "funds"
     )
@@ -154,7 +156,7 @@ def two_fund_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def solution_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights with and without short sales, for the same floors."""
-    m = Moments(spark, sf_dir)
+    m = Moments(spark, sf_dir, written=True)
     free = O.weights_long(O.solve(_floors(m), "return_floor", F.col("target")), LEVEL)
     bound = O.weights_long(O.solve(_floors(m), "long_only", F.col("target")), LEVEL)
     return show(O.solution_diff(free, bound, LEVEL), [*LEVEL, "asset"], w_first=6, w_second=6, diff=6)
@@ -182,7 +184,7 @@ def _gradient(m: Moments, weights: DataFrame) -> DataFrame:
 
 def min_variance_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 assets: every asset has the same covariance with the portfolio."""
-    m = Moments(spark, sf_dir, BRANDS_WEEK)
+    m = Moments(spark, sf_dir, BRANDS_WEEK, written=True)
     weights = materialise(O.weights_long(O.solve(m.rows, "min_variance"), UNIVERSE), "weights")
     found = _gradient(m, weights).groupBy("universe").agg(
         F.sum("w").alias("sum_w"), F.min("g").alias("low"), F.max("g").alias("high")
@@ -192,7 +194,7 @@ def min_variance_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_only_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 assets without short sales: held ones share one covariance, the others have no less."""
-    m = Moments(spark, sf_dir, BRANDS_WEEK)
+    m = Moments(spark, sf_dir, BRANDS_WEEK, written=True)
     weights = materialise(O.weights_long(O.solve(m.rows, "long_only"), UNIVERSE), "weights")
     held = F.col("w") > 1e-9
     found = _gradient(m, weights).groupBy("universe").agg(

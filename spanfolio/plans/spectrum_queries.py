@@ -23,6 +23,7 @@ from spanfolio.sources.tables import (
     FLAGS_DAY,
     TYPES_DAY,
     TYPES_WEEK,
+    price_panel,
     with_benchmark,
 )
 from spanfolio.sources.workspace import materialise
@@ -104,7 +105,7 @@ def regime_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _funds(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
     """Returns of two funds that stand for equity and fixed income."""
-    prices = prices_of(spark, sf_dir, spec).where("asset IN ('ECONOMY', 'STANDARD')")
+    prices = price_panel(spark, sf_dir, spec).where("asset IN ('ECONOMY', 'STANDARD')")
     named = prices.withColumn("asset", F.when(F.col("asset") == "ECONOMY", "EQ").otherwise("FI"))
     return P.simple_returns(named, pad=True)
 

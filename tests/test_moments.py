@@ -162,8 +162,11 @@ def test_spectrum_measures(spark, returns, x):
         need = C.components_needed(spectra, keys, t).first().components
         assert need == int(np.searchsorted(share, t) + 1)
     assert C.components_needed(spectra, keys, 1.5).first().components == 6
-    both = C.absorption_and_components(spectra, keys, 0.4, 0.8).first()
+    both = C.absorption_and_components(C.eigenvalues(cov, keys), keys, 0.4, 0.8).first()
     assert both.ar == pytest.approx(share[1])
+    assert both.components == int(np.searchsorted(share, 0.8) + 1)
+    never = C.absorption_and_components(C.eigenvalues(cov, keys), keys, 0.4, 1.5).first()
+    assert never.components == 6
 
 
 def test_pca_of_the_matrix_rows(spark, returns, x):

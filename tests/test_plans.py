@@ -57,6 +57,21 @@ def test_no_cross_join(spark, shared_panels, name):
     assert "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["spectrum", "absorption_series", "tangency", "autoencoder_ratio"])
+def test_matrix_functions_run_once(spark, shared_panels, name, monkeypatch):
+    """Even without written tables in between, no function appears twice along a plan."""
+    from spanfolio.plans import portfolio_queries, spectrum_queries
+
+    for module in (portfolio_queries, spectrum_queries):
+        monkeypatch.setattr(module, "materialise", lambda df, label="": df)
+    df = registry.queries()[name](spark, f"{DATA}/sf0.01")
+    if "status" in df.columns:
+        df = df.where("status = 'ok'")
+    text = plan(df)
+    found = [text.count(f"ArrowEvalPython [{f}(") for f in ("spectra", "solve_batch", "fit", "kernel")]
+    assert max(found) == 1
+
+
 def test_library_has_no_hints_or_local_checkpoints():
     for folder, _, files in os.walk(os.path.join(ROOT, "spanfolio")):
         for f in files:
