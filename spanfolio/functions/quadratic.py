@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 TOLERANCE = 1e-12
+#: A bound whose normal lies this close to the span of the active ones cannot move the weights.
+INDEPENDENT = 1e-11
 #: A bound missed by no more than this counts as met where nothing can move any more.
 STUCK_TOLERANCE = 1e-9
 
@@ -61,7 +63,8 @@ def _with_bounds(cov: np.ndarray, bounds: list[tuple[np.ndarray, float]]) -> np.
             r_active = r[1:]
             blocking = [(u[i] / r_active[i], i) for i in range(len(active)) if r_active[i] > TOLERANCE]
             dual_step, drop = min(blocking, default=(np.inf, -1))
-            full = curvature > 1e-13 * max(1.0, float(step @ g_all[p]))
+            independent = curvature > INDEPENDENT * float(step @ g_all[p])
+            full = independent and len(active) + 1 < n
             primal_step = (h_all[p] - g_all[p] @ w) / curvature if full else np.inf
             t = min(dual_step, primal_step)
             if np.isinf(t):

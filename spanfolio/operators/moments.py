@@ -331,10 +331,10 @@ def trace(cov: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def trace_ratio(top: DataFrame, bottom: DataFrame, keys: list[str]) -> DataFrame:
-    """Trace of one set of matrices over the trace of another."""
+    """Trace of one set of matrices over the trace of another, null for a key without the first."""
     above = trace(top, keys).withColumnRenamed("trace", "top")
     below = trace(bottom, keys).withColumnRenamed("trace", "bottom")
-    return above.join(below, keys).select(
+    return below.join(above, keys, "left").select(
         *keys, F.try_divide(F.col("top"), F.col("bottom")).alias("trace_ratio")
     )
 

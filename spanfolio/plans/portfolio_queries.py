@@ -379,9 +379,9 @@ ORACLES = {
                        s12 * s23 - s13 * s22 AS i13, s11 * s33 - s13 * s13 AS i22,
                        s12 * s13 - s11 * s23 AS i23, s11 * s22 - s12 * s12 AS i33 FROM m3)))""",
     ) + _long("universe, dt, ix", "mv"),
-    "min_variance_wide": S.with_(S.prices(BRANDS_WEEK))
-    + "SELECT universe, 1.0::DOUBLE AS sum_w, 1.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM prices GROUP BY universe",
-    "long_only_wide": S.with_(S.prices(BRANDS_WEEK))
+    "min_variance_wide": S.with_(*S.base(BRANDS_WEEK))
+    + "SELECT universe, 1.0::DOUBLE AS sum_w, 1.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM rets GROUP BY universe",
+    "long_only_wide": S.with_(*S.base(BRANDS_WEEK))
     + "SELECT universe, 1.0::DOUBLE AS sum_w, 0.0::DOUBLE AS most_short, 0.0::DOUBLE AS residual "
-    "FROM prices GROUP BY universe",
+    "FROM rets GROUP BY universe",
 }

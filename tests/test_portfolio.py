@@ -50,6 +50,42 @@ def test_short_limits(seed):
     assert variance[-1] == pytest.approx(free @ cov @ free, rel=1e-8)
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_short_limit_is_feasible_up_to_the_best_return(seed):
+    """With shorts s the best return is (1 + s) times the largest mean less s times the smallest."""
+    rng = np.random.default_rng(1000 + seed)
+    n = int(rng.integers(2, 9))
+    cov, mu = problem(seed, n)
+    if seed % 2:
+        mu = 0.037 + 0.003 * rng.uniform(size=n)
+    limit = float(rng.choice([0.0, 0.05, 0.1, 0.3]))
+    best = (1 + limit) * mu.max() - limit * mu.min()
+    width = best - mu.mean()
+    for share in (0.2, 0.9, 0.999, 1.001, 1.1, 3.0):
+        floor = float(mu.mean() + share * width)
+        w = least_variance(cov, [(mu, floor)], limit)
+        if share > 1:
+            assert w is None
+        else:
+            assert w.sum() == pytest.approx(1.0, abs=1e-9)
+            assert w @ mu >= floor - 1e-9 and -w[w < 0].sum() <= limit + 1e-9
+        long = least_variance(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
+        if floor > mu.max() + 1e-6:
+            assert long is None
+        elif floor < mu.max() - 1e-6:
+            assert long.sum() == pytest.approx(1.0, abs=1e-9) and long.min() > -1e-9
+
+
+def test_floor_out_of_reach_of_close_means():
+    packed = [0.07536971907366981, -0.011171480888217657, -0.0017808319531060616,
+              0.07855935329455684, 0.01570672468609328, 0.08972998675768222]
+    cov = np.empty((3, 3))
+    cov[np.triu_indices(3)] = packed
+    cov.T[np.triu_indices(3)] = packed
+    mu = np.array([0.034388070364178236, 0.03966376547990472, 0.04000820392647216])
+    assert least_variance(cov, [(mu, 0.04182201458253688)], 0.1) is None
+
+
 def test_many_keys_with_and_without_solution(spark):
     cov, mu = problem(4, 6)
     mu_df, cov_df = moments_of(spark, mu, cov)
