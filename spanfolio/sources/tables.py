@@ -129,10 +129,10 @@ def _orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Swaption contracts: ``(contract_id, curve_id, desk, notional, strike_bp, exercise)``.
+    """Swaption contracts: ``(contract_id, curve_id, desk, notional, strike_step, exercise)``.
 
-    The strike is an integer number of tenths of a basis point above 3 percent
-    so that it can be a join key; ``strike`` is the rate.
+    The strike is 3 percent plus 10 bp per step; see :func:`strike_of`. The step
+    is an integer so that it can be a grouping and join key.
     """
     step = F.col("o_orderkey") % 20
     return _orders_with_customer(spark, sf_dir).select(
