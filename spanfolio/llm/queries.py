@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe
+from spanfolio.llm import bpe, decontam, pii
+from spanfolio.llm.text import numbered
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def vocabulary() -> tuple[str, str]:
     """File of ranks and the pattern that splits texts, of the installed tokenizer files."""
     import public_tokenizers
@@ -20,13 +26,43 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def sha(column) -> F.Column:
+    return F.sha2(column.cast("binary"), 256)
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text that lie in windows of benchmark items."""
+    rows, key = numbered(documents(spark, sf_dir))
+    found = decontam.hits(rows, table(spark, sf_dir, "benchmark"), key)
+    out = found.withColumns(
+        {
+            "n_items": F.size("items").cast("long"),
+            "items_sha256": sha(F.array_join("items", ",")),
+            "contaminated": F.col("n_hit") > 0,
+        }
+    ).drop("items", "spans")
+    return rows.drop("text").join(out, key).drop(key)
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every whole text: counts and digest of the base kinds, and all spans."""
+    found = pii.found(documents(spark, sf_dir), name="found")
+    joined = lambda where: F.expr(
+        f"array_join(transform(filter(found, x -> {where}), x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
+    )
+    counts = [F.expr(f"cast(size(filter(found, x -> x.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.BASE]
+    base = joined("x.kind in (" + ", ".join(f"'{k}'" for k in pii.BASE) + ")")
+    return found.select("doc_id", *counts, sha(base).alias("base_sha256"), joined("true").alias("spans"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding of every whole text and the text decoded again, as digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encoded(docs, *vocabulary(), digest=True).drop("text")
+    return bpe.encoded(documents(spark, sf_dir), *vocabulary(), digest=True).drop("text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op7_pii": op7_pii,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

@@ -19,7 +19,7 @@ from spanfolio.sources.workspace import materialise
 PIECE = 1 << 18
 CHUNK_BYTES = 1 << 22
 MULTIPLIER = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+_LOW = np.uint64((1 << 32) - 1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -135,26 +135,32 @@ def sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
 def anchors(gram: np.ndarray, width: int) -> np.ndarray:
     """Winnowing: for every ``width`` consecutive grams the position of the least, the leftmost of equal ones.
 
-    The order is that of the upper bits of the hash; which gram a window picks depends
+    The order is that of the upper half of the hash; which gram a window picks depends
     on the window alone, so equal windows pick the same one.
     """
-    bits = max(1, int(len(gram)).bit_length())
-    low = np.uint64((1 << bits) - 1)
-    keys = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
-    return (sliding_min(keys, width) & low).astype(np.int64)
+    keys = (gram & ~_LOW) | np.arange(len(gram), dtype=np.uint64)
+    return (sliding_min(keys, width) & _LOW).astype(np.int64)
 
 
-def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns ``_k`` (a whole number for each row, in the order of ids) and ``id``, ``text``.
+def room(first: np.ndarray) -> np.ndarray:
+    """For each word (or byte) how many there are from it to the end of its text."""
+    counts = np.diff(first)
+    return np.repeat(first[1:], counts) - np.arange(first[0], first[-1])
 
-    Ids that are unique whole numbers are their own number. Otherwise (repeated or
-    null ids, ids of another type) every row counts as a document of its own, in the
-    order of id (null first) and text hash, and the numbered table is written.
+
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a column of whole numbers, one for each row and in the order of ids, and its name.
+
+    Ids that are unique whole numbers are their own number. Otherwise (repeated or null
+    ids, ids of another type) every row counts as a document of its own, in the order of
+    id (null first) and text hash, and the numbered table is written.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    if dict(named.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint"):
-        twice = named.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null")
+    key = "row_number"
+    while key in docs.columns:
+        key += "_"
+    if dict(docs.dtypes)[id_col] in ("tinyint", "smallint", "int", "bigint"):
+        twice = docs.groupBy(id_col).agg(F.count("*").alias("n")).where(F.col("n").__gt__(1) | F.col(id_col).isNull())
         if twice.isEmpty():
-            return named.select(F.col("id").cast("long").alias("_k"), "id", "text")
-    ordered = named.orderBy(F.col("id").asc_nulls_first(), F.xxhash64("text"))
-    return materialise(ordered.select(F.monotonically_increasing_id().alias("_k"), "id", "text"), "numbered")
+            return docs.withColumn(key, F.col(id_col).cast("long")), key
+    ordered = docs.orderBy(F.col(id_col).asc_nulls_first(), F.xxhash64(text_col))
+    return materialise(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered"), key
