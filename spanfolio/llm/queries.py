@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, decontam, pii
+from spanfolio.llm import bpe, decontam, perplexity, pii
 from spanfolio.llm.text import numbered
 
 
@@ -60,10 +60,17 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir), *vocabulary(), digest=True).drop("text")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts of every whole text and the verdict of rules and perplexity band."""
+    rows, key = numbered(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return rows.select("doc_id", key).join(perplexity.judged(rows, key), key).drop(key)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op7_pii": op7_pii,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
