@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, decontam, perplexity, pii
+from spanfolio.llm import bpe, decontam, perplexity, pii, quality_crf, toxicity
+from spanfolio.llm.labelled import in_training
 from spanfolio.llm.text import numbered
 
 
@@ -30,6 +31,17 @@ def sha(column) -> F.Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", (~in_training()).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that each whole text is toxic, learned from the labels that may be learned from."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(in_training()))
+    return _judged(toxicity.scored(docs, model), 0.3)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text that lie in windows of benchmark items."""
     rows, key = numbered(documents(spark, sf_dir))
@@ -44,6 +56,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return rows.drop("text").join(out, key).drop(key)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that each whole text is good, learned from the labels that may be learned from."""
+    docs = documents(spark, sf_dir)
+    field = quality_crf.fit(docs, table(spark, sf_dir, "labels").where(in_training()))
+    return _judged(quality_crf.scored(docs, field), 0.7)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every whole text: counts and digest of the base kinds, and all spans."""
     found = pii.found(documents(spark, sf_dir), name="found")
@@ -67,7 +86,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_pii": op7_pii,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
