@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from spanfolio.sources.workspace import materialise
 
 PIECE = 1 << 18
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 MULTIPLIER = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 32) - 1)
 
