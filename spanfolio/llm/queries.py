@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, decontam, perplexity, pii, quality_crf, toxicity
+from spanfolio.llm import bpe, decontam, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity
 from spanfolio.llm.labelled import in_training
 from spanfolio.llm.text import numbered
 
@@ -42,6 +42,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.scored(docs, model), 0.3)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text that lie in strings of 100 bytes that start earlier too, removed."""
+    rows, key = numbered(documents(spark, sf_dir))
+    return rows.select("doc_id", key).join(suffix.deduplicated(rows, key, digest=True), key).drop(key)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text that lie in windows of benchmark items."""
     rows, key = numbered(documents(spark, sf_dir))
@@ -63,6 +69,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_crf.scored(docs, field), 0.7)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every whole text, and whether the text is its first."""
+    rows, key = numbered(documents(spark, sf_dir))
+    found = minhash.grouped(rows, key)
+    first = rows.select(F.col(key).alias("component"), F.col("doc_id").alias("component_id"))
+    out = rows.select("doc_id", key).join(found, key).join(first, "component")
+    return out.select("doc_id", "n_shingles", "component_id", (F.col(key) == F.col("component")).alias("kept"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every whole text: counts and digest of the base kinds, and all spans."""
     found = pii.found(documents(spark, sf_dir), name="found")
@@ -79,6 +94,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir), *vocabulary(), digest=True).drop("text")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text that lie in windows of 20 words that start earlier too, removed."""
+    rows, key = numbered(documents(spark, sf_dir))
+    return rows.select("doc_id", key).join(substring.deduplicated(rows, key, digest=True), key).drop(key)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain counts of every whole text and the verdict of rules and perplexity band."""
     rows, key = numbered(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -87,10 +108,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pii": op7_pii,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -142,12 +142,50 @@ def anchors(gram: np.ndarray, width: int) -> np.ndarray:
     return (sliding_min(keys, width) & _LOW).astype(np.int64)
 
 
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every n consecutive bytes."""
+    out = np.empty(max(0, len(data) - n + 1), np.uint64)
+    for low in range(0, len(out), PIECE - n):
+        part = data[low : low + PIECE].astype(np.uint64) + np.uint64(1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _POWERS[: len(part)], out=total[1:])
+        some = min(PIECE - n, len(out) - low)
+        out[low : low + some] = mixed((total[n : n + some] - total[:some]) * _INVERSE[:some])
+    return out
+
+
 def room(first: np.ndarray) -> np.ndarray:
     """For each word (or byte) how many there are from it to the end of its text."""
     counts = np.diff(first)
     return np.repeat(first[1:], counts) - np.arange(first[0], first[-1])
 
 
+def compressed(rows: DataFrame) -> DataFrame:
+    """(key, text) as (key, n_bytes, packed): what a shuffle of whole texts carries. A null text counts as empty."""
+
+    def run(batches):
+        for batch, data, offsets in chunks(batches):
+            packed = [pa.compress(data[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(offsets), pa.int64()), pa.array(packed, pa.binary())], names=["key", "n_bytes", "packed"])
+
+    return rows.select("key", "text").mapInArrow(run, "key long, n_bytes long, packed binary")
+
+
+def unpacked(batches, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """``chunks`` of batches with compressed texts."""
+    for batch in batches:
+        sizes = batch.column("n_bytes").to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        first = 0
+        while first < len(batch):
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+            last = min(last, len(batch))
+            part = batch.slice(first, last - first)
+            texts = [pa.decompress(z.as_py(), int(n), codec="zstd", asbytes=True) for z, n in zip(part.column("packed"), sizes[first:last], strict=True)]
+            yield part, np.frombuffer(b"".join(texts), np.uint8), offsets[first : last + 1] - offsets[first]
+            first = last
+
+
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with a column of whole numbers, one for each row and in the order of ids, and its name.
 
