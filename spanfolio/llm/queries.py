@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, decontam, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity
+from spanfolio.llm import bpe, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity
 from spanfolio.llm.labelled import in_training
 from spanfolio.llm.text import numbered
 
@@ -62,6 +62,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return rows.drop("text").join(out, key).drop(key)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every whole text that repeat an earlier one or are one word from it, removed."""
+    out = linededup.deduplicated(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", sha(F.col("text")).alias("kept_sha256"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that each whole text is good, learned from the labels that may be learned from."""
     docs = documents(spark, sf_dir)
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pii": op7_pii,

@@ -22,14 +22,14 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 32) - 1)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-_POWERS = _powers(MULTIPLIER, PIECE + 1)
-_INVERSE = _powers(pow(MULTIPLIER, -1, 1 << 64), PIECE + 1)
+_POWERS = powers(MULTIPLIER, PIECE + 1)
+_INVERSE = powers(pow(MULTIPLIER, -1, 1 << 64), PIECE + 1)
 
 #: Bytes that are part of a word where words are split at white space only.
 NOT_SPACE = np.ones(256, bool)
@@ -100,7 +100,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         upto = max(at + 1, int(np.searchsorted(ends, base + PIECE, "right")))
         size = int(ends[upto - 1]) - base
         if size > PIECE:  # one span longer than a piece
-            power, inverse = _powers(MULTIPLIER, size + 1), np.ones(1, np.uint64)
+            power, inverse = powers(MULTIPLIER, size + 1), np.ones(1, np.uint64)
         else:
             power, inverse = _POWERS, _INVERSE
         total = np.zeros(size + 1, np.uint64)
