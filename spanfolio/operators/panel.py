@@ -119,6 +119,18 @@ def fill_grid(panel: DataFrame, value: str = "price") -> DataFrame:
     return grid.join(panel.select("universe", "asset", "dt", value), ["universe", "asset", "dt"], "left")
 
 
+def padded_returns(prices: DataFrame, skip: int = 0) -> DataFrame:
+    """``(universe, dt, ix, asset, r)`` over filled gaps, from the date numbered ``skip`` on.
+
+    ``ix`` numbers all dates of a universe from 0, whether every asset has a price or
+    not. An asset has a return from the date after its first price on.
+    """
+    grid = fill_grid(prices)
+    dates = calendar(prices.select("universe", "dt").distinct())
+    returns = simple_returns(grid, pad=True)
+    return skip_rows(returns.join(dates, ["universe", "dt"]), skip).select("universe", "dt", "ix", "asset", "r")
+
+
 def standardise(returns: DataFrame, by: str = "sample") -> DataFrame:
     """Subtract the mean of each asset and divide by its sample deviation.
 

@@ -27,6 +27,10 @@ METHODS = (
 )
 
 OK = "ok"
+#: Least over largest eigenvalue below which a matrix counts as singular.
+SINGULAR = 1e-12
+#: Share of the largest eigenvalue added to the variances of a singular matrix where weights are bounded.
+RIDGE = 1e-9
 
 
 def _directions(stack: np.ndarray, mu: np.ndarray):
@@ -88,16 +92,22 @@ def _solver(method: str):
             known = np.isfinite(stack).all(axis=(1, 2)) & np.isfinite(means).all(axis=1)
             status[at[~known]] = "undefined"
             at, stack, means = at[known], stack[known], means[known]
-            solvable = np.linalg.eigvalsh(stack)[:, 0] > 0
+            if len(at) == 0:
+                continue
+            spectrum = np.linalg.eigvalsh(stack)
+            solvable = (spectrum[:, -1] > 0) & (spectrum[:, 0] > SINGULAR * spectrum[:, -1])
+            if method in ("long_only", "short_budget"):
+                # bounds make the least variance finite without an inverse; of equal portfolios the evenest is taken
+                flat = ~solvable & (spectrum[:, -1] > 0) & (spectrum[:, 0] > -1e-9 * spectrum[:, -1])
+                stack = stack + (flat * RIDGE * spectrum[:, -1])[:, None, None] * np.eye(stack.shape[1])
+                solvable |= flat
             status[at[~solvable]] = "singular"
             at, stack, means = at[solvable], stack[solvable], means[solvable]
             if len(at) == 0:
                 continue
             if method in ("long_only", "short_budget"):
                 for i, c, m in zip(at, stack, means):
-                    weights[i] = _bounded(method, c, m, targets[i], limits[i])
-                    if weights[i] is None:
-                        status[i] = "infeasible"
+                    weights[i], status[i] = _bounded(method, c, m, targets[i], limits[i])
             else:
                 found, state = _closed_form(method, stack, means, targets[at])
                 for i, w, s in zip(at, found, state):
@@ -128,7 +138,9 @@ def solve(
     ``limit``. ``target_vol``: highest return at volatility ``target``.
     ``tangency``: highest ratio of return above ``target`` to volatility.
     ``target`` and ``limit`` may be columns. A key without a solution gets a
-    status other than ``ok`` and null weights.
+    status other than ``ok`` and null weights. A matrix counts as singular by its
+    least eigenvalue relative to the largest; ``long_only`` and ``short_budget`` solve such a
+    key too, with fewer dates than assets for instance, as their bounds keep it finite.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}")

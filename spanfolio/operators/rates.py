@@ -200,7 +200,7 @@ def price_swaps(contracts: DataFrame, levels: DataFrame, strike: Column) -> Data
     """Positions with ``states`` (swap at exercise) and ``unit`` (swaption now), per unit notional.
 
     ``levels`` is :func:`calibrate` output. Positions on a curve that could not
-    be fitted carry nulls.
+    be fitted carry nulls and their notional as ``unpriced``; see :func:`swap_values`.
     """
     held = positions(contracts, ["curve_id", "desk", "strike_step", "exercise"], "notional")
     return (
@@ -208,10 +208,33 @@ def price_swaps(contracts: DataFrame, levels: DataFrame, strike: Column) -> Data
         .withColumn("strike", strike)
         .withColumn("states", swap_states("strike"))
         .withColumn("unit", swaption_value("states"))
+        .withColumn("unpriced", F.when(F.col("unit").isNull(), F.col("notional")).otherwise(F.lit(0.0)))
         .drop("floating", "annuity", "state_price")
     )
 
 
+def swap_values(priced: DataFrame) -> DataFrame:
+    """Swap value by desk, exercise and state, and the notional of the desk and date that has no price.
+
+    Where no position of a desk and date has a price there is one row with a null state.
+    """
+    states = priced.select("desk", "exercise", "notional", "unpriced", F.posexplode_outer("states").alias("s", "v"))
+    value = states.where("s IS NOT NULL").groupBy("desk", "exercise", F.col("s").cast("long").alias("state")).agg(
+        F.sum(F.col("notional") * F.col("v")).alias("value")
+    )
+    without = priced.groupBy("desk", "exercise").agg(F.sum("unpriced").alias("unpriced"))
+    return without.join(value, ["desk", "exercise"], "left").select("desk", "exercise", "state", "value", "unpriced")
+
+
+def swaption_values(priced: DataFrame) -> DataFrame:
+    """Notional, swaption value and notional without a price by desk and curve."""
+    return priced.groupBy("desk", "curve_id").agg(
+        F.sum("notional").alias("notional"),
+        F.sum(F.col("notional") * F.col("unit")).alias("value"),
+        F.sum("unpriced").alias("unpriced"),
+    )
+
+
 def bond_values(bonds: DataFrame) -> DataFrame:
     """Face and value per issuer; each distinct recovery and maturity is one lattice."""
     held = positions(bonds, ["issuer", "recovery_step", "maturity"], "face")

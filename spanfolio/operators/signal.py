@@ -56,30 +56,34 @@ def regime_weights(shift: DataFrame) -> DataFrame:
 def backtest(
     weights: DataFrame, returns: DataFrame, periods_per_year: int = 252, lag: int = 0
 ) -> DataFrame:
-    """``(universe, n, ann_ret, ann_vol, sharpe)`` of dated weights.
+    """``(universe, n, n_unmatched, ann_ret, ann_vol, sharpe)`` of dated weights.
 
     The definition is this library's own: growth compounded to a year, sample
     deviation times the root of the periods, and their ratio. ``lag`` applies a
-    weight that many of its own dates later; 0 uses the same date.
+    weight that many of its own dates later; 0 uses the same date. A date on which
+    some weight meets no return has no result: ``n`` counts dates with one,
+    ``n_unmatched`` the others. A return of -1 or less ends in a total loss.
     """
     if lag:
         order = Window.partitionBy("universe", "asset").orderBy("dt")
         weights = weights.withColumn("dt", F.lead("dt", lag).over(order)).where("dt IS NOT NULL")
     daily = (
-        weights.join(returns.select("universe", "dt", "asset", "r"), ["universe", "dt", "asset"])
+        weights.join(returns.select("universe", "dt", "asset", "r"), ["universe", "dt", "asset"], "left")
         .groupBy("universe", "dt")
-        .agg(F.sum(F.col("w") * F.col("r")).alias("r"))
+        .agg(F.when(F.count("r") == F.count(F.lit(1)), F.sum(F.col("w") * F.col("r"))).alias("r"))
     )
     n = F.col("n")
     return (
         daily.groupBy("universe")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count("r").alias("n"),
+            F.count(F.when(F.col("r").isNull(), 1)).alias("n_unmatched"),
             F.sum(F.log1p("r")).alias("growth"),
+            F.coalesce(F.max(F.col("r") <= -1), F.lit(False)).alias("lost"),
             F.stddev_samp("r").alias("sd"),
         )
-        .withColumn("ann_ret", F.exp(F.col("growth") * (periods_per_year / n)) - 1)
+        .withColumn("ann_ret", F.when(F.col("lost"), -1.0).otherwise(F.exp(F.col("growth") * F.try_divide(F.lit(float(periods_per_year)), n)) - 1))
         .withColumn("ann_vol", F.col("sd") * F.sqrt(F.lit(float(periods_per_year))))
         .withColumn("sharpe", safe_ratio(F.col("ann_ret"), F.col("ann_vol")))
-        .select("universe", "n", "ann_ret", "ann_vol", "sharpe")
+        .select("universe", "n", "n_unmatched", "ann_ret", "ann_vol", "sharpe")
     )

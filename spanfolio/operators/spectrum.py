@@ -83,21 +83,23 @@ def components_needed(spectra: DataFrame, keys: list[str], threshold: float = 0.
 def absorption_and_components(
     values: DataFrame, keys: list[str], frac: float = 0.2, threshold: float = 0.8
 ) -> DataFrame:
-    """Both measures from rows of :func:`eigenvalues`, as array expressions without a shuffle."""
+    """Both measures from rows of :func:`eigenvalues`, as array expressions without a shuffle.
+
+    A matrix without variance has neither.
+    """
     top = F.greatest(F.floor(F.lit(frac) * F.size("v")), F.lit(1).cast("long")).cast("int")
     total = "aggregate(v, 0D, (s, x) -> s + x)"
     before = F.expr(
         f"""aggregate(v, named_struct('sum', 0D, 'k', 0L),
             (s, x) -> named_struct('sum', s.sum + x,
-                'k', s.k + IF((s.sum + x) / total >= {threshold}D, 0L, 1L))).k"""
+                'k', s.k + IF(try_divide(s.sum + x, total) >= {threshold}D, 0L, 1L))).k"""
     )
     return (
         values.select(*keys, "v", top.alias("top"), F.expr(total).alias("total"))
-        .where("total <> 0")
         .select(
             *keys,
-            F.expr("aggregate(slice(v, 1, top), 0D, (s, x) -> s + x) / total").alias("ar"),
-            (before + 1).alias("components"),
+            F.expr("try_divide(aggregate(slice(v, 1, top), 0D, (s, x) -> s + x), total)").alias("ar"),
+            F.when(F.col("total") != 0, before + 1).alias("components"),
         )
     )
 
@@ -107,7 +109,7 @@ def absorption_series(
     dates: DataFrame,
     lookback: int = 504,
     start: int = 1512,
-    stop: int | None = 2520,
+    stop: int | None = None,
     step: int = 1,
     refresh: int = 21,
     frac: float = 0.2,

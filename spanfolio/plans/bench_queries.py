@@ -34,12 +34,12 @@ def asset_risk_report_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_cov_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, BRANDS_DAY)
-    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p.deviation)
+    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512), p.deviation)
 
 
 def absorption_series_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, BRANDS_DAY)
-    return C.absorption_series(p.rows, p.dates, 504, 1512, 2520, deviation=p.deviation)
+    return C.absorption_series(p.rows, p.dates, 504, 1512, deviation=p.deviation)
 
 
 def warm_up(spark: SparkSession, sf_dir: str) -> None:

@@ -51,28 +51,23 @@ def rate_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(nodes, ["curve_id", "i", "j"], rate=9)
 
 
+def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priced positions. Orders and customers are joined once: curves come from the contracts that are kept."""
+    contracts = materialise(T.contracts(spark, sf_dir), "contracts")
+    levels = materialise(L.calibrate(T.curves_of(contracts)), "levels")
+    return L.price_swaps(contracts, levels, T.strike_of(F.col("strike_step")))
+
+
 def swap_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Swap value by desk, exercise date and state of that date."""
-    priced = L.price_swaps(
-        T.contracts(spark, sf_dir), _levels(spark, sf_dir), T.strike_of(F.col("strike_step"))
-    )
-    states = priced.select("desk", "exercise", "notional", F.posexplode("states").alias("s", "v"))
-    book = states.groupBy("desk", "exercise", F.col("s").cast("long").alias("state")).agg(
-        F.sum(F.col("notional") * F.col("v")).alias("value")
-    )
-    return show(book, ["desk", "exercise", "state"], value=1)
+    book = L.swap_values(materialise(_priced(spark, sf_dir), "priced"))
+    return show(book, ["desk", "exercise", "state"], value=1, unpriced=2)
 
 
 def swaption_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Swaption value by desk and curve."""
-    priced = L.price_swaps(
-        T.contracts(spark, sf_dir), _levels(spark, sf_dir), T.strike_of(F.col("strike_step"))
-    )
-    book = priced.groupBy("desk", "curve_id").agg(
-        F.sum("notional").alias("notional"),
-        F.sum(F.col("notional") * F.col("unit")).alias("value"),
-    )
-    return show(book, ["desk", "curve_id"], notional=2, value=3)
+    book = L.swaption_values(_priced(spark, sf_dir))
+    return show(book, ["desk", "curve_id"], notional=2, value=3, unpriced=2)
 
 
 def _maturities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,12 +134,12 @@ ORACLES = {
     "(SELECT *, unnest(range(0, i + 1)) AS j FROM "
     "(SELECT *, unnest(range(0, 10)) AS i FROM cv JOIN cal_levels USING (sh)))",
     "swap_book": S.with_(*_LEVELS, *S.terms(), recursive=True)
-    + f"SELECT desk, exercise, state, {S.rnd('sum(notional * v)', 1)} AS value FROM "
+    + f"SELECT desk, exercise, state, {S.rnd('sum(notional * v)', 1)} AS value, 0.0::DOUBLE AS unpriced FROM "
     "(SELECT desk, exercise, notional, unnest(states) AS v, unnest(range(0, len(states))) AS state "
     "FROM held JOIN cv USING (curve_id) JOIN unit USING (sh, strike_step, exercise)) GROUP BY ALL",
     "swaption_book": S.with_(*_LEVELS, *S.terms(), recursive=True)
     + f"SELECT desk, curve_id, {S.rnd('sum(notional)', 2)} AS notional, "
-    f"{S.rnd('sum(notional * value)', 3)} AS value "
+    f"{S.rnd('sum(notional * value)', 3)} AS value, 0.0::DOUBLE AS unpriced "
     "FROM held JOIN cv USING (curve_id) JOIN unit USING (sh, strike_step, exercise) GROUP BY ALL",
     "rate_lattice_updown": S.with_(_SIZES)
     + f"SELECT maturity::BIGINT AS maturity, n_bonds, i, j, {S.rnd(_RATE, 9)} AS rate FROM {_nodes('maturity')}",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanfolio.operators import panel as P
 from spanfolio.operators import rolling as R
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import aligned_prices, dates_of, panel_of, prices_of, returns_of, show
+from spanfolio.plans.common import aligned_prices, asset_names, dates_of, panel_of, prices_of, returns_of, show
 from spanfolio.sources import sheets
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
@@ -23,6 +23,7 @@ from spanfolio.sources.tables import (
 )
 from spanfolio.sources.workspace import materialise, new_path
 
+#: Names in the SQL of wide results, which must write them out.
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 KEY = ["universe", "dt", "asset"]
 
@@ -36,8 +37,8 @@ def _logged(panel: DataFrame, plain: list[str]) -> DataFrame:
 def load_wide_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the panel as a wide sheet, read it back with the sheet reader."""
     path = new_path(spark, "sheet")
-    sheets.write_wide_csv(sheets.to_wide(price_panel(spark, sf_dir, TYPES_DAY), "price", TYPES), path)
-    wide = sheets.drop_incomplete(sheets.read_wide_csv(spark, path, TYPES))
+    sheets.write_wide_csv(sheets.to_wide(price_panel(spark, sf_dir, TYPES_DAY), "price"), path)
+    wide = sheets.drop_incomplete(sheets.read_wide_csv(spark, path))
     return _logged(sheets.to_long(wide), KEY)
 
 
@@ -57,7 +58,7 @@ def panel_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("dt", "asset", F.when(F.col("n") % 7 == 0, "n/a").otherwise(F.col("p").cast("string")).alias("cell"))
     )
-    raw = sheets.drop_leading(sheets.to_wide(cells, "cell", TYPES))
+    raw = sheets.drop_leading(sheets.to_wide(cells, "cell"))
     named = sheets.name_by_position(raw, [f"stock_{i}" for i in range(1, 24)])
     clean = sheets.drop_incomplete(sheets.coerce_numeric(named, named.columns))
     return show(clean.withColumns({c: F.log(c) for c in clean.columns}), [], **{c: 8 for c in clean.columns})
@@ -75,22 +76,20 @@ def exclude_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = sheets.to_wide(price_panel(spark, sf_dir, TYPES_WEEK), "price", TYPES)
+    wide = sheets.to_wide(price_panel(spark, sf_dir, TYPES_WEEK), "price")
     return _logged(sheets.to_long(wide), KEY)
 
 
 def panel_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = sheets.to_wide(price_panel(spark, sf_dir, TYPES_DAY), "price", TYPES)
-    return show(wide.withColumns({t: F.log(t) for t in TYPES}), ["dt"], **{t: 8 for t in TYPES})
+    wide = sheets.to_wide(price_panel(spark, sf_dir, TYPES_DAY), "price")
+    types = wide.columns[1:]
+    return show(wide.withColumns({t: F.log(f"`{t}`") for t in types}), ["dt"], **{t: 8 for t in types})
 
 
 def stack_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two separate series of dates and values under their names."""
+    """Separate series of dates and values, one for each type, under their names."""
     prices = prices_of(spark, sf_dir, TYPES_DAY)
-    funds = {
-        name: prices.where(F.col("asset") == kind).select("dt", "price")
-        for name, kind in (("EQ", "ECONOMY"), ("FI", "STANDARD"))
-    }
+    funds = {f"{t} FUND": prices.where(F.col("asset") == t).select("dt", "price") for t in asset_names(prices)}
     return _logged(sheets.stack_series(funds, "price"), KEY)
 
 
@@ -115,6 +114,20 @@ def log_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show(P.log_returns(aligned_prices(spark, sf_dir, TYPES_DAY)), [*KEY, "ix"], r=6)
 
 
+def load_wide_csv_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet with gaps, whose columns are in another order than the schema asked for; no row is dropped."""
+    path = new_path(spark, "sheet")
+    sheets.write_wide_csv(sheets.to_wide(price_panel(spark, sf_dir, BRANDS_WEEK), "price"), path)
+    names = sheets.header(spark, path)
+    wide = sheets.read_wide_csv(spark, path, sorted(names, reverse=True))
+    return _logged(sheets.to_long(wide), KEY)
+
+
+def padded_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns over filled gaps from row 100 of the calendar of all dates on."""
+    return show(P.padded_returns(prices_of(spark, sf_dir, BRANDS_WEEK), 100), [*KEY, "ix"], r=6)
+
+
 def padded_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returns of 25 assets over gaps, each carrying its last price."""
     grid = P.fill_grid(prices_of(spark, sf_dir, BRANDS_WEEK))
@@ -127,7 +140,7 @@ def standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def past_standardised_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     returns = P.simple_returns(aligned_prices(spark, sf_dir, TYPES_WEEK))
-    return show(P.standardise(returns, by="past").where("ix >= 20"), [*KEY, "ix"], r=6)
+    return show(P.standardise(returns, by="past"), [*KEY, "ix"], r=6)
 
 
 def half_life_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +171,8 @@ def scheduled_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean return of each 21st row, carried to the rows after it."""
     returns = P.simple_returns(aligned_prices(spark, sf_dir, FLAGS_DAY))
     per_date = materialise(returns.groupBy("universe", "dt", "ix").agg(F.avg("r").alias("r")), "series")
-    grid = P.evaluation_grid(per_date.select("universe", "dt", "ix"), 1512, 2520, 1)
-    due = P.evaluation_grid(per_date, 1512, 2520, 21)
+    grid = P.evaluation_grid(per_date.select("universe", "dt", "ix"), 1512, None, 1)
+    due = P.evaluation_grid(per_date, 1512, None, 21)
     carried = R.carry_forward(grid, due, 1512, 1, 21)
     return show(carried, ["universe", "dt", "ix"], r=6)
 
@@ -176,7 +189,7 @@ QUERIES = {
     for f in (
         load_wide_csv, complete_panel, panel_clean, asset_head, exclude_benchmark, panel_unpivot,
         panel_pivot, stack_series, skip_rows, evaluation_grid, calendar, simple_returns, log_returns,
-        padded_returns, standardised_returns, past_standardised_returns, half_life_weights,
+        padded_returns, padded_skip, load_wide_csv_incomplete, standardised_returns, past_standardised_returns, half_life_weights,
         rolling_mean, rolling_std, scheduled_ffill, irregular_ffill,
     )
 }
@@ -214,8 +227,7 @@ ORACLES = {
     + _cells("(round_even(ln(max(price) FILTER (WHERE asset = '{t}')), 8) + 0.0) AS \"{t}\"")
     + " FROM prices GROUP BY dt",
     "stack_series": S.with_(S.prices(TYPES_DAY))
-    + f"SELECT universe, dt, CASE asset WHEN 'ECONOMY' THEN 'EQ' ELSE 'FI' END AS asset, {_PRICE} "
-    "FROM prices WHERE asset IN ('ECONOMY', 'STANDARD')",
+    + f"SELECT universe, dt, asset || ' FUND' AS asset, {_PRICE} FROM prices",
     "skip_rows": S.with_(*S.base(TYPES_DAY)) + f"SELECT {_KEYS}, ix, {_RET} FROM rets WHERE ix >= 1450",
     "evaluation_grid": S.with_(*S.base(TYPES_DAY), S.dates("rets"), S.schedule(1512, 5, 2520))
     + "SELECT universe, dt, ix FROM sched",
@@ -225,21 +237,15 @@ ORACLES = {
     "log_returns": S.with_(S.prices(TYPES_DAY), S.aligned())
     + f"SELECT {_KEYS}, ix, {_RET} FROM (SELECT {_KEYS}, ix - 1 AS ix, ln(price) "
     "- ln(lag(price) OVER (PARTITION BY universe, asset ORDER BY dt)) AS r FROM px) WHERE r IS NOT NULL",
-    "padded_returns": S.with_(
-        S.prices(BRANDS_WEEK),
-        "grid AS (SELECT a.universe, d.dt, a.asset, p.price FROM (SELECT DISTINCT universe, asset FROM prices) a "
-        "JOIN (SELECT DISTINCT universe, dt FROM prices) d USING (universe) "
-        "LEFT JOIN prices p ON p.universe = a.universe AND p.dt = d.dt AND p.asset = a.asset)",
-        "padded AS (SELECT universe, dt, asset, last_value(price IGNORE NULLS) OVER (PARTITION BY universe, asset "
-        "ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price FROM grid)",
-    )
-    + f"SELECT {_KEYS}, {_RET} FROM (SELECT {_KEYS}, price / lag(price) OVER "
-    "(PARTITION BY universe, asset ORDER BY dt) - 1 AS r FROM padded) WHERE r IS NOT NULL",
+    "padded_returns": S.with_(S.prices(BRANDS_WEEK), *S.padded()) + f"SELECT {_KEYS}, {_RET} FROM padded_rets",
+    "padded_skip": S.with_(S.prices(BRANDS_WEEK), *S.padded())
+    + f"SELECT {_KEYS}, ix, {_RET} FROM padded_rets WHERE ix >= 100",
+    "load_wide_csv_incomplete": S.with_(S.prices(BRANDS_WEEK)) + f"SELECT {_KEYS}, {_PRICE} FROM prices",
     "standardised_returns": S.with_(*S.base(BRANDS_WEEK, standard=True)) + f"SELECT {_KEYS}, ix, {_RET} FROM zr",
     "past_standardised_returns": S.with_(*S.base(TYPES_WEEK))
     + f"SELECT {_KEYS}, ix, {S.rnd('z', 6)} AS r FROM (SELECT {_KEYS}, ix, "
     "(r - avg(r) OVER w) / stddev_samp(r) OVER w AS z FROM rets WINDOW w AS (PARTITION BY universe, asset "
-    "ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE ix >= 20",
+    "ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
     "half_life_weights": S.with_(*S.base(BRAND_FLAGS_MONTH), S.dates("rets"))
     + f"SELECT universe, dt, ix, {S.rnd('2.0 ** (-ix / 24.0) / sum(2.0 ** (-ix / 24.0)) OVER (PARTITION BY universe)', 9)} AS w FROM cal",
     "rolling_mean": S.with_(*S.base(FLAGS_DAY), _SERIES)
@@ -248,7 +254,7 @@ ORACLES = {
     "rolling_std": S.with_(*S.base(FLAGS_DAY), _SERIES)
     + f"SELECT universe, dt, {S.rnd(_full('r', 'stddev_samp', 252), 6)} AS sd_252 FROM series",
     "scheduled_ffill": S.with_(
-        *S.base(FLAGS_DAY), S.dates("rets"), S.schedule(1512, 1, 2520),
+        *S.base(FLAGS_DAY), S.dates("rets"), S.schedule(1512, 1),
         "series AS (SELECT universe, ix, avg(r) AS r FROM rets GROUP BY ALL)",
     )
     + f"SELECT s.universe, s.dt, s.ix, {S.rnd('v.r', 6)} AS r FROM sched s "

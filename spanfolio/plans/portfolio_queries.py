@@ -89,14 +89,15 @@ def target_vol_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return, the same written as riskless rate plus excess, and volatility."""
     m = Moments(spark, sf_dir, written=True)
     weights = O.weights_long(O.solve(_vols(m), "target_vol", F.col("target")), LEVEL)
-    solved = materialise(weights.where("status = 'ok'"), "weights")
+    solved = materialise(weights, "weights")
+    status = solved.groupBy(*LEVEL).agg(F.first("status").alias("status"))
     stats = O.portfolio_stats(solved, m.mu, m.cov, LEVEL)
     excess = (
         solved.join(m.mu, ["universe", "asset"])
         .groupBy(*LEVEL)
         .agg((RF + F.sum(F.col("w") * (F.col("mu") - RF))).alias("ret_excess"))
     )
-    return show(stats.join(excess, LEVEL), LEVEL, ret=6, ret_excess=6, vol=6)
+    return show(stats.join(excess, LEVEL).join(status, LEVEL), [*LEVEL, "status"], ret=6, ret_excess=6, vol=6)
 
 
 def _tangency(m: Moments) -> DataFrame:
@@ -171,6 +172,26 @@ def rolling_min_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weights(O.solve(rows, "min_variance"), keys)
 
 
+def degenerate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each universe beside two of its own: one with an asset twice, one with two dates only.
+
+    A key that can't be solved says so and leaves the others alone; without short sales
+    both can be.
+    """
+    returns = returns_of(spark, sf_dir, BRAND_FLAGS_MONTH).select("universe", "ix", "asset", "n_assets", "r")
+    doubled = returns.unionByName(returns.where("asset = 'A'").withColumn("asset", F.lit("A2")))
+    as_kind = lambda df, kind: df.withColumn("universe", F.concat("universe", F.lit(f" {kind}")))
+    rows = as_kind(returns, "whole").unionByName(as_kind(doubled.withColumn("n_assets", F.col("n_assets") + 1), "twice"))
+    rows = materialise(rows.unionByName(as_kind(returns.where("ix < 2"), "short")), "returns")
+    matrices = materialise(M.matrix_rows(M.covariance(rows), UNIVERSE).withColumn("mu", F.array_repeat(F.lit(0.0), F.size("assets"))), "matrices")
+    free = O.solve(matrices, "min_variance").select("universe", F.col("status").alias("free"), F.aggregate("w", F.lit(0.0), lambda s, x: s + x).alias("sum_free"))
+    bound = O.solve(matrices, "long_only").select(
+        "universe", F.col("status").alias("bound"), F.aggregate("w", F.lit(0.0), lambda s, x: s + x).alias("sum_bound"),
+        (F.array_min("w") > -1e-7).alias("no_short"),
+    )
+    return show(free.join(bound, "universe"), ["universe", "free", "bound", "no_short"], sum_free=6, sum_bound=6)
+
+
 def _gradient(m: Moments, weights: DataFrame) -> DataFrame:
     """``(universe, asset, w, g)`` with g the covariance of each asset with the portfolio over its variance."""
     full = M.both_halves(m.cov).join(
@@ -210,7 +231,7 @@ QUERIES = {
     for f in (
         min_variance, return_floor, long_only, short_budget, target_vol, target_vol_stats, tangency,
         tangency_stats, target_vol_riskless, realised_riskless, portfolio_stats, two_fund_frontier,
-        solution_diff, rolling_min_variance, min_variance_wide, long_only_wide,
+        solution_diff, degenerate_keys, rolling_min_variance, min_variance_wide, long_only_wide,
     )
 }
 
@@ -334,9 +355,9 @@ ORACLES = {
     "short_budget": S.with_(*_BASE, _LV, *_SHORT) + _long("universe, level", "best", "status"),
     "target_vol": S.with_(*_BASE, *_VOL_TARGETS) + _long("universe, level", "tv", "status"),
     "target_vol_stats": S.with_(*_BASE, *_VOL_TARGETS)
-    + f"SELECT universe, level, {S.rnd(_RETURN, 6)} AS ret, "
+    + f"SELECT universe, level, status, {S.rnd(_RETURN, 6)} AS ret, "
     f"{S.rnd(f'{RF} + {_RETURN} - {RF} * (w1 + w2 + w3)', 6)} AS ret_excess, "
-    f"{S.rnd(f'sqrt({_VARIANCE})', 6)} AS vol FROM tv WHERE status = 'ok'",
+    f"{S.rnd(f'sqrt({_VARIANCE})', 6)} AS vol FROM tv",
     "tangency": S.with_(*_BASE, _TAN) + _long("universe", "tan"),
     "tangency_stats": S.with_(*_BASE, _TAN)
     + f"SELECT universe, {S.rnd(_RETURN, 6)} AS ret, {S.rnd(_VARIANCE, 6)} AS variance, "
@@ -379,6 +400,11 @@ ORACLES = {
                        s12 * s23 - s13 * s22 AS i13, s11 * s33 - s13 * s13 AS i22,
                        s12 * s13 - s11 * s23 AS i23, s11 * s22 - s12 * s12 AS i33 FROM m3)))""",
     ) + _long("universe, dt, ix", "mv"),
+    "degenerate_keys": S.with_(*S.base(BRAND_FLAGS_MONTH))
+    + "SELECT u || ' ' || unnest(['whole', 'twice', 'short']) AS universe, "
+    "unnest(['ok', 'singular', 'singular']) AS free, 'ok' AS bound, true AS no_short, "
+    "unnest([1.0, NULL, NULL]::DOUBLE[]) AS sum_free, 1.0::DOUBLE AS sum_bound "
+    "FROM (SELECT DISTINCT universe AS u FROM rets)",
     "min_variance_wide": S.with_(*S.base(BRANDS_WEEK))
     + "SELECT universe, 1.0::DOUBLE AS sum_w, 1.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM rets GROUP BY universe",
     "long_only_wide": S.with_(*S.base(BRANDS_WEEK))

@@ -72,7 +72,8 @@ def trace_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trace_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trace of the covariance of the later half of each universe over that of all dates."""
     returns = returns_of(spark, sf_dir, BRAND_FLAGS_MONTH)
-    later = M.covariance(P.skip_rows(returns, 40))
+    rows = returns.groupBy("universe").agg((F.max("ix") + 1).alias("n"))
+    later = M.covariance(returns.join(rows, "universe").where("2 * ix >= n").drop("n"))
     ratio = M.trace_ratio(later, M.covariance(returns), ["universe"])
     return show(ratio, ["universe"], trace_ratio=8)
 
@@ -84,12 +85,12 @@ def _scaled(found: DataFrame, panel) -> DataFrame:
 
 def rolling_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, TYPES_DAY)
-    return _scaled(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p)
+    return _scaled(M.rolling_cov(p.rows, p.dates, 504, 21, 1512), p)
 
 
 def rolling_cov_every_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, TYPES_WEEK)
-    return _scaled(M.rolling_cov(p.rows, p.dates, 104, 1, 150), p)
+    return _scaled(M.rolling_cov(p.rows, p.dates, 104, 1, 104), p)
 
 
 def snapshot_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,21 +102,21 @@ def snapshot_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stale_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrix of the last refresh on every evaluated date."""
     p = panel_of(spark, sf_dir, TYPES_DAY)
-    found = M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512, 2520), p.deviation)
-    grid = P.evaluation_grid(p.dates, 1512, 2520, 1)
+    found = M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 21, 1512), p.deviation)
+    grid = P.evaluation_grid(p.dates, 1512, None, 1)
     return show(R.carry_forward(grid, found, 1512, 1, 21), WINDOW_PAIR, cov=6)
 
 
 def expanding_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, TYPES_DAY)
-    return _scaled(M.expanding_cov(p.rows, p.dates, 21, 1512, 2520), p)
+    return _scaled(M.expanding_cov(p.rows, p.dates, 21, 1512), p)
 
 
 def _weighted_cov(spark: SparkSession, sf_dir: str, decay: str) -> DataFrame:
     """Weights multiply standardised rows, so these are standardised one by one."""
     p = panel_of(spark, sf_dir, TYPES_DAY)
     found = M.weighted_window_cov(
-        P.standardise(p.rows), p.dates, 504, 21, 1512, 252.0, decay, 2520
+        P.standardise(p.rows), p.dates, 504, 21, 1512, 252.0, decay
     )
     return show(found.withColumn("cov", F.col("cov") * 1e6), WINDOW_PAIR, cov=6)
 
@@ -222,7 +223,7 @@ def _ceiling(p: str, source: str, keys: str) -> str:
 def _weighted(age: str) -> str:
     w = f"2.0 ** (-({age}) / 252.0) / (SELECT sum(2.0 ** (-j / 252.0)) FROM range(504) t(j))"
     return S.with_(
-        *_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", 504, value=f"$r * {w}")
+        *_DAILY, S.schedule(1512, 21), S.window_cov("zr", 504, value=f"$r * {w}")
     ) + f"SELECT universe, dt, ix, ai, aj, n, {S.rnd('cov * 1e6', 6)} AS cov FROM wcov"
 
 
@@ -264,17 +265,17 @@ ORACLES = {
     "(SELECT universe, asset, var_samp(r) AS v FROM rets GROUP BY ALL) GROUP BY universe",
     "trace_ratio": S.with_(*_MONTH)
     + f"SELECT universe, {S.rnd('sum(late) / sum(v)', 8)} AS trace_ratio FROM "
-    "(SELECT universe, asset, var_samp(r) AS v, var_samp(r) FILTER (WHERE ix >= 40) AS late "
-    "FROM rets GROUP BY ALL) GROUP BY universe",
-    "rolling_cov": S.with_(*_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", 504)) + _WINDOWS,
+    "(SELECT universe, asset, var_samp(r) AS v, var_samp(r) FILTER (WHERE 2 * ix >= n) AS late FROM "
+    "(SELECT *, max(ix) OVER (PARTITION BY universe) + 1 AS n FROM rets) GROUP BY ALL) GROUP BY universe",
+    "rolling_cov": S.with_(*_DAILY, S.schedule(1512, 21), S.window_cov("zr", 504)) + _WINDOWS,
     "rolling_cov_every_date": S.with_(
-        *S.base(TYPES_WEEK, standard=True), S.dates("zr"), S.schedule(150, 1), S.window_cov("zr", 104)
+        *S.base(TYPES_WEEK, standard=True), S.dates("zr"), S.schedule(104, 1), S.window_cov("zr", 104)
     ) + _WINDOWS,
     "snapshot_cov": S.with_(*_DAILY, S.schedule(1000, 60, 1300), S.window_cov("zr", 504)) + _WINDOWS,
-    "stale_cov": S.with_(*_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", 504))
+    "stale_cov": S.with_(*_DAILY, S.schedule(1512, 21), S.window_cov("zr", 504))
     + f"SELECT c.universe, c.dt, c.ix, ai, aj, n, {_cols(cov=6)} FROM cal c JOIN wcov w "
-    "ON w.universe = c.universe AND w.ix = c.ix - (c.ix - 1512) % 21 WHERE c.ix >= 1512 AND c.ix < 2520",
-    "expanding_cov": S.with_(*_DAILY, S.schedule(1512, 21, 2520), S.window_cov("zr", None)) + _WINDOWS,
+    "ON w.universe = c.universe AND w.ix = c.ix - (c.ix - 1512) % 21 WHERE c.ix >= 1512",
+    "expanding_cov": S.with_(*_DAILY, S.schedule(1512, 21), S.window_cov("zr", None)) + _WINDOWS,
     "weighted_window_cov": _weighted("a.ix - s.ix + 504"),
     "weighted_window_cov_recent": _weighted("s.ix - 1 - a.ix"),
     "portfolio_series": S.with_(

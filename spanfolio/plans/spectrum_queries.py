@@ -23,18 +23,20 @@ from spanfolio.sources.tables import (
     FLAGS_DAY,
     TYPES_DAY,
     TYPES_WEEK,
-    price_panel,
     with_benchmark,
 )
 from spanfolio.sources.workspace import materialise
 
 WINDOW = C.WINDOW
-LOOKBACK, START, STOP = 504, 1512, 2520
+#: Fixed values of the rolling jobs: rows of a window, and the first row evaluated.
+LOOKBACK, START = 504, 1512
+#: Types before this name stand for equity in the backtests, the others for fixed income.
+FIRST_BOND = "PROMO"
 
 
 def _window_cov(spark: SparkSession, sf_dir: str, spec, step: int = 21) -> DataFrame:
     p = panel_of(spark, sf_dir, spec)
-    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, step, START, STOP), p.deviation)
+    return M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, step, START), p.deviation)
 
 
 def spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +81,7 @@ def absorption_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flag_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_of(spark, sf_dir, FLAGS_DAY)
-    return C.absorption_series(p.rows, p.dates, LOOKBACK, START, STOP, deviation=p.deviation)
+    return C.absorption_series(p.rows, p.dates, LOOKBACK, START, deviation=p.deviation)
 
 
 def absorption_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def absorption_series_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six assets beside a benchmark that is left out by name before the spectrum."""
     prices = materialise(with_benchmark(prices_of(spark, sf_dir, TYPES_DAY)), "prices")
     p = returns_of_prices(P.assert_absent(P.exclude_asset(prices, "MKT"), "MKT"))
-    series = C.absorption_series(p.rows, p.dates, LOOKBACK, START, STOP, deviation=p.deviation)
+    series = C.absorption_series(p.rows, p.dates, LOOKBACK, START, deviation=p.deviation)
     return show(series, [*WINDOW, "components"], ar=6)
 
 
@@ -104,18 +106,22 @@ def regime_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _funds(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
-    """Returns of two funds that stand for equity and fixed income."""
-    prices = price_panel(spark, sf_dir, spec).where("asset IN ('ECONOMY', 'STANDARD')")
-    named = prices.withColumn("asset", F.when(F.col("asset") == "ECONOMY", "EQ").otherwise("FI"))
-    return P.simple_returns(named, pad=True)
+    """Returns of two funds that stand for equity and fixed income: the types of each, in equal parts.
+
+    Gaps are filled on the grid of all dates first, so both funds have a return on each.
+    """
+    fund = F.when(F.col("asset") < F.lit(FIRST_BOND), G.EQUITY).otherwise(G.BONDS)
+    returns = P.padded_returns(prices_of(spark, sf_dir, spec)).withColumn("asset", fund)
+    return returns.groupBy("universe", "dt", "asset").agg(F.avg("r").alias("r"))
 
 
 def _performance(found: DataFrame) -> DataFrame:
-    """Logs of the growth and of the ratio: the derived prices swing far more than real ones."""
+    """Logs of the growth and, with its sign, of the ratio: the derived prices swing far more than real ones."""
+    sign = F.signum("sharpe").cast("int").alias("sign")
     logged = found.withColumns(
-        {"log_ret": F.log1p("ann_ret"), "log_sharpe": F.log(F.abs("sharpe"))}
+        {"log_ret": F.log1p("ann_ret"), "log_sharpe": F.log(F.abs("sharpe")), "sign": sign}
     )
-    return show(logged, ["universe", "n"], log_ret=6, ann_vol=6, log_sharpe=6)
+    return show(logged, ["universe", "n", "n_unmatched", "sign"], log_ret=6, ann_vol=6, log_sharpe=6)
 
 
 def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,11 +167,11 @@ def autoencoder_ratio_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrices every 21 rows only; the ratio, like the matrix, holds until the next one."""
     p = panel_of(spark, sf_dir, TYPES_DAY)
     cov = materialise(
-        M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 21, START, STOP), p.deviation), "cov"
+        M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 21, START), p.deviation), "cov"
     )
     models = materialise(E.fit_models(cov, START, 21, 12), "models")
     ratio = E.autoencoder_ratio(cov, models, START, 21, 12)
-    grid = P.evaluation_grid(p.dates, START, STOP, 1)
+    grid = P.evaluation_grid(p.dates, START, None, 1)
     return show(R.carry_forward(grid, ratio, START, 1, 21), WINDOW, ae_ratio=4)
 
 
@@ -197,7 +203,7 @@ QUERIES = {
 
 _KEYS = "universe, dt, ix"
 _FLAG_WINDOWS = [
-    *S.base(FLAGS_DAY, standard=True), S.dates("zr"), S.schedule(START, 21, STOP),
+    *S.base(FLAGS_DAY, standard=True), S.dates("zr"), S.schedule(START, 21),
     S.window_cov("zr", LOOKBACK),
 ]
 _FLAG_EIGEN = [*_FLAG_WINDOWS, S.three_by_three("wcov", _KEYS), S.eigen_three("m3", _KEYS)]
@@ -245,25 +251,26 @@ _WEIGHTS = """weights AS (
 
 
 def _backtest(periods: int) -> str:
-    return f"""SELECT universe, n, {S.rnd('ln(1 + ann_ret)', 6)} AS log_ret, {S.rnd('ann_vol', 6)} AS ann_vol,
+    return f"""SELECT universe, n, n_unmatched, sign(ann_ret / ann_vol)::INTEGER AS sign,
+       {S.rnd('CASE WHEN ann_ret > -1 THEN ln(1 + ann_ret) END', 6)} AS log_ret, {S.rnd('ann_vol', 6)} AS ann_vol,
        {S.rnd('ln(abs(ann_ret / ann_vol))', 6)} AS log_sharpe
-FROM (SELECT universe, count(*) AS n, exp(sum(ln(1 + r)) * {periods} / count(*)) - 1 AS ann_ret,
+FROM (SELECT universe, count(r) AS n, count(*) - count(r) AS n_unmatched,
+             CASE WHEN min(r) <= -1 THEN -1.0 ELSE exp(sum(ln(1 + r)) * {periods} / count(r)) - 1 END AS ann_ret,
              stddev_samp(r) * sqrt({periods}) AS ann_vol
-      FROM (SELECT universe, dt, sum(w * r) AS r FROM weights JOIN fund USING (universe, dt, asset)
-            GROUP BY ALL) GROUP BY universe)"""
+      FROM (SELECT universe, dt, CASE WHEN bool_and(r IS NOT NULL) THEN sum(w * r) END AS r
+            FROM weights LEFT JOIN fund USING (universe, dt, asset) GROUP BY ALL) GROUP BY universe)"""
 
 
 def _fund(spec) -> list[str]:
     return [
-        S.prices(spec, "fund_prices"),
-        """fund AS (
-    SELECT universe, dt, CASE asset WHEN 'ECONOMY' THEN 'EQ' ELSE 'FI' END AS asset,
-           price / lag(price) OVER (PARTITION BY universe, asset ORDER BY dt) - 1 AS r
-    FROM fund_prices WHERE asset IN ('ECONOMY', 'STANDARD'))""",
+        S.prices(spec, "fund_prices"), *S.padded("fund_prices"),
+        f"""fund AS (
+    SELECT universe, dt, CASE WHEN asset < '{FIRST_BOND}' THEN 'EQ' ELSE 'FI' END AS asset, avg(r) AS r
+    FROM padded_rets GROUP BY ALL)""",
     ]
 
 
-_AR = [*_FLAG_EIGEN, *_series(START, STOP, 21)]
+_AR = [*_FLAG_EIGEN, *_series(START, None, 21)]
 _SIGNAL = [*_AR, _shift(15, 252), _WEIGHTS]
 _POWERS = [
     """full_cov AS (
@@ -337,7 +344,7 @@ ORACLES = {
     "spectrum": S.with_(*_FLAG_EIGEN) + _ranked(_KEYS),
     "spectrum_by_universe": S.with_(*_UNIVERSE_EIGEN) + _ranked("universe"),
     "spectrum_invariants": S.with_(
-        *S.base(TYPES_DAY, standard=True), S.dates("zr"), S.schedule(START, 21, STOP),
+        *S.base(TYPES_DAY, standard=True), S.dates("zr"), S.schedule(START, 21),
         S.window_cov("zr", LOOKBACK), *_POWERS,
     )
     + f"SELECT {_KEYS}, "
@@ -357,8 +364,8 @@ ORACLES = {
     + f"SELECT universe, {S.rnd('l1 / (l1 + l2 + l3)', 6)} AS ar FROM eig",
     "absorption_series": S.with_(*_AR) + f"SELECT {_KEYS}, components, {S.rnd('ar', 6)} AS ar FROM ar",
     "absorption_series_types": S.with_(
-        *S.base(TYPES_DAY, standard=True), S.dates("zr"), S.schedule(START, 21, STOP),
-        S.window_cov("zr", LOOKBACK), *_SIX, _six_series(START, STOP, 21), recursive=True,
+        *S.base(TYPES_DAY, standard=True), S.dates("zr"), S.schedule(START, 21),
+        S.window_cov("zr", LOOKBACK), *_SIX, _six_series(START, None, 21), recursive=True,
     ) + f"SELECT {_KEYS}, components, {S.rnd('ar', 6)} AS ar FROM ar",
     "weekly_strategy": S.with_(
         *S.base(TYPES_WEEK, standard=True), S.dates("zr"), S.schedule(42, 1),

@@ -41,6 +41,24 @@ def returns(source: str = "px", name: str = "rets") -> str:
         FROM {source}) WHERE r IS NOT NULL)"""
 
 
+def padded(source: str = "prices") -> list[str]:
+    """Returns on the full grid of dates and assets, each gap with the price before; ``ix`` counts all dates from 0."""
+    return [
+        f"""grid AS (
+    SELECT a.universe, d.dt, d.ix, a.asset, p.price FROM (SELECT DISTINCT universe, asset FROM {source}) a
+    JOIN (SELECT universe, dt, row_number() OVER (PARTITION BY universe ORDER BY dt) - 1 AS ix
+          FROM (SELECT DISTINCT universe, dt FROM {source})) d USING (universe)
+    LEFT JOIN {source} p ON p.universe = a.universe AND p.dt = d.dt AND p.asset = a.asset)""",
+        """padded AS (
+    SELECT universe, dt, ix, asset, last_value(price IGNORE NULLS) OVER (PARTITION BY universe, asset
+           ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price FROM grid)""",
+        """padded_rets AS (
+    SELECT * FROM (SELECT universe, dt, ix, asset,
+           price / lag(price) OVER (PARTITION BY universe, asset ORDER BY dt) - 1 AS r FROM padded)
+    WHERE r IS NOT NULL)""",
+    ]
+
+
 def standardised(source: str = "rets", name: str = "zr") -> str:
     return f"""{name} AS (
     SELECT universe, dt, ix, asset,

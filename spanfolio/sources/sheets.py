@@ -6,22 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spanfolio.sources.tables import ONE_UNIVERSE
 
 
+def header(spark: SparkSession, path: str) -> list[str]:
+    """Names of the columns of a sheet after the date, from its header."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns[1:]
+
+
 def read_wide_csv(
-    spark: SparkSession, path: str, assets: Sequence[str], date_format: str = "yyyy-MM-dd"
+    spark: SparkSession, path: str, assets: Sequence[str] | None = None, date_format: str = "yyyy-MM-dd"
 ) -> DataFrame:
     """``(dt DATE, <asset> DOUBLE ...)`` from CSV with a header and the date first.
 
-    The schema is given, not inferred, so the files are read once. Text that is
-    not a number becomes null.
+    Columns go by the names in the header, whatever their order; ``assets`` chooses
+    some of them and their order, and one that the sheet lacks is an error. Values
+    are read as text, and text that is not a number becomes null.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("dt", *assets)])
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
-    return coerce_numeric(raw, assets).withColumn("dt", F.to_date("dt", date_format))
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    names = raw.columns[1:]
+    missing = [a for a in assets or () if a not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}")
+    asked = list(names if assets is None else assets)
+    raw = raw.select(F.col(f"`{raw.columns[0]}`").alias("dt"), *(f"`{a}`" for a in asked))
+    return coerce_numeric(raw, asked).withColumn("dt", F.to_date("dt", date_format))
 
 
 def write_wide_csv(wide: DataFrame, path: str) -> None:

@@ -155,11 +155,12 @@ def curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     The shift in steps of 10 bp is taken from the number of orders of that
     nation and month, so the scenario set grows with the tables.
     """
-    counted = (
-        _orders_with_customer(spark, sf_dir)
-        .groupBy(_curve_id())
-        .agg(F.count(F.lit(1)).alias("n_orders"))
-    )
+    return curves_of(_orders_with_customer(spark, sf_dir).select(_curve_id()))
+
+
+def curves_of(contracts: DataFrame) -> DataFrame:
+    """:func:`curves` from contracts (one for each order) that are there already."""
+    counted = contracts.groupBy("curve_id").agg(F.count(F.lit(1)).alias("n_orders"))
     shift = F.lit(0.001) * (F.col("n_orders") % 21 - 10)
     return counted.select(
         "curve_id", F.array(*[F.lit(s) + shift for s in BASE_SPOT]).alias("spot")

@@ -10,6 +10,12 @@ from spanfolio.operators import portfolio as O
 from test_golden import KEY, moments_of
 
 
+def weights_of(*problem):
+    w, status = least_variance(*problem)
+    assert (w is not None) == (status == "ok") and status != "not_converged"
+    return w
+
+
 def problem(seed, n):
     rng = np.random.default_rng(seed)
     a = rng.normal(size=(n, n + 6))
@@ -21,7 +27,7 @@ def test_long_only_is_optimal(seed):
     n = 2 + seed
     cov, mu = problem(seed, n)
     floor = float(np.quantile(mu, 0.4 + 0.6 * (seed % 5) / 4))
-    w = least_variance(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
+    w = weights_of(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
     assert w.sum() == pytest.approx(1.0)
     assert w.min() > -1e-9 and w @ mu > floor - 1e-9
     # No direction towards another allowed portfolio lowers the variance.
@@ -40,12 +46,12 @@ def test_short_limits(seed):
     floor = float(np.quantile(mu, 0.7))
     variance = []
     for limit in (0.0, 0.05, 0.2, 1e6):
-        w = least_variance(cov, [(mu, floor)], limit)
+        w = weights_of(cov, [(mu, floor)], limit)
         assert -w[w < 0].sum() <= limit + 1e-9
         variance.append(w @ cov @ w)
     assert all(a >= b - 1e-12 for a, b in zip(variance, variance[1:]))
-    long_only = least_variance(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
-    free = least_variance(cov, [(mu, floor)])
+    long_only = weights_of(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
+    free = weights_of(cov, [(mu, floor)])
     assert variance[0] == pytest.approx(long_only @ cov @ long_only, rel=1e-8)
     assert variance[-1] == pytest.approx(free @ cov @ free, rel=1e-8)
 
@@ -63,13 +69,13 @@ def test_short_limit_is_feasible_up_to_the_best_return(seed):
     width = best - mu.mean()
     for share in (0.2, 0.9, 0.999, 1.001, 1.1, 3.0):
         floor = float(mu.mean() + share * width)
-        w = least_variance(cov, [(mu, floor)], limit)
+        w = weights_of(cov, [(mu, floor)], limit)
         if share > 1:
             assert w is None
         else:
             assert w.sum() == pytest.approx(1.0, abs=1e-9)
             assert w @ mu >= floor - 1e-9 and -w[w < 0].sum() <= limit + 1e-9
-        long = least_variance(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
+        long = weights_of(cov, [(mu, floor)] + [(e, 0.0) for e in np.eye(n)])
         if floor > mu.max() + 1e-6:
             assert long is None
         elif floor < mu.max() - 1e-6:
@@ -83,7 +89,7 @@ def test_floor_out_of_reach_of_close_means():
     cov[np.triu_indices(3)] = packed
     cov.T[np.triu_indices(3)] = packed
     mu = np.array([0.034388070364178236, 0.03966376547990472, 0.04000820392647216])
-    assert least_variance(cov, [(mu, 0.04182201458253688)], 0.1) is None
+    assert weights_of(cov, [(mu, 0.04182201458253688)], 0.1) is None
 
 
 def test_many_keys_with_and_without_solution(spark):
