@@ -152,15 +152,34 @@ def _types_cov_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(_window_cov(spark, sf_dir, TYPES_DAY, step=1), "cov")
 
 
+def _checked(cov: DataFrame, models: DataFrame, ratio: DataFrame, start: int, step: int = 1, refresh: int = 252) -> DataFrame:
+    """``ratio`` with its difference from the same number taken from the codes of every matrix by joins."""
+    due = cov.select("universe", "ix").distinct().withColumn("due", R.refresh_row(F.col("ix"), start, step, refresh))
+    own = models.withColumnRenamed("ref_ix", "due").join(due, ["universe", "due"]).drop("due")
+    own = materialise(own.withColumnRenamed("ix", "ref_ix"), "models-by-date")
+    weight = own.select(
+        "universe", F.col("ref_ix").alias("ix"), F.posexplode("dec").alias("p", "weight"), "assets"
+    ).selectExpr("universe", "ix", "assets[p % size(assets)] AS asset", "p div size(assets) + 1 AS k", "weight")
+    shift = own.selectExpr("universe", "ref_ix AS ix", "aggregate(dec_bias, 0D, (s, x) -> s + x) AS shift")
+    trace = cov.where("ai = aj").groupBy("universe", "ix").agg(F.sum("cov").alias("trace"))
+    out = E.codings(cov, own).join(weight, ["universe", "ix", "asset", "k"]).groupBy("universe", "ix").agg(
+        F.sum(F.col("code") * F.col("weight")).alias("out")
+    )
+    by_codes = out.join(shift, ["universe", "ix"]).join(trace, ["universe", "ix"])
+    error = F.abs(F.col("ae_ratio") - (F.col("out") + F.col("shift")) / F.col("trace"))
+    return ratio.join(by_codes, ["universe", "ix"]).select("universe", "dt", "ix", error.alias("error"))
+
+
 def autoencoder_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrices that each model was trained on, and whether training lowered its loss."""
     models = E.fit_models(_types_cov_daily(spark, sf_dir), START)
-    return show(models, ["universe", "ref_ix", "n_train"], loss_first=4, loss_last=4)
+    return models.select("universe", "ref_ix", "n_train", (F.col("loss_last") < F.col("loss_first")).alias("learned"))
 
 
 def autoencoder_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = _types_cov_daily(spark, sf_dir)
     models = materialise(E.fit_models(cov, START), "models")
-    return show(E.autoencoder_ratio(cov, models, START), WINDOW, ae_ratio=4)
+    return show(_checked(cov, models, E.autoencoder_ratio(cov, models, START), START), WINDOW, error=6)
 
 
 def autoencoder_ratio_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,9 +189,9 @@ def autoencoder_ratio_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
         M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 21, START), p.deviation), "cov"
     )
     models = materialise(E.fit_models(cov, START, 21, 12), "models")
-    ratio = E.autoencoder_ratio(cov, models, START, 21, 12)
+    ratio = _checked(cov, models, E.autoencoder_ratio(cov, models, START, 21, 12), START, 21, 12)
     grid = P.evaluation_grid(p.dates, START, None, 1)
-    return show(R.carry_forward(grid, ratio, START, 1, 21), WINDOW, ae_ratio=4)
+    return show(R.carry_forward(grid, ratio, START, 1, 21), WINDOW, error=6)
 
 
 def autoencoder_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,14 +200,19 @@ def autoencoder_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = materialise(
         M.standardised_cov(M.rolling_cov(p.rows, p.dates, LOOKBACK, 60, 1000, 1300), p.deviation), "cov"
     )
-    models = E.fit_stack(cov, 1000, 60, 3, E.TrainSpec(codes=200, epochs=10, batch=5))
-    return show(E.autoencoder_ratio(cov, models, 1000, 60, 5), WINDOW, ae_ratio=4)
+    models = materialise(E.fit_stack(cov, 1000, 60, 3, E.TrainSpec(codes=200, epochs=10, batch=5)), "models")
+    ratio = E.autoencoder_ratio(cov, models, 1000, 60, 5)
+    return show(_checked(cov, models, ratio, 1000, 60, 5), WINDOW, error=6)
 
 
 def autoencoder_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = _types_cov_daily(spark, sf_dir)
     models = materialise(E.fit_models(cov, START), "models")
-    return show(E.codings(cov, models), [*WINDOW, "asset", "k"], code=4)
+    at = cov.join(models.select("universe", F.col("ref_ix").alias("ix")), ["universe", "ix"])
+    ratio = E.autoencoder_ratio(at, models, START)
+    error = _checked(at, models, ratio, START).select("universe", "ix", "error")
+    codes = E.codings(cov, models).where("code IS NOT NULL")
+    return show(codes.join(error, ["universe", "ix"]), [*WINDOW, "asset", "k"], error=6)
 
 
 QUERIES = {
@@ -340,7 +364,21 @@ _PCA = [
     S.three_by_three("pcov", _KEYS), S.eigen_three("m3", _KEYS),
 ]
 
+_AE_DATES = S.with_(*S.base(TYPES_DAY), S.dates("rets"))
+_NO_ERROR = f"SELECT {_KEYS}, 0.0::DOUBLE AS error FROM "
+
 ORACLES = {
+    # values depend on the random start; what SQL can state is which models and rows there are, that
+    # training helped, and that ratio and codes agree with each other (difference 0)
+    "autoencoder_fit": _AE_DATES
+    + f"SELECT universe, ix AS ref_ix, (ix - {START}) % {E.TrainSpec().buffer} + 1 AS n_train, true AS learned "
+    f"FROM cal WHERE ix >= {START} AND (ix - {START}) % 252 = 0",
+    "autoencoder_ratio": _AE_DATES + _NO_ERROR + f"cal WHERE ix >= {START}",
+    "autoencoder_ratio_scheduled": _AE_DATES + _NO_ERROR + f"cal WHERE ix >= {START}",
+    "autoencoder_snapshot": _AE_DATES + _NO_ERROR + "cal WHERE ix >= 1000 AND ix < 1300 AND (ix - 1000) % 60 = 0",
+    "autoencoder_codings": S.with_(*S.base(TYPES_DAY))
+    + f"SELECT {_KEYS}, asset, 1::BIGINT AS k, 0.0::DOUBLE AS error FROM rets "
+    f"WHERE ix >= {START} AND (ix - {START}) % 252 = 0",
     "spectrum": S.with_(*_FLAG_EIGEN) + _ranked(_KEYS),
     "spectrum_by_universe": S.with_(*_UNIVERSE_EIGEN) + _ranked("universe"),
     "spectrum_invariants": S.with_(
