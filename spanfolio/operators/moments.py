@@ -172,6 +172,12 @@ def _on_schedule(start: int, stop: int | None, step: int) -> str:
     return due if stop is None else f"{due} AND ix < {stop}"
 
 
+def _reached(returns: DataFrame, first: int, stop: int | None) -> DataFrame:
+    """The rows that some scheduled window holds; the optimizer can't push that through the matrix step."""
+    rows = returns if first <= 0 else returns.where(F.col("ix") >= first)
+    return rows if stop is None else rows.where(F.col("ix") < stop)
+
+
 def _label(windows: DataFrame, dates: DataFrame) -> DataFrame:
     """Attach the date of row ``ix``; windows that end past the calendar fall away."""
     return windows.join(dates.select("universe", "ix", "dt"), ["universe", "ix"]).select(
@@ -229,6 +235,7 @@ def rolling_cov(
     """
     block = _block_size(lookback, step, start)
     due = f"{_on_schedule(start, stop, step)} AND n = {lookback}"
+    returns = _reached(returns, start - lookback, stop)
     return _label(_windows(returns, block, lookback // block).where(due), dates)
 
 
@@ -238,6 +245,7 @@ def expanding_cov(
     """Covariance of all rows before each scheduled row."""
     block = math.gcd(step, start)
     due = _on_schedule(start, stop, step)
+    returns = _reached(returns, 0, stop)
     return _label(_windows(returns, block, None).where(due), dates)
 
 
@@ -271,7 +279,8 @@ def weighted_window_cov(
     if decay == "recent_first":
         inside = block - 1 - inside
         place = per_window - 1 - place
-    rows = returns.withColumn("r", F.col("r") * half_life_decay(inside, half_life))
+    rows = _reached(returns, start - lookback, stop)
+    rows = rows.withColumn("r", F.col("r") * half_life_decay(inside, half_life))
     norm = sum(2.0 ** (-j / half_life) for j in range(lookback))
     order = (
         Window.partitionBy("universe", "ai", "aj").orderBy("block").rowsBetween(1 - per_window, 0)

@@ -121,11 +121,10 @@ def realised_performance(
 def luck_screen(records: DataFrame, p: float = 0.5) -> DataFrame:
     """``records`` with ``tail``, the chance of that many wins or more by luck.
 
-    Distinct pairs of trials and wins are evaluated once, then joined back.
+    A column of each record: almost all share a few pairs of trials and wins, so a join
+    on the pair would meet in a few tasks.
     """
-    pairs = records.select("n", "wins").distinct()
-    priced = pairs.withColumn("tail", tail_probability(F.col("n"), F.col("wins"), p))
-    return records.join(priced, ["n", "wins"])
+    return records.withColumn("tail", tail_probability(F.col("n"), F.col("wins"), p))
 
 
 def best_of_group(screened: DataFrame, by: str = "grp") -> DataFrame:

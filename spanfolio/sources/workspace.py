@@ -20,14 +20,25 @@ def workspace(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="spanfolio-"))
     return context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder in the workspace that holds all tables of this application."""
+    return f"{workspace(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables of this application. For the caller, when no result that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:

@@ -12,7 +12,7 @@ from spanfolio.operators import portfolio as O
 from spanfolio.operators import rates as L
 from spanfolio.operators import signal as G
 from spanfolio.operators import spectrum as C
-from spanfolio.sources import sheets
+from spanfolio.sources import sheets, workspace
 
 DAY = dt.date(2000, 1, 1)
 
@@ -103,3 +103,16 @@ def test_sheets_go_by_their_header(spark, tmp_path):
     assert [(r["A"], r["B"]) for r in rows] == [(2.0, 1.0), (None, None)]
     with pytest.raises(ValueError):
         sheets.read_wide_csv(spark, path, ["C"])
+
+
+def test_row_range_is_applied_before_the_matrix_step(spark):
+    schema = "universe string, dt date, ix long, asset string, n_assets long, r double"
+    returns = spark.createDataFrame([("U", DAY, 0, "A", 1, 0.0)], schema)
+    text = M.rolling_cov(returns, returns.select("universe", "ix", "dt"), 504, 21, 1512, 1600)._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("FlatMapGroupsInArrow"):]
+    assert ">= 1008" in below and "< 1600" in below
+
+
+def test_tables_of_a_run_can_be_dropped(spark):
+    table = workspace.materialise(spark.range(3).toDF("x"))
+    assert table.count() == 3 and table.inputFiles()[0].split("://")[-1].lstrip("/").startswith(workspace.run_folder(spark).split("://")[-1].lstrip("/"))

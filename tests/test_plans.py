@@ -57,7 +57,7 @@ def test_no_cross_join(spark, shared_panels, name):
     assert "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["spectrum", "absorption_series", "tangency", "autoencoder_ratio"])
+@pytest.mark.parametrize("name", ["spectrum", "absorption_series", "tangency", "autoencoder_fit"])
 def test_matrix_functions_run_once(spark, shared_panels, name, monkeypatch):
     """Even without written tables in between, no function appears twice along a plan."""
     from spanfolio.plans import portfolio_queries, spectrum_queries
