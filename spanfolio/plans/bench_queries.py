@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanfolio.operators import autoencoder as E
 from spanfolio.operators import moments as M
 from spanfolio.operators import risk as K
 from spanfolio.operators import spectrum as C
 from spanfolio.plans import spectrum_queries
 from spanfolio.plans.common import panel_of, returns_of
-from spanfolio.sources.tables import BRANDS_DAY
+from spanfolio.sources.tables import BRANDS_DAY, TYPES_DAY
+from spanfolio.sources.workspace import materialise
 
-#: Queries whose names end in ``_wide_panel`` are here; the rest are registered ones.
+#: Queries whose names end in ``_wide_panel`` and the auto-encoder job are here; the rest are registered ones.
 HEADLINE = [
     "asset_risk_report_wide_panel",
     "rolling_cov_wide_panel",
@@ -42,6 +44,14 @@ def absorption_series_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.absorption_series(p.rows, p.dates, 504, 1512, deviation=p.deviation)
 
 
+def autoencoder_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job of the query of this name without its comparison with the codes."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    cov = materialise(M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 1, 1512), p.deviation), "cov")
+    models = materialise(E.fit_models(cov, 1512), "models")
+    return E.autoencoder_ratio(cov, models, 1512)
+
+
 def warm_up(spark: SparkSession, sf_dir: str) -> None:
     spectrum_queries.spectrum_by_universe(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
@@ -49,6 +59,6 @@ def warm_up(spark: SparkSession, sf_dir: str) -> None:
 QUERIES = {
     f.__name__: f
     for f in (
-        asset_risk_report_wide_panel, rolling_cov_wide_panel, absorption_series_wide_panel,
+        asset_risk_report_wide_panel, rolling_cov_wide_panel, absorption_series_wide_panel, autoencoder_ratio,
     )
 }
