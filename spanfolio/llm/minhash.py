@@ -16,8 +16,6 @@ SHINGLE = 5
 #: with probability 1.4e-7, one of 0.85 with 2.4e-10.
 COORDINATES, ROWS = 120, 4
 BANDS = COORDINATES // ROWS
-#: Rounds in which the members of a bucket are compared with one of them, before what is left is compared in full.
-STARS = 3
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +94,8 @@ def _summaries(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, n_shingles long, s0 long, s1 long, bands array<long>")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar: 100 * intersection >= percent * union."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of pairs (a, b) the sizes of both full sets and of their intersection."""
 
     def run(batches):
         known: dict[int, np.ndarray] = {}
@@ -116,12 +114,26 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 sets(a, part.column("text_a"))
                 sets(b, part.column("text_b"))
                 both = [len(np.intersect1d(known[x], known[y], assume_unique=True)) for x, y in zip(a, b, strict=True)]
-                ok = pa.array([100 * n >= percent * (len(known[x]) + len(known[y]) - n) for x, y, n in zip(a, b, both, strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], names=["a", "b"])
+                sizes = [pa.array([len(known[x]) for x in side], pa.int64()) for side in (a, b)]
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), *sizes, pa.array(both, pa.int64())], names=["a", "b", "size_a", "size_b", "common"])
 
     of = lambda side: texts.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}"))
     joined = pairs.join(of("a"), "a").join(of("b"), "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, size_a long, size_b long, common long")
+
+
+def _own(texts: DataFrame) -> DataFrame:
+    """``id`` and ``own``: how many shingles of a text no other one has; texts without any are left out."""
+
+    def run(batches):
+        for batch, data, offsets in T.chunks(batches):
+            sets, first = shingles(data, offsets)
+            keys = np.repeat(batch.column("key").to_numpy(), np.diff(first))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sets.view(np.int64))], names=["key", "shingle"])
+
+    each = texts.mapInArrow(run, "key long, shingle long")
+    once = each.groupBy("shingle").agg(F.min("key").alias("id"), F.max("key").alias("last")).where("id = last")
+    return once.groupBy("id").agg(F.count("*").alias("own"))
 
 
 def grouped(docs: DataFrame, key: str, text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -133,52 +145,51 @@ def grouped(docs: DataFrame, key: str, text_col: str = "text", percent: int = 85
     without words is linked with nothing (``n_shingles`` 0).
 
     Equal sets are one document from the start. Those that share a band meet in a
-    bucket; a bucket's members are verified against one of them, which joins groups of
-    copies without their pairs. Only members still in different components after that
-    are compared with each other, so a link is never given up, only those inside a
-    component are spared.
+    bucket; its center is the one with the smallest share of shingles that no other
+    candidate has, the least edited of a group of copies. All members are compared with it,
+    which joins groups of copies without their pairs. Members that are in different
+    components after that are compared with each other unless their link is impossible:
+    two members x and y of a bucket with center c share at most
+    min(|x & c|, |y & c|) + min(e(x), e(y)), where e counts the shingles outside c that some
+    other candidate has too. So no link is given up but those inside a component.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text_col).cast("string").alias("text"))
     summaries = materialise(_summaries(rows), "sketches")
     full = summaries.where("n_shingles > 0")
     equal = ["n_shingles", "s0", "s1"]
-    first = materialise(full.groupBy(*equal).agg(F.min_by("bands", "key").alias("bands"), F.min("key").alias("rep"), F.count("*").alias("copies")), "distinct-sets")
-    buckets = first.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center <> last")
-    buckets = materialise(buckets.join(shared.select("bucket", "center"), "bucket"), "buckets")
-    needed = buckets.select(F.col("id").alias("key")).distinct()
-    texts = materialise(rows.join(needed, "key", "left_semi"), "candidate-texts")
-    links = None
-    state = buckets.select("bucket", "id", F.col("id").alias("root"), "center", F.col("center").alias("center_root"))
-    for _ in range(STARS):
-        pairs = state.where("root <> center_root").select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct()
-        found = materialise(_linked(pairs, texts, percent), "links")
-        links = found if links is None else materialise(links.unionAll(found), "links")
-        roots = components(links)
-        state = materialise(_state(state, roots), "open-buckets")
-        if found.isEmpty() or state.isEmpty():
-            break
-    left = state.select("bucket", "id", "root")
-    other = left.select("bucket", F.col("id").alias("b"), F.col("root").alias("other"))
-    pairs = left.withColumnRenamed("id", "a").join(other, "bucket").where("root < other").select("a", "b").distinct()
-    more = materialise(_linked(pairs, texts, percent), "links")
-    roots = materialise(components(links.unionAll(more)) if not more.isEmpty() else roots, "roots")
+    first = materialise(full.groupBy(*equal).agg(F.min_by("bands", "key").alias("bands"), F.min("key").alias("rep")), "distinct-sets")
+    buckets = first.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
+    buckets = materialise(buckets.join(shared, "bucket"), "buckets")
+    texts = materialise(rows.join(buckets.select(F.col("id").alias("key")).distinct(), "key", "left_semi"), "candidate-texts")
+    own = materialise(_own(texts), "own-shingles")
+    members = materialise(buckets.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
+    centers = members.groupBy("bucket").agg(F.min_by("id", F.struct(F.col("own") / F.col("n"), "id")).alias("center"))
+    members = materialise(members.join(centers, "bucket"), "members")
+    ends = F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")
+    compared = materialise(_compared(members.where("id <> center").select(*ends).distinct(), texts), "compared")
+    similar = f"100 * common >= {int(percent)} * (size_a + size_b - common)"
+    links = compared.where(similar).select("a", "b")
+    roots = materialise(components(links), "roots")
+    # what a member shares with the center of its bucket, and its component
+    shares = compared.select("a", "b", "common").unionAll(compared.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
+    state = members.join(shares.select(F.col("a").alias("id"), F.col("b").alias("center"), "common"), ["id", "center"], "left")
+    state = state.withColumn("common", F.coalesce("common", "n")).withColumn("extra", F.greatest(F.col("n") - F.col("common") - F.col("own"), F.lit(0)))
+    state = state.join(roots, "id", "left").select("bucket", "id", "n", "common", "extra", F.coalesce("root", "id").alias("root"))
+    state = materialise(state, "states")
+    several = state.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    state = materialise(state.join(several, "bucket"), "open-buckets")
+    x, y = state.alias("x"), state.alias("y")
+    most = "(least(x.common, y.common) + least(x.extra, y.extra))"
+    possible = F.expr(f"x.bucket = y.bucket AND x.root < y.root AND 100 * {most} >= {int(percent)} * (x.n + y.n - {most})")
+    pairs = x.join(y, possible).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    more = materialise(_compared(pairs, texts).where(similar).select("a", "b"), "links")
+    if not more.isEmpty():
+        roots = materialise(components(links.unionAll(more)), "roots")
     known = first.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(*equal, F.coalesce("root", "rep").alias("component"))
-    # sets without copies carry their result along; only copies look it up by their set
     return summaries.join(known, equal, "left").select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component"))
 
 
-def _state(state: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that still hold several components, each with a center of another one.
-
-    The center is the least id outside the component of the one before; a bucket's members
-    in its own component are compared with it in a later round.
-    """
-    known = state.select("bucket", "id").join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-    ends = known.groupBy("bucket").agg(F.min("root").alias("low"), F.max_by("id", F.struct("root", "id")).alias("center"), F.max("root").alias("center_root"))
-    return known.join(ends.where("low <> center_root").drop("low"), "bucket")
-
-
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The first document, in the order of ids, of each group of near duplicates; columns stay as they are.
 
