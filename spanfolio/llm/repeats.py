@@ -10,7 +10,9 @@ are a block.
    first blocks alone, so copies and passages that many documents share are counted once.
 2. First blocks are sorted by the hash of their anchor. One without a neighbour of equal
    anchor holds only windows that occur once.
-3. The windows of the others are aggregated by their hash, and the first of equal ones stays.
+3. The windows of the others are aggregated by their hash, and the first of equal ones stays. Where
+   a rule can compare texts, blocks whose anchor few share meet by anchor instead, with their
+   text: a block has dozens of windows, and a hash of each would be ten times the text.
 
 Every aggregation combines in the tasks before it shuffles, and the sort splits an anchor
 of any frequency, so no key's rows need to meet in one task.
@@ -39,8 +41,15 @@ class Rule:
     gram: int
     symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     grams: Callable[[np.ndarray, int], np.ndarray]
-    #: Which of windows that stay after step 2, given as hash and number in order, are the first of their kind in a task.
-    firsts: Callable[[np.ndarray, int, np.ndarray], np.ndarray] | None = None
+    #: If given, blocks whose anchors few share are compared by their text: of the windows that start at
+    #: ``starts`` in some bytes, the places of those whose bytes don't start earlier. Symbols must be bytes.
+    contexts: Callable[[np.ndarray, int, np.ndarray], np.ndarray] | None = None
+
+
+#: How a first block's anchor is shared with other first blocks.
+ALONE, FEW, MANY = 0, 1, 2
+#: Blocks of an anchor that count as few, and bytes of text that are put in suffix order at once.
+GROUP, RESOLVED = 1024, 1 << 21
 
 
 def first_of(h: np.ndarray, *order: np.ndarray) -> np.ndarray:
@@ -79,29 +88,48 @@ def _blocks(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.mapInArrow(run, "whole long, key long, place long, anchor long")
 
 
-def _alone(batches):
-    """Marks first blocks, sorted by anchor, that may have a neighbour of equal anchor.
+def _marked(batches):
+    """Of first blocks, sorted by anchor, whether others have the same anchor: ALONE, a FEW, or MANY.
 
-    The ends of a partition may have theirs in the next one, so they are marked.
+    The first and the last anchor of a partition may have blocks in another one, so they
+    count as MANY; every other anchor has all its blocks here, and is MANY beyond GROUP of them.
     """
-    last = None  # the row before, held back until its successor is known
+    held: list[tuple] = []  # blocks of the anchor that the batches so far end with
+    size, anchor, first = 0, None, True
+
+    def out(key, place, mark):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(place << 2 | mark)], names=["key", "block"])
+
     for batch in batches:
         if not len(batch):
             continue
-        anchor, key, place = (batch.column(c).to_numpy() for c in ("anchor", "key", "place"))
-        if last is None:
-            same = np.array([True])
-        else:
-            anchor, key, place = np.append(last[0], anchor), np.append(last[1], key), np.append(last[2], place)
-            same = last[3]
-        equal = anchor[1:] == anchor[:-1]
-        before = np.append(same, equal)
-        after = np.append(equal, False)
-        mark = before | after
-        last = anchor[-1:], key[-1:], place[-1:], before[-1:]
-        yield pa.RecordBatch.from_arrays([pa.array(key[:-1]), pa.array(place[:-1] << 1 | mark[:-1])], names=["key", "block"])
-    if last is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(last[1]), pa.array(last[2] << 1 | 1)], names=["key", "block"])
+        anchors, key, place = (batch.column(c).to_numpy() for c in ("anchor", "key", "place"))
+        cuts = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1
+        lows, highs = np.append(0, cuts), np.append(cuts, len(anchors))
+        for low, high in ((int(lows[0]), int(highs[0])),) if anchors[0] == anchor else ():
+            held.append((key[low:high], place[low:high]))
+            size += high - low
+            lows, highs = lows[1:], highs[1:]
+        if len(lows):  # another anchor begins: the one held is complete
+            if held:
+                mark = MANY if first or size > GROUP else ALONE if size == 1 else FEW
+                yield from (out(k, p, mark) for k, p in held)
+                first = False
+            held, anchor = [], anchors[lows[-1]]
+            if len(lows) > 1:
+                sizes = highs[:-1] - lows[:-1]
+                marks = np.where(sizes > GROUP, MANY, np.where(sizes == 1, ALONE, FEW))
+                if first:
+                    marks[0], first = MANY, False
+                inner = slice(int(lows[0]), int(highs[-2]))
+                yield out(key[inner], place[inner], np.repeat(marks, sizes))
+            held, size = [(key[lows[-1] :], place[lows[-1] :])], int(highs[-1] - lows[-1])
+        if size > GROUP:
+            yield from (out(k, p, MANY) for k, p in held)
+            held = []
+            if not first and anchor is not None:
+                first = False
+    yield from (out(k, p, MANY) for k, p in held)
 
 
 def _places(lists: pa.Array, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,28 +139,80 @@ def _places(lists: pa.Array, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(base, sizes)
 
 
-def _windows(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Hash and start of the windows of marked blocks of each text."""
+def _asked(rows: DataFrame, rule: Rule) -> DataFrame:
+    """What is needed of blocks that aren't alone: their text, if few share the anchor, else a hash of each window."""
 
     def run(batches):
         for batch, data, offsets in T.unpacked(batches):
             symbols, first = rule.symbols(data, offsets)
-            block, base = _places(batch.column("blocks"), np.arange(len(batch)))
-            block, owner = block[block & 1 == 1] >> 1, base[block & 1 == 1]
-            begin, n = first[owner] + (block >> 8), block & 255
-            starts = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            owner = np.repeat(owner, n)
-            by = np.argsort(starts, kind="stable")
-            starts, owner = starts[by], owner[by]
-            if not len(starts):
+            block, owner = _places(batch.column("blocks"), np.arange(len(batch)))
+            by = np.argsort(first[owner] + (block >> 10), kind="stable")
+            block, owner = block[by], owner[by]
+            keys = batch.column("key").to_numpy()
+            few = (block & 3) == (FEW if rule.contexts else -1)
+            begin, n = first[owner] + (block >> 10), block >> 2 & 255
+            if few.any():
+                low, high = begin[few], begin[few] + n[few] - 1 + rule.length
+                # windows hold the anchor, and so does the text they all have in common
+                text = pa.array([symbols[x:y].tobytes() for x, y in zip(low.tolist(), high.tolist(), strict=True)], pa.binary())
+                gram = rule.grams(symbols, rule.gram)
+                at = T.anchors(gram, rule.length - rule.gram + 1)[low]
+                columns = [pa.array(gram[at].view(np.int64)), pa.nulls(len(low), pa.int64()), pa.array(keys[owner[few]]), pa.array(low - first[owner[few]]), text]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "key", "start", "text"])
+            rest = (block & 3) != ALONE
+            rest &= ~few
+            begin, n, owner = begin[rest], n[rest], owner[rest]
+            if len(begin):
+                starts = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                owner = np.repeat(owner, n)
+                h = rule.grams(symbols, rule.length)[starts]
+                kept = first_of(h)
+                owner, starts = owner[kept], starts[kept]
+                columns = [pa.nulls(len(kept), pa.int64()), pa.array(h[kept].view(np.int64)), pa.array(keys[owner]), pa.array(starts - first[owner]), pa.nulls(len(kept), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "key", "start", "text"])
+
+    return rows.mapInArrow(run, "anchor long, window long, key long, start long, text binary")
+
+
+def _resolved(rows: DataFrame, rule: Rule) -> DataFrame:
+    """First windows of blocks whose anchors few share: key and start. Rows are sorted by anchor, key and start."""
+
+    def firsts(parts):
+        key, start, text = (np.concatenate([x[i] for x in parts]) if i < 2 else [t for x in parts for t in x[2]] for i in range(3))
+        lengths = np.fromiter(map(len, text), np.int64, len(text))
+        data = np.frombuffer(b"".join(text), np.uint8)
+        n = lengths - rule.length + 1
+        begin = np.cumsum(lengths) - lengths
+        starts = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        row = np.repeat(np.arange(len(n)), n)
+        new = rule.contexts(data, rule.length, starts)
+        row, starts = row[new], starts[new]
+        return pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(start[row] + starts - begin[row])], names=["key", "start"])
+
+    def run(batches):
+        held, size, last = [], 0, None
+        for batch in batches:
+            if not len(batch):
                 continue
-            h = rule.grams(symbols, rule.length)[starts]
-            kept = rule.firsts(symbols, rule.length, starts) if rule.firsts else first_of(h)
-            owner, starts = owner[kept], starts[kept]
-            keys = batch.column("key").to_numpy()[owner]
-            yield pa.RecordBatch.from_arrays([pa.array(h[kept].view(np.int64)), pa.array(keys), pa.array(starts - first[owner])], names=["window", "key", "start"])
+            anchor, key, start = (batch.column(c).to_numpy() for c in ("anchor", "key", "start"))
+            text = batch.column("text").to_pylist()
+            total = np.cumsum(np.fromiter(map(len, text), np.int64, len(text)))
+            low = 0
+            ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor)).tolist()
+            if held and anchor[0] != last and size > RESOLVED:
+                yield firsts(held)
+                held, size = [], 0
+            begun = 0
+            for end in ends[:-1]:  # groups that end here
+                if size + int(total[end - 1]) - begun > RESOLVED:
+                    yield firsts([*held, (key[low:end], start[low:end], text[low:end])])
+                    held, size, low, begun = [], 0, end, int(total[end - 1])
+            held.append((key[low:], start[low:], text[low:]))
+            size, last = size + int(total[-1]) - begun, anchor[-1]
+        if held:
+            yield firsts(held)
 
-    return rows.mapInArrow(run, "window long, key long, start long")
+    return rows.select("anchor", "key", "start", "text").mapInArrow(run, "key long, start long")
 
 
 def marked(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -143,11 +223,17 @@ def marked(rows: DataFrame, rule: Rule) -> DataFrame:
     rows = rows.select("key", "text")
     blocks = _blocks(rows, rule).groupBy("whole").agg(F.min(F.struct("key", "place", "anchor")).alias("m")).select("m.*")
     sorted_ = blocks.repartitionByRange("anchor", "key", "place").sortWithinPartitions("anchor")
-    lists = sorted_.mapInArrow(_alone, "key long, block long").groupBy("key").agg(F.collect_list("block").alias("blocks"))
+    lists = sorted_.mapInArrow(_marked, "key long, block long").groupBy("key").agg(F.collect_list("block").alias("blocks"))
     lists = materialise(lists, "first-blocks")
     texts = T.compressed(rows)
-    asked = texts.join(lists.where(F.exists("blocks", lambda b: b.bitwiseAND(F.lit(1)) == 1)), "key").sortWithinPartitions("key")
-    windows = _windows(asked, rule).groupBy("window").agg(F.min(F.struct("key", "start")).alias("m")).select("m.*")
+    asked = texts.join(lists.where(F.exists("blocks", lambda b: b.bitwiseAND(F.lit(3)) != ALONE)), "key").sortWithinPartitions("key")
+    asked = _asked(asked, rule)
+    if rule.contexts:
+        asked = materialise(asked, "shared-anchors")
+    windows = asked.where("window IS NOT NULL").groupBy("window").agg(F.min(F.struct("key", "start")).alias("m")).select("m.*")
+    if rule.contexts:
+        few = asked.where("window IS NULL").repartition("anchor").sortWithinPartitions("anchor", "key", "start")
+        windows = windows.unionAll(_resolved(few, rule))
     firsts = materialise(windows.groupBy("key").agg(F.collect_list("start").alias("firsts")), "first-windows")
     known = lists.join(firsts, "key", "left")
     return texts.join(known, "key", "left")
@@ -158,8 +244,8 @@ def removed(batch: pa.RecordBatch, first: np.ndarray, rule: Rule) -> np.ndarray:
     n = int(first[-1])
     edges = np.zeros(n + 1, np.int64)
     block, owner = _places(batch.column("blocks"), first[:-1])
-    sure = block & 1 == 0
-    begin, windows = owner[sure] + (block[sure] >> 9), block[sure] >> 1 & 255
+    sure = block & 3 == ALONE
+    begin, windows = owner[sure] + (block[sure] >> 10), block[sure] >> 2 & 255
     np.add.at(edges, begin, 1)
     np.add.at(edges, begin + windows, -1)
     start, base = _places(batch.column("firsts"), first[:-1])

@@ -1,10 +1,12 @@
+import dataclasses
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import SPACE, awkward, corpus, sha, written
 
-from spanfolio.llm import substring, suffix
+from spanfolio.llm import repeats, substring, suffix
 from spanfolio.llm import text as T
 from spanfolio.llm.queries import QUERIES
 from spanfolio.llm.text import numbered
@@ -91,3 +93,47 @@ def test_awkward_rows_and_runs(spark):
         assert out.where("n_removed > 0").count() > 0 and column in out.columns
     long = substring.deduplicated(rows, key).where("n_words > 400").first()  # a period of 11 words, and another last one
     assert [(x["start"], x["end"]) for x in long["runs"]] == [(12, 440)] and len(long["kept"].split()) == 13
+
+
+def test_marks_of_shared_anchors(monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP", 5)
+    r = random.Random(4)
+    for trial in range(200):
+        sizes = [r.choice([1, 1, 2, 3, 5, 6, 9, 14]) for _ in range(r.randint(1, 8))]
+        anchors = np.repeat(np.arange(len(sizes)), sizes)
+        keys, places = np.arange(len(anchors)), np.arange(len(anchors)) * 256 + 1
+        cuts = sorted({0, len(anchors), *(r.randrange(len(anchors) + 1) for _ in range(r.randint(0, 6)))})
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(x[a:b]) for x in (anchors, keys, places)], names=["anchor", "key", "place"])
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+        ]
+        got = {}
+        for batch in repeats._marked(iter(batches)):
+            for key, block in zip(batch["key"].to_pylist(), batch["block"].to_pylist(), strict=True):
+                assert key not in got and block >> 2 == key * 256 + 1
+                got[key] = block & 3
+        assert len(got) == len(anchors)
+        for i, (size, low) in enumerate(zip(sizes, np.cumsum([0, *sizes]).tolist())):
+            marks = {got[k] for k in range(low, low + size)}
+            allowed = {repeats.MANY} if size > 5 or i in (0, len(sizes) - 1) else {repeats.ALONE if size == 1 else repeats.FEW}
+            # after an anchor of many blocks at the front the next one may count as many, too
+            assert marks <= allowed | ({repeats.MANY} if i == 1 else set()) and len(marks) == 1, (sizes, i, marks)
+
+
+def test_few_and_many_give_the_same(spark):
+    texts = [d[1] or "" for d in sorted(repeating(5))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string").coalesce(1)
+    by_text, by_hash = suffix.rule(60, 12), dataclasses.replace(suffix.rule(60, 12), contexts=None)
+    want = plainly([t.encode() for t in texts], 60)
+    for rule in (by_text, by_hash):
+        got = {}
+
+        def run(batches, rule=rule):
+            for batch, data, offsets in T.unpacked(batches):
+                gone = repeats.removed(batch, offsets, rule)
+                for key, low, high in zip(batch["key"].to_pylist(), offsets[:-1], offsets[1:], strict=True):
+                    yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([gone[low:high].tolist()], pa.list_(pa.bool_()))], names=["key", "gone"])
+
+        for row in repeats.marked(rows, rule).mapInArrow(run, "key long, gone array<boolean>").collect():
+            got[row["key"]] = row["gone"]
+        assert [got[i] for i in range(len(texts))] == want
