@@ -67,11 +67,6 @@ def dates_of(panel: DataFrame) -> DataFrame:
     return panel.select("universe", "dt", "ix").distinct()
 
 
-def asset_names(panel: DataFrame) -> list[str]:
-    """The names in a panel, in order; the list is as long as a sheet is wide."""
-    return sorted(r["asset"] for r in panel.select("asset").distinct().collect())
-
-
 def show(df: DataFrame, plain: list[str], **digits: int) -> DataFrame:
     """Plain columns, then the named columns rounded to the given digits."""
     return df.select(*plain, *[rounded(F.col(f"`{c}`"), d).alias(c) for c, d in digits.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanfolio.operators import panel as P
 from spanfolio.operators import rolling as R
 from spanfolio.plans import sql as S
-from spanfolio.plans.common import aligned_prices, asset_names, dates_of, panel_of, prices_of, returns_of, show
+from spanfolio.plans.common import aligned_prices, dates_of, panel_of, prices_of, returns_of, show
 from spanfolio.sources import sheets
 from spanfolio.sources.tables import (
     BRAND_FLAGS_MONTH,
@@ -89,7 +89,7 @@ def panel_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stack_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Separate series of dates and values, one for each type, under their names."""
     prices = prices_of(spark, sf_dir, TYPES_DAY)
-    funds = {f"{t} FUND": prices.where(F.col("asset") == t).select("dt", "price") for t in asset_names(prices)}
+    funds = {f"{t} FUND": prices.where(F.col("asset") == t).select("dt", "price") for t in sheets.to_wide(prices, "price").columns[1:]}
     return _logged(sheets.stack_series(funds, "price"), KEY)
 
 
