@@ -172,18 +172,18 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def _firsts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Places of the first of equal lines; and by key those that share a half with another one, with what they share."""
-    first = lines.groupBy("line").agg(F.min(F.struct("key", "number", "halves")).alias("m")).select("m.*")
+    first = lines.groupBy("line").agg(F.min(F.struct("key", "number", "halves")).alias("m")).select("line", "m.*")
     first = materialise(first, "first-lines")
-    half = first.select("key", "number", F.posexplode("halves").alias("which", "half")).where("half <> 0")
-    place = F.struct("key", "number")
-    common = half.groupBy("half").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("half")
+    half = first.select("line", "key", "number", F.posexplode("halves").alias("which", "half")).where("half <> 0")
+    common = half.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
+    half = half.drop("line")
     flag = F.sum(F.expr("shiftleft(1, which)")).cast("int")
     asked = half.join(common, "half").groupBy("key", "number").agg(flag.alias("flags"))
     return first.select("key", "number"), asked.groupBy("key").agg(F.collect_list(F.struct("number", "flags")).alias("asked"))
 
 
-def marked(rows: DataFrame) -> DataFrame:
-    """``rows`` (key, text) as (key, n_bytes, packed, kept): the numbers of lines that stay, of those with LEAST words."""
+def kept_lines(rows: DataFrame) -> DataFrame:
+    """By ``key`` the numbers (``kept``) of lines that stay, of those of LEAST words and more, in ``rows`` (key, text)."""
     rows = rows.select("key", "text")
     first, asked = _firsts(_lines(rows))
     packed = T.compressed(rows)
@@ -203,7 +203,7 @@ def marked(rows: DataFrame) -> DataFrame:
     pairs = pairs.join(words, "place").join(words.select(F.col("place").alias("earlier"), F.col("words").alias("other")), "earlier")
     near = _verified(pairs.select(F.col("place.key").alias("key"), F.col("place.number").alias("number"), "words", "other")).distinct()
     kept = first.join(near, ["key", "number"], "left_anti").groupBy("key").agg(F.collect_list("number").alias("kept"))
-    return packed.join(materialise(kept, "kept-lines"), "key", "left")
+    return materialise(kept, "kept-lines")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,30 +218,33 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     so of repeated rows the first keeps its lines. Columns of ``docs`` named like the two counts are replaced.
     """
     rows, key = T.numbered(docs.drop("n_lines", "n_removed"), id_col, text_col)
-    texts = rows.select(F.col(key).alias("key"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn(text_col, F.col(text_col).cast("string"))
+    kept = kept_lines(rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")))
+    spare = "_" * (1 + max(map(len, rows.columns)))
+    names = "n_bytes" + spare, "packed" + spare
+    packed = T.compressed(rows, text_col, names).join(kept.select(F.col("key").alias(key), F.col("kept").alias("kept" + spare)), key, "left")
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    schema = rows.select(*columns, F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed")).schema
 
     def run(batches):
-        for batch, data, offsets in T.unpacked(batches):
+        for batch, data, offsets in T.unpacked(batches, names):
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
             lines = Lines(data, offsets)
             raw = data.tobytes()
-            kept = batch.column("kept").to_pylist()
-            gone: list[list[int]] = [[] for _ in kept]
-            counts = np.bincount(lines.owner, minlength=len(kept))
+            stay, valid = column("kept" + spare).to_pylist(), column(names[1]).is_valid().to_pylist()
+            gone: list[list[int]] = [[] for _ in stay]
+            counts = np.bincount(lines.owner, minlength=len(stay))
             for owner, number, n in zip(lines.owner.tolist(), lines.number.tolist(), lines.n.tolist(), strict=True):
                 if n >= LEAST:
                     gone[owner].append(number)
             out, removed = [], []
             for i, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                drop = set(gone[i]).difference(kept[i] or ())
+                drop = set(gone[i]).difference(stay[i] or ())
                 removed.append(len(drop))
                 text = raw[low:high]
-                out.append((b"\n".join([x for j, x in enumerate(text.split(b"\n")) if j not in drop]) if drop else text).decode())
-            columns = [batch.column("key"), pa.array(out, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "new_text", "n_lines", "n_removed"])
-
-    clean = marked(texts).mapInArrow(run, "key long, new_text string, n_lines long, n_removed long")
-    taken = {c: c + "_" * (1 + max(map(len, rows.columns))) for c in ("key", "new_text")}
-    clean = clean.withColumnsRenamed(taken)
-    joined = rows.join(clean, rows[key] == clean[taken["key"]])
-    text = F.when(F.col(text_col).isNotNull(), F.col(taken["new_text"])).alias(text_col)
-    return joined.select(*(text if c == text_col else F.col(c) for c in rows.columns if c != key), "n_lines", "n_removed")
+                text = b"\n".join([x for j, x in enumerate(text.split(b"\n")) if j not in drop]) if drop else text
+                out.append(text.decode() if valid[i] else None)
+            arrays = [pa.array(out, pa.string()) if c == text_col else column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*columns, "n_lines", "n_removed"])
+
+    return packed.mapInArrow(run, schema)

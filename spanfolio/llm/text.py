@@ -160,28 +160,37 @@ def room(first: np.ndarray) -> np.ndarray:
     return np.repeat(first[1:], counts) - np.arange(first[0], first[-1])
 
 
-def compressed(rows: DataFrame) -> DataFrame:
-    """(key, text) as (key, n_bytes, packed): what a shuffle of whole texts carries. A null text counts as empty."""
+def compressed(rows: DataFrame, text_col: str = "text", names: tuple[str, str] = ("n_bytes", "packed")) -> DataFrame:
+    """``rows`` with the text as its number of bytes and compressed bytes: what a shuffle of whole texts carries.
+
+    The compressed bytes of a null text are null.
+    """
+    others = [c for c in rows.columns if c != text_col]
 
     def run(batches):
-        for batch, data, offsets in chunks(batches):
-            packed = [pa.compress(data[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(offsets), pa.int64()), pa.array(packed, pa.binary())], names=["key", "n_bytes", "packed"])
+        for batch, data, offsets in chunks(batches, text_col):
+            valid = batch.column(batch.schema.get_field_index(text_col)).is_valid().to_pylist()
+            spans = zip(valid, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+            packed = [pa.compress(data[a:b].tobytes(), codec="zstd", asbytes=True) if ok else None for ok, a, b in spans]
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in others]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(offsets), pa.int64()), pa.array(packed, pa.binary())], names=[*others, *names])
 
-    return rows.select("key", "text").mapInArrow(run, "key long, n_bytes long, packed binary")
+    schema = rows.select(*others, F.lit(0).cast("long").alias(names[0]), F.lit(None).cast("binary").alias(names[1])).schema
+    return rows.mapInArrow(run, schema)
 
 
-def unpacked(batches, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def unpacked(batches, names: tuple[str, str] = ("n_bytes", "packed"), limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """``chunks`` of batches with compressed texts."""
     for batch in batches:
-        sizes = batch.column("n_bytes").to_numpy()
+        sizes = batch.column(batch.schema.get_field_index(names[0])).to_numpy()
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         first = 0
         while first < len(batch):
             last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
             last = min(last, len(batch))
             part = batch.slice(first, last - first)
-            texts = [pa.decompress(z.as_py(), int(n), codec="zstd", asbytes=True) for z, n in zip(part.column("packed"), sizes[first:last], strict=True)]
+            packed = part.column(part.schema.get_field_index(names[1])).to_pylist()
+            texts = [pa.decompress(z, int(n), codec="zstd", asbytes=True) for z, n in zip(packed, sizes[first:last], strict=True) if n]
             yield part, np.frombuffer(b"".join(texts), np.uint8), offsets[first : last + 1] - offsets[first]
             first = last
 
