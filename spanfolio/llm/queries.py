@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanfolio.llm import bpe, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity
 from spanfolio.llm.labelled import in_training
+from spanfolio.llm.oracles import ORACLES
 from spanfolio.llm.text import numbered
 
 
@@ -125,4 +126,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
