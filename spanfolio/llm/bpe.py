@@ -209,7 +209,7 @@ def _slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 
 def encoded(
-    docs: DataFrame, path: str, pattern: str, text_col: str = "text", digest: bool = False, batch_chars: int = 1 << 24
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", digest: bool = False, batch_chars: int = 1 << 22
 ) -> DataFrame:
     """Every column of ``docs`` with the ids of its whole text and the text decoded from them.
 
