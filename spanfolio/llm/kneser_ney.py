@@ -161,6 +161,75 @@ def fit(counts: DataFrame, order: int, shared: int = 0, max_entries: int = 1 <<
     return model
 
 
+@dataclass
+class Levels:
+    """A whole model as tables, per order: (``gram``, ``share``) and (``h``, ``left``), as in ``Model``."""
+
+    order: int
+    shared: int
+    grams: list[DataFrame]
+    histories: list[DataFrame]
+
+
+def _suffix(gram, n: int, shared: int):
+    return gram.bitwiseAND(F.lit(_signed((~_GRAM if n > shared else ~_GRAM << 1) | (1 << 8 * n) - 1)))
+
+
+def _before(gram):
+    return gram.bitwiseAND(F.lit(_signed(~_GRAM))).bitwiseOR(F.shiftright(gram.bitwiseAND(F.lit(_GRAM)), 8))
+
+
+def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
+    """The model of ``fit`` with every gram of every order, whatever their number.
+
+    Nothing is collected; a group's discounts are a row of a small table.
+    """
+    model = Levels(order, shared, [None] * order, [None] * order)
+    table = materialise(counts, "grams")
+    group = F.shiftright("gram", BYTES).alias("g")
+
+    def run(batches):
+        for batch in batches:
+            d = [discounts(*n) for n in zip(*(batch.column(f"n{i}").to_pylist() for i in (1, 2, 3, 4)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("g"), *(pa.array([x[i] for x in d], pa.float64()) for i in range(3))], names=["g", "d1", "d2", "d3"])
+
+    for n in range(order, 0, -1):
+        if n < order:
+            byte = F.shiftright("gram", 8 * n).bitwiseAND(F.lit(255))
+            table = materialise(table.groupBy(_suffix(F.col("gram"), n, shared).alias("gram")).agg(F.countDistinct(byte).alias("c")), "grams")
+        few = table.groupBy(group).agg(*(F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)))
+        few = materialise(few.mapInArrow(run, "g long, d1 double, d2 double, d3 double"), "discounts")
+        taken = F.expr("case c when 1 then d1 when 2 then d2 else d3 end")
+        rows = table.withColumn("g", group).join(few, "g").select("gram", _before(F.col("gram")).alias("h"), "c", taken.alias("d"))
+        # whole numbers, so that the order of a sum doesn't show
+        sums = rows.groupBy("h").agg(F.sum("c").alias("s"), F.sum(F.round(F.col("d") * 2**30).cast("long")).alias("t"))
+        sums = materialise(sums, "histories")
+        model.grams[n - 1] = materialise(rows.join(sums, "h").select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share")), "shares")
+        model.histories[n - 1] = sums.select("h", F.least(F.greatest(F.col("t") / 2**30 / F.col("s"), F.lit(1e-6)), F.lit(1.0)).alias("left"))
+    return model
+
+
+def probabilities(model: Levels, wanted: DataFrame) -> DataFrame:
+    """(``gram``, ``p``): P(last byte | bytes before it, group) of the distinct grams of ``wanted`` (``gram``).
+
+    Each order is joined with the one below. A gram has at most 512 neighbours with its
+    suffix and as many with its history, so no key is a frequent one.
+    """
+    asked = [None] * model.order
+    asked[-1] = materialise(wanted.select("gram").distinct(), "wanted")
+    for n in range(model.order - 1, 0, -1):
+        asked[n - 1] = materialise(asked[n].select(_suffix(F.col("gram"), n, model.shared).alias("gram")).distinct(), "wanted")
+    below = None
+    for n in range(1, model.order + 1):
+        rows = asked[n - 1].select("gram", _before(F.col("gram")).alias("h"), _suffix(F.col("gram"), n - 1, model.shared).alias("suffix"))
+        rows = rows.join(model.grams[n - 1], "gram", "left").join(model.histories[n - 1], "h", "left")
+        if n > 1:
+            rows = rows.join(below.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
+        under = F.col("q") if n > 1 else F.lit(1 / 256)
+        below = materialise(rows.select("gram", (F.coalesce("share", F.lit(0.0)) + F.coalesce("left", F.lit(1.0)) * under).alias("p")), "probabilities")
+    return below
+
+
 def _signed(bits: int) -> int:
     bits &= (1 << 64) - 1
     return bits - (1 << 64) if bits >> 63 else bits

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanfolio.llm import kneser_ney as K
 from spanfolio.llm import text as T
+from spanfolio.llm.gathered import gathered
 from spanfolio.sources.workspace import materialise
 
 ORDER = 5
@@ -38,14 +39,15 @@ def _grams(batch, data, offsets):
     return gram | _group(batch.column("lang"))[owner] << K.BYTES, owner
 
 
-def fitted(docs: DataFrame, max_entries: int = 1 << 20) -> K.Model:
-    """The model of all texts of ``docs`` (text, lang)."""
+def losses(docs: DataFrame) -> DataFrame:
+    """Negative log-probability (``value``) of every gram (``key``) of ``docs`` (text, lang), by the model of all its texts."""
 
     def grams(batches):
         for batch, data, offsets in T.chunks(batches):
             yield np.unique(_grams(batch, data, offsets)[0], return_counts=True)
 
-    return K.fit(K.counted(docs.select("text", "lang"), grams), ORDER, max_entries=max_entries)
+    counts = materialise(K.counted(docs.select("text", "lang"), grams), "grams")
+    return K.probabilities(K.levels(counts, ORDER), counts).select(F.col("gram").alias("key"), (-F.log("p")).alias("value"))
 
 
 def _repeated(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +91,7 @@ RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _TYPES = "key long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_loss double"
 
 
-def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, short: float = 10.0, max_entries: int = 1 << 20) -> DataFrame:
+def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, short: float = 10.0) -> DataFrame:
     """Plain counts, perplexity and verdict for each row of ``docs``.
 
     Columns: ``key`` (numbers the rows, see ``text.numbered``), ``n_words``,
@@ -97,28 +99,30 @@ def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "l
     ``log_loss`` (mean negative log-probability of a byte: the logarithm of the
     perplexity; null without five bytes), ``lower``, ``upper`` (the band of the language) and ``kept``.
 
-    The model counts every text. A language's band reaches from its median loss
+    The model counts every text and keeps every gram, as tables. A language's band reaches from its median loss
     ``reach`` times as far as the quarter below and above; both ends widen with
     ``short`` over the root of the words of the text, since a short text varies more. A text
     without loss, and one whose band is a point, is judged by the plain rules alone. Null
     and empty texts have no words and fail; a null language is a language of its own.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    model = docs.sparkSession.sparkContext.broadcast(fitted(rows, max_entries))
 
-    def run(batches):
-        for batch, data, offsets in T.chunks(batches):
-            gram, owner = _grams(batch, data, offsets)
-            distinct, inverse = np.unique(gram, return_inverse=True)
-            loss = -np.log(model.value.probability(distinct))[inverse]
-            n = np.bincount(owner, minlength=len(batch))
-            total = np.bincount(owner, loss, len(batch))
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            rules = _rules(data, offsets)
-            columns = [batch.column("key"), batch.column("lang"), *(pa.array(rules[c], pa.int64()) for c in RULES), pa.array(n, pa.int64()), mean]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "lang", *RULES, "n_grams", "log_loss"])
-
-    scored = materialise(rows.mapInArrow(run, _TYPES).withColumn("lang", F.coalesce("lang", F.lit(""))), "losses")
+    def asked(piece):
+        return np.unique(_grams(*piece)[0])
+
+    def used(piece, keys, found):
+        batch, data, offsets = piece
+        gram, owner = _grams(batch, data, offsets)
+        loss = found[np.searchsorted(keys, gram)]
+        n = np.bincount(owner, minlength=len(batch))
+        total = np.bincount(owner, loss, len(batch))
+        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+        rules = _rules(data, offsets)
+        columns = [batch.column("key"), batch.column("lang"), *(pa.array(rules[c], pa.int64()) for c in RULES), pa.array(n, pa.int64()), mean]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "lang", *RULES, "n_grams", "log_loss"])
+
+    scored = gathered(rows, "text", asked, losses(rows), used, _TYPES)
+    scored = materialise(scored.withColumn("lang", F.coalesce("lang", F.lit(""))), "losses")
     quarters = F.percentile_approx("log_loss", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
     bands = materialise(scored.where("log_loss is not null").groupBy("lang").agg(quarters.alias("q")), "bands")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))

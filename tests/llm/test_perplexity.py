@@ -67,6 +67,33 @@ def test_model_is_the_formula_and_sums_to_one(spark):
     assert math.isclose(small.probability(np.array([int.from_bytes(b"th" + bytes([i])) for i in range(256)])).sum(), 1, rel_tol=1e-3)
 
 
+def test_whole_model_as_tables_is_the_model(spark):
+    texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog and the hat " * 2]
+    for shared in (0, 1):
+        grams, model = model_of(spark, texts, 3, shared=shared)
+        table = spark.createDataFrame(list(grams.items()), "gram long, c long")
+        asked = [*grams, *(int.from_bytes(x.encode()) for x in ("zzz", "thq", "dxq"))]
+        wanted = spark.createDataFrame([(x,) for x in asked], "gram long")
+        got = {r["gram"]: r["p"] for r in kneser_ney.probabilities(kneser_ney.levels(table, 3, shared), wanted).collect()}
+        assert np.allclose([got[x] for x in asked], model.probability(np.array(asked)), rtol=1e-5)
+
+
+def test_losses_take_every_gram(spark, monkeypatch):
+    """Each loss is that of the uncapped model, also where a capped one has fewer grams than the texts."""
+    capped = kneser_ney.fit
+    monkeypatch.setattr(kneser_ney, "fit", lambda *a, max_entries=0, **b: capped(*a, **b, max_entries=30))
+    text = "the cat sat on the mat and the dog sat on the log"
+    docs = [(i, text + f" number {i}", "en") for i in range(9)] + [(9, "ein hund und eine katze", "de"), (10, "abc", "de")]
+    got = {r["row_number"]: r["log_loss"] for r in perplexity.judged(numbered(spark.createDataFrame(docs, "doc_id long, text string, lang string"))[0], "row_number").collect()}
+    group = dict(zip(("en", "de"), (sum(b * 31**i for i, b in enumerate(x.encode())) % 251 for x in ("en", "de"))))
+    packed = {i: [int.from_bytes(f" {t}".encode()[j : j + 5]) | group[lang] << 48 for j in range(len(t) + 1 - 4)] for i, t, lang in docs}
+    counts = Counter(g for x in packed.values() for g in x)
+    model = capped(spark.createDataFrame(list(counts.items()), "gram long, c long"), 5)
+    for i, grams in packed.items():
+        want = -np.log(model.probability(np.array(grams, np.int64))).mean() if grams else None
+        assert got[i] is None if want is None else math.isclose(got[i], want, rel_tol=1e-5)
+
+
 def test_odd_texts_leave_the_band(spark):
     fine = [(i, " ".join(f"word{(i * j) % 7} goes" for j in range(40)), "en") for i in range(60)]
     odd = [(100, " ".join(chr(33 + (7 * j) % 90) * 3 for j in range(60)), "en")]
