@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanfolio.llm.text import compressed
 from spanfolio.sources.workspace import materialise
 
 
@@ -14,6 +15,23 @@ def in_training(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2
 
 
+def known_labels(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """One row (``label``: 0 or 1) for each labelled id; of several labels of an id the greatest counts."""
+    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max(label) > 0).cast("int").alias("label"))
+    return materialise(known, "labels")
+
+
+def fold(id_col: str = "doc_id"):
+    return F.abs(F.xxhash64(id_col)) % 2
+
+
+def every(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All labelled documents: ``label`` and ``fold`` as in ``sample``, ``n_bytes`` and ``packed`` as in ``text.compressed``."""
+    known = known_labels(labels, label, id_col).withColumn("fold", fold(id_col))
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return compressed(texts).join(known, id_col).select("label", "fold", "n_bytes", "packed")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most ``max_rows`` documents of each class with what they stand for.
 
@@ -22,13 +40,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col
     without label are left out, and of several labels of an id the greatest counts. At
     most 2 * ``max_rows`` ids are broadcast.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg((F.max(label) > 0).cast("int").alias("label"))
-    known = materialise(known, "labels")
+    known = known_labels(labels, label, id_col)
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     taken = None
     for value, n in sorted(sizes.items()):
         part = known.where(F.col("label") == value).orderBy(F.xxhash64(F.lit(label), id_col), id_col).limit(max_rows)
-        part = part.withColumn("weight", F.lit(n / min(n, max_rows))).withColumn("fold", F.abs(F.xxhash64(id_col)) % 2)
+        part = part.withColumn("weight", F.lit(n / min(n, max_rows))).withColumn("fold", fold(id_col))
         taken = part if taken is None else taken.unionAll(part)
     texts = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     if taken is None:

@@ -53,6 +53,16 @@ def test_labels_that_are_held_out_change_nothing(spark, tmp_path):
         assert scores[0] == scores[1]
 
 
+def test_words_of_every_labelled_document_are_counted(spark):
+    """A bound on the sample leaves the counts alone: the model is that of all documents."""
+    documents, labels = labelled_corpus(2, 60)
+    docs = spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    few, all_of_them = (toxicity.fit(docs, known, max_rows=n).language for n in (5, 1000))
+    for a, b in zip(few.grams + few.share + few.histories + few.left, all_of_them.grams + all_of_them.share + all_of_them.histories + all_of_them.left, strict=True):
+        assert np.array_equal(a, b)
+
+
 def test_forward_backward_is_the_sum_over_all_labellings():
     r = np.random.default_rng(3)
     first = np.array([0, 1, 1, 5, 8])
