@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity
+from spanfolio.llm import bpe, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity, word_bpe
 from spanfolio.llm.labelled import in_training
 from spanfolio.llm.oracles import ORACLES
 from spanfolio.llm.text import numbered
@@ -113,6 +113,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", key).join(perplexity.judged(rows, key), key).drop(key)
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding of every whole text by the vocabulary of words, and the text decoded again, as digests."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return word_bpe.encoded(documents(spark, sf_dir), path, digest=True).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -124,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_word_bpe": op11_word_bpe,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -94,7 +94,7 @@ def test_without_labels_and_awkward_rows(spark):
             assert len(scores) == docs.count() and all(0 <= s <= 1 for s in scores)
     assert toxicity.scored(docs.where("false"), toxicity.fit(docs, none)).count() == 0
     rows = sample(docs, some, "quality", 5).collect()
-    assert sorted(r["label"] for r in rows) == [0, 1, 1]  # both rows of id 1, of which the greater label counts
+    assert sorted(r["label"] for r in rows) == [0, 1, 1, 1]  # all three rows of id 1, of which the greater label counts
 
 
 def test_logistic_finds_the_weights():
