@@ -5,8 +5,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import ROOT
-from oracle import DATA
+from oracle import DATA, ROOT
 
 from spanfolio.operators import panel as P
 from spanfolio.plans import registry
