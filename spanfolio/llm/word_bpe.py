@@ -14,7 +14,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -52,10 +52,15 @@ def lowered(text: str) -> str:
     return "σ".join(part.lower() for part in text.split("Σ")).translate(_later_lower())
 
 
+def normalised(text: str) -> str:
+    return lowered(unicodedata.normalize("NFC", text))
+
+
 @lru_cache(maxsize=1)
 def _later_lower() -> dict[int, int]:
     rows = [re.fullmatch(r"(\w+)-(\w+)([+-]\d+)", x).groups() for x in LATER_LOWER.split()]
-    return {c: c + int(by) for first, last, by in rows for c in range(int(first, 16), int(last, 16) + 1)}
+    table = {c: c + int(by) for first, last, by in rows for c in range(int(first, 16), int(last, 16) + 1)}
+    return table, re.compile("[" + "".join(map(chr, table)) + "]").search
 
 
 @lru_cache(maxsize=1)
@@ -160,8 +165,9 @@ class Vocabulary:
             # only the pairs at both sides of a merge are looked up anew
             new = np.zeros(len(ids), bool)
             new[at] = True
-            ids, owner, rank, new = ids[keep], owner[keep], rank[keep], np.flatnonzero(new[keep])
-            touched = np.unique(np.concatenate([new, new[new > 0] - 1]))
+            ids, owner, rank, new = ids[keep], owner[keep], rank[keep], new[keep]
+            new[:-1] |= new[1:]
+            touched = np.flatnonzero(new)
             rank[touched] = self._pair_ranks(ids, owner, touched)
         owner = np.concatenate([o for o, _ in done]) if done else np.zeros(0, np.int64)
         ids = np.concatenate([i for _, i in done]) if done else owner
@@ -205,8 +211,7 @@ class Vocabulary:
         return at[(at - first) % 2 == 0]
 
     def pieces(self, text: str) -> list[bytes]:
-        """Pieces of a text without special strings."""
-        text = lowered(unicodedata.normalize("NFC", text))
+        """Pieces of a normalised text without special strings."""
         if text.isascii() or not unknown_letters().search(text):
             return [p.encode() for p in self.findall(text)]
         cuts, at = [], 0  # stand-ins of no class show where to cut
@@ -215,24 +220,30 @@ class Vocabulary:
             cuts.append(text[at - len(p) : at].encode())
         return cuts
 
-    def parts(self, word: str) -> list[int | bytes]:
-        """What becomes of a word between blanks: ids of special strings, and bytes of pieces to merge."""
-        if self.cut is None or not self.cut.search(word):
-            return self.pieces(word)
+    def around_special(self, word: str) -> list[int | bytes]:
+        """Ids of the special strings in a word, and the pieces between them."""
         out: list[int | bytes] = []
         at = 0
         for m in self.cut.finditer(word):
-            out += self.pieces(word[at : m.start()])
-            out.append(self.special[m.group()])
+            out += [*self.pieces(normalised(word[at : m.start()])), self.special[m.group()]]
             at = m.end()
-        return out + self.pieces(word[at:])
+        return out + self.pieces(normalised(word[at:]))
 
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of distinct words; every distinct piece is merged once."""
-        parts = {w: self.parts(w) for w in words}
-        pieces = sorted({p for found in parts.values() for p in found if isinstance(p, bytes)})
+        """Ids of distinct words without white space; every distinct piece is merged once."""
+        words = list(words)
+        joined = "\n".join(words)
+        special = [w for w in words if self.cut.search(w)] if self.cut is not None and self.cut.search(joined) else []
+        if special:
+            joined = "\n".join(words := list(set(words).difference(special)))
+        # letters alone are one piece
+        shown = normalised(joined).split("\n") if words else []
+        parts: dict[str, list[int | bytes]] = {w: [s.encode()] if s.isalpha() else self.pieces(s) for w, s in zip(words, shown, strict=True)}
+        parts.update((w, self.around_special(w)) for w in special)
+        pieces = list(dict.fromkeys(p for found in parts.values() for p in found if p.__class__ is bytes))
         ids = dict(zip(pieces, self.merged(pieces), strict=True))
-        return {w: [i for p in found for i in ((p,) if isinstance(p, int) else ids[p])] for w, found in parts.items()}
+        whole = lambda found: [i for p in found for i in (ids[p] if p.__class__ is bytes else (p,))]
+        return {w: ids[found[0]] if len(found) == 1 and found[0].__class__ is bytes else whole(found) for w, found in parts.items()}
 
 
 @lru_cache(maxsize=2)
@@ -265,6 +276,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", digest: bool = F
         gc.disable()  # many small lists without cycles
         vocabulary = vocabulary_of(path)
         names = vocabulary.names
+        decimals = {i: str(i) for i in names}
         known: dict = {}
         shown: dict = {}
 
@@ -273,7 +285,7 @@ def encoded(docs: DataFrame, path: str, text_col: str = "text", digest: bool = F
                 known.clear()
                 shown.clear()
             for w, ids in vocabulary.encode(words.difference(known)).items():
-                known[w] = " ".join(map(str, ids)) if digest else ids
+                known[w] = " ".join(map(decimals.__getitem__, ids)) if digest else ids
                 shown[w] = " ".join(map(names.__getitem__, ids))
 
         for batch in batches:
