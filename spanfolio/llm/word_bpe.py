@@ -49,7 +49,9 @@ def lowered(text: str) -> str:
     """Lower case of each character by itself: a sigma at the end of a word is like any other."""
     if text.isascii():
         return text.lower()
-    return "σ".join(part.lower() for part in text.split("Σ")).translate(_later_lower())
+    table, later = _later_lower()
+    text = "σ".join(part.lower() for part in text.split("Σ"))
+    return text.translate(table) if later(text) else text
 
 
 def normalised(text: str) -> str:
@@ -57,7 +59,8 @@ def normalised(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _later_lower() -> dict[int, int]:
+def _later_lower() -> tuple[dict[int, int], Callable]:
+    """The later lower-case forms, and a search for characters that have one."""
     rows = [re.fullmatch(r"(\w+)-(\w+)([+-]\d+)", x).groups() for x in LATER_LOWER.split()]
     table = {c: c + int(by) for first, last, by in rows for c in range(int(first, 16), int(last, 16) + 1)}
     return table, re.compile("[" + "".join(map(chr, table)) + "]").search
