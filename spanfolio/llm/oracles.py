@@ -51,7 +51,40 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+TRIE = r"""WITH c AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS block, list(t ORDER BY pos) AS turns,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+             lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                 lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295::UBIGINT)::BIGINT % 4 AS h
+  FROM c GROUP BY conv_id
+), paths AS (
+  SELECT o.conv_id, coalesce(list_slice(b.turns, 1, o.h), []) || coalesce(list_slice(o.turns, o.h + 1, len(o.turns)), []) AS turns
+  FROM own o LEFT JOIN own b ON b.conv_id = o.block
+), steps AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM paths
+), members AS (
+  SELECT conv_id, n, depth, list_slice(turns, 1, depth) AS node FROM steps
+), nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(n) = any_value(depth) AS leaf,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '') AS ends
+  FROM members GROUP BY node
+), valued AS (
+  SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved FROM nodes
+), up AS (
+  SELECT list_slice(node, 1, d) AS node, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens,
+         count(*) FILTER (WHERE depth = d + 1) AS n_children
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY 1
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, u.n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves,
+       CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN up u ON v.node = u.node LEFT JOIN valued p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.node = list_slice(v.node, 1, v.depth - 1)"""
+
 ORACLES = {
+    "op13_conversation_trie": TRIE,
     "op2_suffix_array_dedup": SUFFIX,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op9_substring_dedup": SUBSTRING,
