@@ -83,7 +83,28 @@ SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, u.n_children,
        CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM valued v JOIN up u ON v.node = u.node LEFT JOIN valued p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.node = list_slice(v.node, 1, v.depth - 1)"""
 
+COLLOCATIONS = rf"""WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM ws GROUP BY lang),
+grams AS (SELECT lang, list_slice(w, i, i + k - 1) AS g
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM ws, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+scored AS (SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, c.k)
+                       JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, c.k + 1, len(c.g))),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, f, list_slice(g, i, i + k - 1) AS g
+    FROM (SELECT lang, f, g, k, unnest(range(1, len(g) - k + 2)) AS i FROM f, (VALUES (2), (3)) t(k) WHERE len(g) > k)),
+held AS (SELECT lang, g, max(f) AS held FROM inner_parts GROUP BY ALL),
+kept AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.g = b.g
+         WHERE h.held IS NULL OR 100 * h.held < 80 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
 ORACLES = {
+    "op12_phrase_collocations": COLLOCATIONS,
     "op13_conversation_trie": TRIE,
     "op2_suffix_array_dedup": SUFFIX,
     "op3_benchmark_decontamination": DECONTAMINATION,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfolio.llm import bpe, conversation_trie, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity, word_bpe
+from spanfolio.llm import bpe, collocations, conversation_trie, decontam, linededup, minhash, perplexity, pii, quality_crf, substring, suffix, toxicity, word_bpe
 from spanfolio.llm.labelled import in_training
 from spanfolio.llm.oracles import ORACLES
 from spanfolio.llm.text import numbered
@@ -121,6 +121,11 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encoded(documents(spark, sf_dir), path, digest=True).drop("text")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language by how well their words keep together."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of all conversations, each rebuilt with the first turns of its block."""
     rows = conversation_trie.turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
@@ -139,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_word_bpe": op11_word_bpe,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
