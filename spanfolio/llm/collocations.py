@@ -26,7 +26,7 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 #: Words of the longest phrase.
 LONGEST = 4
 #: Bytes of text of a shard, one document at least; all open shards of a task hold at most as much.
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 12 << 20
 #: The filter of frequent phrases has at most so many bits, whatever their number.
 FILTER_BITS = 1 << 27
 UNKNOWN = "und"
@@ -164,11 +164,13 @@ class Index:
     def __init__(self, seq: np.ndarray, depth: int):
         key, reach = seq.astype(np.int64), 1
         while reach < depth:
-            pair = key * (int(key.max()) + 1) + np.roll(key, -reach)
-            _, key = np.unique(pair, return_inverse=True)
+            if reach > 1:
+                _, key = np.unique(key, return_inverse=True)
+            key = key * (int(key.max()) + 1) + np.roll(key, -reach)
             reach *= 2
-        order = np.argsort(key, kind="stable")
-        self.before = seq[order - 1].astype(np.int64)
+        # the order of suffixes that share their first symbols doesn't matter for counts
+        self.before = seq[np.argsort(key) - 1].astype(np.int64)
+        del key
         self.places = np.sort(self.before << 32 | np.arange(len(seq)))
 
     def extended(self, low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -188,15 +190,17 @@ def phrases(seq: np.ndarray, n: int, frequent) -> tuple[np.ndarray, np.ndarray]:
     Only those whose parts of fewer symbols are ``frequent``: that takes rows of symbols
     and tells which may be.
     """
-    forward, backward = Index(seq, n), Index(seq[::-1], n)
+    forward = Index(seq, n - 1) if n > 2 else None
     symbol, size = np.unique(seq, return_counts=True)
     low = np.cumsum(size) - size
     words, low, size = symbol[symbol > 0][:, None].astype(np.int64), low[symbol > 0], size[symbol > 0]
     mirrored = low.copy()  # begin of the reversed phrase's interval in the reversed sequence
     for k in range(1, n):
         last = k == n - 1
-        index, here, there = (backward, mirrored, low) if last else (forward, low, mirrored)
-        which, found, begin, count, lesser = index.extended(here, size)
+        here, there = (mirrored, low) if last else (low, mirrored)
+        if last:
+            forward = None
+        which, found, begin, count, lesser = (Index(seq[::-1], n) if last else forward).extended(here, size)
         other = there[which] + lesser
         ok = found > 0
         which, found, begin, count, other = which[ok], found[ok], begin[ok], count[ok], other[ok]
