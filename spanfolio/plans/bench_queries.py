@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanfolio.operators import autoencoder as E
+from spanfolio.operators import autoencoder_rows as B
 from spanfolio.operators import moments as M
 from spanfolio.operators import risk as K
 from spanfolio.operators import spectrum as C
@@ -23,7 +23,7 @@ HEADLINE = [
     "covariance",
     "min_variance",
     "short_budget",
-    "autoencoder_ratio",
+    "autoencoder_series",
     "luck_screen",
     "swaption_book",
     "bond_book",
@@ -44,12 +44,12 @@ def absorption_series_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.absorption_series(p.rows, p.dates, 504, 1512, deviation=p.deviation)
 
 
-def autoencoder_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job of the query of this name without its comparison with the codes."""
+def autoencoder_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job of the query ``autoencoder_ratio`` without its comparison with the codes."""
     p = panel_of(spark, sf_dir, TYPES_DAY)
-    cov = materialise(M.standardised_cov(M.rolling_cov(p.rows, p.dates, 504, 1, 1512), p.deviation), "cov")
-    models = materialise(E.fit_models(cov, 1512), "models")
-    return E.autoencoder_ratio(cov, models, 1512)
+    rows = materialise(B.date_rows(p.rows, p.deviation), "date-rows")
+    models = materialise(B.fit_models(rows, B.asset_names(p.rows), p.dates, 504, 1512), "models")
+    return B.ratio(rows, p.dates, models, 504, 1512)
 
 
 def warm_up(spark: SparkSession, sf_dir: str) -> None:
@@ -59,6 +59,6 @@ def warm_up(spark: SparkSession, sf_dir: str) -> None:
 QUERIES = {
     f.__name__: f
     for f in (
-        asset_risk_report_wide_panel, rolling_cov_wide_panel, absorption_series_wide_panel, autoencoder_ratio,
+        asset_risk_report_wide_panel, rolling_cov_wide_panel, absorption_series_wide_panel, autoencoder_series,
     )
 }

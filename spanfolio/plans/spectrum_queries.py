@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanfolio.operators import autoencoder as E
+from spanfolio.operators import autoencoder_rows as B
 from spanfolio.operators import moments as M
 from spanfolio.operators import panel as P
 from spanfolio.operators import rolling as R
@@ -170,16 +171,28 @@ def _checked(cov: DataFrame, models: DataFrame, ratio: DataFrame, start: int, st
     return ratio.join(by_codes, ["universe", "ix"]).select("universe", "dt", "ix", error.alias("error"))
 
 
+def _row_models(spark: SparkSession, sf_dir: str):
+    """The panel of types, its rows by date and the models of every refresh."""
+    p = panel_of(spark, sf_dir, TYPES_DAY)
+    deviation = p.deviation
+    rows = materialise(B.date_rows(p.rows, deviation), "date-rows")
+    models = materialise(B.fit_models(rows, B.asset_names(p.rows), p.dates, LOOKBACK, START), "models")
+    return p, deviation, rows, models
+
+
 def autoencoder_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrices that each model was trained on, and whether training lowered its loss."""
-    models = E.fit_models(_types_cov_daily(spark, sf_dir), START)
+    models = _row_models(spark, sf_dir)[-1]
     return models.select("universe", "ref_ix", "n_train", (F.col("loss_last") < F.col("loss_first")).alias("learned"))
 
 
 def autoencoder_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cov = _types_cov_daily(spark, sf_dir)
-    models = materialise(E.fit_models(cov, START), "models")
-    return show(_checked(cov, models, E.autoencoder_ratio(cov, models, START), START), WINDOW, error=6)
+    """Ratio on every date, with its difference from the one of codes and windows."""
+    p, deviation, rows, models = _row_models(spark, sf_dir)
+    ratio = B.ratio(rows, p.dates, models, LOOKBACK, START)
+    codes = B.ratio_by_codes(p.rows, deviation, models, LOOKBACK, START)
+    both = ratio.join(codes, ["universe", "ix"]).withColumn("error", F.abs(F.col("ae_ratio") - F.col("by_codes")))
+    return show(both, WINDOW, error=6)
 
 
 def autoencoder_ratio_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
