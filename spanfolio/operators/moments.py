@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanfolio.functions.columns import half_life_decay
@@ -267,52 +267,69 @@ def weighted_window_cov(
 
     A weight is a power of the position, hence a product of one factor for the
     block's place in the window and one for the row's place in the block. The
-    second goes into the block moments, the first is applied to the few block
-    rows of each window.
+    second goes into the block moments. The first makes a window a geometric sum of
+    blocks: blocks are cut into groups as long as a window, with exponents that begin
+    anew in each, and a window is the end of one group's running sum and the beginning
+    of the next one's, each times one power. Nothing is gathered, nothing subtracted.
+    Blocks with weights below 2^-200 of the largest, which no double can show, are left out.
     """
     if decay not in ("as_reference", "recent_first"):
         raise ValueError(f"unknown decay: {decay}")
+    recent = decay == "recent_first"
     block = _block_size(lookback, step, start)
     per_window = lookback // block
     inside = F.col("ix") % block
-    place = F.col("k")
-    if decay == "recent_first":
+    if recent:
         inside = block - 1 - inside
-        place = per_window - 1 - place
     rows = _reached(returns, start - lookback, stop)
     rows = rows.withColumn("r", F.col("r") * half_life_decay(inside, half_life))
     norm = sum(2.0 ** (-j / half_life) for j in range(lookback))
-    order = (
-        Window.partitionBy("universe", "ai", "aj").orderBy("block").rowsBetween(1 - per_window, 0)
+    counted = max(1, min(per_window, math.ceil(200 * half_life / block)))
+    later = 0 if recent else (per_window - counted) * block  # rows of the window after those that count
+    sums = _geometric_sums(block_moments(rows, block), counted, 2.0 ** (-block / half_life), recent)
+    found = sums.selectExpr(
+        "universe",
+        f"(block + 1) * {block}L + {later}L AS ix",
+        "ai",
+        "aj",
+        f"{lookback}L AS n",
+        f"(sxy / {norm * norm}D - (sx / {norm}D) * (sy / {norm}D) / {lookback}) / ({lookback} - 1) AS cov",
     )
-    gathered = (
-        block_moments(rows, block)
-        .select(
-            "universe",
-            "ai",
-            "aj",
-            ((F.col("block") + 1) * block).alias("ix"),
-            F.collect_list(
-                F.struct("sx", "sy", F.expr("cxy + sx * sy / n").alias("sxy"))
-            ).over(order).alias("parts"),
-        )
-        .where(f"{_on_schedule(start, stop, step)} AND size(parts) = {per_window}")
-    )
-    factor = half_life_decay(place * block, half_life) / norm
-    weighted = (
-        gathered.select("universe", "ai", "aj", "ix", F.posexplode("parts").alias("k", "p"))
-        .groupBy("universe", "ai", "aj", "ix")
-        .agg(
-            F.sum(F.col("p.sx") * factor).alias("sx"),
-            F.sum(F.col("p.sy") * factor).alias("sy"),
-            F.sum(F.col("p.sxy") * factor * factor).alias("sxy"),
-        )
+    return _label(found.where(_on_schedule(start, stop, step)), dates)
+
+
+def _geometric_sums(moments: DataFrame, per_window: int, ratio: float, recent: bool) -> DataFrame:
+    """Sums over each block and the ``per_window - 1`` before it, times powers of ``ratio``; squares of them for products.
+
+    The oldest block has power 0, or the latest with ``recent``. Only full windows are returned.
+    """
+    p, log = per_window, math.log(ratio)
+    pair = "universe, ai, aj"
+
+    def power(exponent: str) -> str:
+        return f"exp({log!r}D * ({exponent}))"
+
+    own = power("-o" if recent else "o")
+    scaled = moments.selectExpr("universe", "ai", "aj", "block", f"block % {p} AS o", f"block div {p} AS grp", "sx", "sy", "cxy + sx * sy / n AS sxy")
+    scaled = scaled.selectExpr(
+        "universe", "ai", "aj", "block", "o", "grp", f"sx * {own} AS sx", f"sy * {own} AS sy", f"sxy * {own} * {own} AS sxy"
     )
-    cov = (F.col("sxy") - F.col("sx") * F.col("sy") / lookback) / (lookback - 1)
-    found = weighted.select(
-        "universe", "ix", "ai", "aj", F.lit(lookback).cast("long").alias("n"), cov.alias("cov")
+    names = ("sx", "sy", "sxy")
+    begun = [f"sum({c}) OVER (PARTITION BY {pair}, grp ORDER BY block ROWS UNBOUNDED PRECEDING) AS {c}_begun" for c in names]
+    rest = [f"sum({c}) OVER (PARTITION BY {pair}, grp ORDER BY block DESC ROWS UNBOUNDED PRECEDING) AS {c}_rest" for c in names]
+    before = f"OVER (PARTITION BY {pair} ORDER BY block)"
+    parts = scaled.selectExpr("universe", "ai", "aj", "block", "o", "grp", *begun, *rest).selectExpr(
+        "universe", "ai", "aj", "block", "o", *[f"{c}_begun" for c in names],
+        f"lag(block, {p - 1}) {before} AS first", *[f"lag({c}_rest, {p - 1}) {before} AS {c}_rest" for c in names],
+    )
+    now, old = (power("o"), power(f"o + {p}")) if recent else (power(f"{p - 1} - o"), power("-o - 1"))
+
+    def total(c: str, now: str, old: str) -> str:
+        return f"{c}_begun * {now} + IF(o = {p - 1}, 0D, {c}_rest * {old}) AS {c}"
+
+    return parts.where(f"first = block - {p - 1}").selectExpr(
+        "universe", "ai", "aj", "block", total("sx", now, old), total("sy", now, old), total("sxy", f"{now} * {now}", f"{old} * {old}")
     )
-    return _label(found, dates)
 
 
 def deviations(returns: DataFrame) -> DataFrame:

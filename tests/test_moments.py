@@ -115,6 +115,21 @@ def test_weighted_windows(spark, returns, x, decay):
         assert np.allclose(matrix(rows, 5), want, rtol=1e-10)
 
 
+@pytest.mark.parametrize("decay", ["as_reference", "recent_first"])
+@pytest.mark.parametrize("lookback,step,start,half_life", [(24, 1, 25, 0.02), (60, 7, 60, 0.5), (12, 12, 24, 3.0), (50, 5, 50, 1e6)])
+def test_weighted_windows_of_any_half_life(returns, x, decay, lookback, step, start, half_life):
+    df = M.weighted_window_cov(returns, dates(returns), lookback, step, start, half_life, decay)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan
+    found = by_ix(df)
+    w = 2.0 ** (-np.arange(lookback) / half_life)
+    w = (w / w.sum())[:: -1 if decay == "recent_first" else 1]
+    assert sorted(found) == list(range(start, 130, step))
+    for ix, rows in found.items():
+        want = np.cov(x[ix - lookback : ix] * w[:, None], rowvar=False)
+        assert np.allclose(matrix(rows, 5), want, rtol=1e-9, atol=1e-14)
+
+
 def test_unknown_decay_is_refused(returns):
     with pytest.raises(ValueError):
         M.weighted_window_cov(returns, dates(returns), 24, 6, 30, 10.0, "sideways")
