@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanfolio.functions.columns import best_of, tail_probability
+from spanfolio.operators.ranks import elements
+from spanfolio.sources.workspace import materialise
 
 ASSET = ["universe", "asset"]
 
@@ -29,13 +31,20 @@ def tail_risk(
 ) -> DataFrame:
     """Variance, lower quantile (``var_q``) and mean of returns at or below it (``cvar_q``).
 
-    The exact quantile interpolates and keeps the distinct values of a group;
-    ``approximate`` uses a bounded sketch and returns an element.
+    The exact quantile interpolates between the two elements next to ``q * (n - 1)``,
+    which are found without sorting a whole group (``ranks``); ``approximate`` uses a
+    bounded sketch and returns an element.
     """
-    quantile = F.percentile_approx("r", q, 10000) if approximate else F.percentile("r", F.lit(q))
-    stats = returns.groupBy(*keys).agg(
-        F.var_samp("r").alias("variance"), quantile.alias("var_q")
-    )
+    if approximate:
+        stats = returns.groupBy(*keys).agg(F.var_samp("r").alias("variance"), F.percentile_approx("r", q, 10000).alias("var_q"))
+    else:
+        place = lambda n: (n - 1) * F.lit(q)
+        whole = materialise(returns.groupBy(*keys).agg(F.count("r").alias("n"), F.var_samp("r").alias("variance")), "variance")
+        wanted = {"lower": lambda n: F.floor(place(n)) + 1, "upper": lambda n: F.ceil(place(n)) + 1}
+        near = elements(returns, keys, "r", wanted, sizes=whole.select(*keys, "n"))
+        up = place(F.col("n")) - F.floor(place(F.col("n")))
+        quantile = F.when(up == 0, F.col("lower")).otherwise((1 - up) * F.col("lower") + up * F.col("upper"))
+        stats = whole.drop("n").join(near.select(*keys, quantile.alias("var_q")), keys)
     tail = (
         returns.join(stats.select(*keys, "var_q"), keys)
         .where("r <= var_q")
@@ -69,20 +78,18 @@ def ceiling_risk(losses: DataFrame, keys: list[str], p: float = 0.9) -> DataFram
     is the sum from that element upward over ``(1 - p) * n``. The tail has one
     element more than that divisor counts, which is kept as defined.
     """
-    order = Window.partitionBy(*keys).orderBy("loss")
-    whole = Window.partitionBy(*keys)
-    ranked = losses.select(
-        *keys,
-        "loss",
-        F.row_number().over(order).alias("k"),
-        F.count(F.lit(1)).over(whole).alias("n"),
-    ).withColumn("k_p", F.ceil(F.lit(p) * F.col("n")))
-    tail = F.sum(F.when(F.col("k") >= F.col("k_p"), F.col("loss")))
-    return ranked.groupBy(*keys).agg(
+    last = lambda n: F.ceil(F.lit(p) * n)
+    found = elements(losses, keys, "loss", {"ceiling_var": last})
+    # equal losses below the element's own place don't belong to the tail
+    upto = losses.join(found, keys).groupBy(*keys).agg(
         F.max("n").alias("n"),
-        F.max(F.when(F.col("k") == F.col("k_p"), F.col("loss"))).alias("ceiling_var"),
-        (tail / ((1 - F.lit(p)) * F.max("n"))).alias("ceiling_cvar"),
+        F.max("ceiling_var").alias("ceiling_var"),
+        F.sum(F.when(F.col("loss") > F.col("ceiling_var"), F.col("loss"))).alias("above"),
+        F.count_if(F.col("loss") <= F.col("ceiling_var")).alias("upto"),
     )
+    own = (F.col("upto") - last(F.col("n")) + 1) * F.col("ceiling_var")
+    tail = F.coalesce(F.col("above"), F.lit(0.0)) + own
+    return upto.select(*keys, "n", "ceiling_var", (tail / ((1 - F.lit(p)) * F.col("n"))).alias("ceiling_cvar"))
 
 
 def portfolio_series(returns: DataFrame, weights: DataFrame) -> DataFrame:
