@@ -10,9 +10,30 @@ from pyspark.sql import functions as F
 from spanfolio.sources.tables import ONE_UNIVERSE
 
 
+def _csv(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    return spark.read.option("header", True).option("inferSchema", False).csv(files)
+
+
+def by_header(spark: SparkSession, path: str) -> list[DataFrame]:
+    """Sheets as text, one DataFrame for all files with the same header, in the order of the first file of each.
+
+    A file's header is the first line of its first block. Names and files come to the
+    driver, as they do when Spark lists a folder; a single file is only opened once.
+    """
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) == 1:
+        return [_csv(spark, path)]
+    first = lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    first = first.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("names"))
+    files: dict[str, list[str]] = {}
+    for row in sorted(first.collect(), key=lambda r: r["file_path"]):
+        files.setdefault(row["names"].removeprefix("\ufeff").rstrip("\r"), []).append(row["file_path"])
+    return [_csv(spark, same) for same in files.values()] or [_csv(spark, path)]
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
-    """Names of the columns of a sheet after the date, from its header."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns[1:]
+    """Names of the columns of the sheets after the date, from their headers, each once."""
+    return list(dict.fromkeys(name for sheet in by_header(spark, path) for name in sheet.columns[1:]))
 
 
 def read_wide_csv(
@@ -20,17 +41,24 @@ def read_wide_csv(
 ) -> DataFrame:
     """``(dt DATE, <asset> DOUBLE ...)`` from CSV with a header and the date first.
 
-    Columns go by the names in the header, whatever their order; ``assets`` chooses
-    some of them and their order, and one that the sheet lacks is an error. Values
-    are read as text, and text that is not a number becomes null.
+    Columns go by the names in each file's own header, whatever their order; one that
+    a file lacks is null in its rows. ``assets`` chooses some of them and their order,
+    and one that no file has is an error. Values are read as text, and text that is
+    not a number becomes null.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    names = raw.columns[1:]
+    sheets = by_header(spark, path)
+    names = list(dict.fromkeys(name for sheet in sheets for name in sheet.columns[1:]))
     missing = [a for a in assets or () if a not in names]
     if missing:
         raise ValueError(f"{path} has no column {missing}")
     asked = list(names if assets is None else assets)
-    raw = raw.select(F.col(f"`{raw.columns[0]}`").alias("dt"), *(f"`{a}`" for a in asked))
+    parts = []
+    for sheet in sheets:
+        values = [F.col(f"`{a}`") if a in sheet.columns[1:] else F.lit(None).cast("string").alias(a) for a in asked]
+        parts.append(sheet.select(F.col(f"`{sheet.columns[0]}`").alias("dt"), *values))
+    raw = parts[0]
+    for part in parts[1:]:
+        raw = raw.unionByName(part)
     return coerce_numeric(raw, asked).withColumn("dt", F.to_date("dt", date_format))
 
 
