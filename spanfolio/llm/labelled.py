@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanfolio.llm.text import compressed
+from spanfolio.llm.text import compressed, key_filter
 from spanfolio.sources.workspace import materialise
 
 
@@ -26,10 +26,13 @@ def fold(id_col: str = "doc_id"):
 
 
 def every(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All labelled documents: ``label`` and ``fold`` as in ``sample``, ``n_bytes`` and ``packed`` as in ``text.compressed``."""
+    """All labelled documents: ``label`` and ``fold`` as in ``sample``, ``n_bytes`` and ``packed`` as in ``text.compressed``.
+
+    A filter of the labelled ids spares other documents the shuffle.
+    """
     known = known_labels(labels, label, id_col).withColumn("fold", fold(id_col))
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return compressed(texts).join(known, id_col).select("label", "fold", "n_bytes", "packed")
+    return compressed(texts, key=id_col, wanted=key_filter(known, id_col)).join(known, id_col).select("label", "fold", "n_bytes", "packed")
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

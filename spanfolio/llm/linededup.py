@@ -66,6 +66,14 @@ class Lines:
         return out
 
 
+def with_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of lines of each text that have a word."""
+    begin, end, line = T.words(data, offsets, np.arange(256) != 0x0A)
+    passed = np.concatenate([[0], np.cumsum(T.NOT_SPACE[data])])
+    found = np.concatenate([[0], np.cumsum(passed[end] > passed[begin])])
+    return np.diff(found[line])
+
+
 def _salted(h: np.ndarray, n: np.ndarray, what: int) -> np.ndarray:
     return T.mixed(h + n.astype(np.uint64) * np.uint64(16) + np.uint64(what))
 
@@ -186,8 +194,9 @@ def kept_lines(rows: DataFrame) -> DataFrame:
     """By ``key`` the numbers (``kept``) of lines that stay, of those of LEAST words and more, in ``rows`` (key, text)."""
     rows = rows.select("key", "text")
     first, asked = _firsts(_lines(rows))
-    packed = T.compressed(rows)
-    found = materialise(_neighbourhoods(packed.join(materialise(asked, "shared-halves"), "key")), "neighbourhoods")
+    asked = materialise(asked, "shared-halves")
+    packed = T.compressed(rows, key="key", wanted=T.key_filter(asked, "key"))
+    found = materialise(_neighbourhoods(packed.join(asked, "key")), "neighbourhoods")
     place = F.struct("key", "number")
     words = found.where("kind = 3").select(place.alias("place"), "words")
     variants = found.where("kind < 3").select("fp", "kind", place.alias("place"))
@@ -220,11 +229,27 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows, key = T.numbered(docs.drop("n_lines", "n_removed"), id_col, text_col)
     rows = rows.withColumn(text_col, F.col(text_col).cast("string"))
     kept = kept_lines(rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")))
-    spare = "_" * (1 + max(map(len, rows.columns)))
-    names = "n_bytes" + spare, "packed" + spare
-    packed = T.compressed(rows, text_col, names).join(kept.select(F.col("key").alias(key), F.col("kept").alias("kept" + spare)), key, "left")
+    counts = counted(rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")))
+    fewer = counts.join(kept, "key", "left").where(F.col("n") > F.coalesce(F.size("kept"), F.lit(0)))
+    fewer = materialise(fewer.select(F.col("key").alias(key), F.coalesce("kept", F.array().cast("array<long>")).alias("kept")), "fewer-lines")
+    # documents that lose no line needn't meet their numbers: a filter of the others' keys parts them
+    bits = T.key_filter(fewer, key)
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     schema = rows.select(*columns, F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed")).schema
+    spare = "_" * (1 + max(map(len, rows.columns)))
+    names, slot = ("n_bytes" + spare, "packed" + spare), "slot" + spare
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def whole(batches):
+        at = len(columns)
+        for batch in batches:
+            batch = batch.filter(pa.array(~T.held(shared.value, batch.column(at).to_numpy())))
+            for part, data, offsets in T.chunks([batch], text_col):
+                lines = with_words(data, offsets)
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(lines, pa.int64()), pa.array(np.zeros(len(part), np.int64))], names=[*columns, "n_lines", "n_removed"])
+
+    untouched = rows.select(*columns, T.key_slot(key).alias(slot)).mapInArrow(whole, schema)
+    packed = T.compressed(rows, text_col, names, key, bits).join(fewer.withColumnRenamed("kept", "kept" + spare), key, "left")
 
     def run(batches):
         for batch, data, offsets in T.unpacked(batches, names):
@@ -241,10 +266,25 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for i, (low, high) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                 drop = set(gone[i]).difference(stay[i] or ())
                 removed.append(len(drop))
+                if stay[i] is None:  # let through by the filter only
+                    drop, removed[-1] = set(), 0
                 text = raw[low:high]
                 text = b"\n".join([x for j, x in enumerate(text.split(b"\n")) if j not in drop]) if drop else text
                 out.append(text.decode() if valid[i] else None)
             arrays = [pa.array(out, pa.string()) if c == text_col else column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*columns, "n_lines", "n_removed"])
 
-    return packed.mapInArrow(run, schema)
+    return untouched.unionAll(packed.mapInArrow(run, schema))
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """``key`` and ``n``, the lines of LEAST words and more, of each row of (key, text) that has some."""
+
+    def run(batches):
+        for batch, data, offsets in T.chunks(batches):
+            lines = Lines(data, offsets)
+            n = np.bincount(lines.owner[lines.n >= LEAST], minlength=len(batch))
+            some = pa.array(n > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("key").filter(some), pa.array(n).filter(some)], names=["key", "n"])
+
+    return rows.mapInArrow(run, "key long, n long")

@@ -52,6 +52,10 @@ ALONE, FEW, MANY = 0, 1, 2
 GROUP, RESOLVED = 1024, 1 << 21
 
 
+#: Windows of a block, whose number is held in eight bits; longer blocks are split.
+LARGEST = 255
+
+
 def first_of(h: np.ndarray, *order: np.ndarray) -> np.ndarray:
     """Places, in order, of the first of equal hashes by ``order`` (the most significant first; else by place)."""
     by = np.lexsort([*order[::-1], h])
@@ -76,6 +80,10 @@ def _blocks(rows: DataFrame, rule: Rule) -> DataFrame:
             new[1:] = (at[starts[1:]] != at[starts[:-1]]) | (starts[1:] != starts[:-1] + 1)
             edge = np.flatnonzero(new)
             begin, windows = starts[edge], np.diff(np.append(edge, len(starts)))
+            if width > LARGEST:
+                parts = -(-windows // LARGEST)
+                nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+                begin, windows = np.repeat(begin, parts) + nth * LARGEST, np.minimum(np.repeat(windows, parts) - nth * LARGEST, LARGEST)
             whole = T.span_hashes(symbols, begin, begin + windows - 1 + rule.length)
             owner = np.searchsorted(first, begin, "right") - 1
             keys = batch.column("key").to_numpy()[owner]
@@ -220,6 +228,8 @@ def marked(rows: DataFrame, rule: Rule) -> DataFrame:
 
     Keys are unique whole numbers; an earlier document has a smaller one.
     """
+    if rule.length <= rule.gram:
+        raise ValueError(f"strings of {rule.length} can't have anchors of {rule.gram}")
     rows = rows.select("key", "text")
     blocks = _blocks(rows, rule).groupBy("whole").agg(F.min(F.struct("key", "place", "anchor")).alias("m")).select("m.*")
     sorted_ = blocks.repartitionByRange("anchor", "key", "place").sortWithinPartitions("anchor")

@@ -160,15 +160,47 @@ def room(first: np.ndarray) -> np.ndarray:
     return np.repeat(first[1:], counts) - np.arange(first[0], first[-1])
 
 
-def compressed(rows: DataFrame, text_col: str = "text", names: tuple[str, str] = ("n_bytes", "packed")) -> DataFrame:
+#: Bits of a filter of keys, whatever their number: a full one lets every row pass.
+KEY_BITS = 1 << 26
+
+
+def key_slot(key) -> F.Column:
+    """Place of a key in a filter of keys."""
+    return F.xxhash64(key).bitwiseAND(F.lit(KEY_BITS - 1))
+
+
+def key_filter(keys: DataFrame, key: str) -> np.ndarray:
+    """A bit for each key: for ``compressed``, which spares rows with other keys the shuffle."""
+    slot = keys.select(key_slot(key).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(KEY_BITS >> 6, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def held(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 6] >> (slot & 63) & 1).astype(bool)
+
+
+def compressed(
+    rows: DataFrame, text_col: str = "text", names: tuple[str, str] = ("n_bytes", "packed"), key: str | None = None, wanted: np.ndarray | None = None
+) -> DataFrame:
     """``rows`` with the text as its number of bytes and compressed bytes: what a shuffle of whole texts carries.
 
-    The compressed bytes of a null text are null.
+    The compressed bytes of a null text are null. With ``key`` and ``wanted``, a filter
+    of keys, rows whose ``key`` surely isn't among them are left out.
     """
     others = [c for c in rows.columns if c != text_col]
+    source, bits = rows, None
+    if key is not None:
+        source, bits = rows.withColumn("slot" + "_" * max(map(len, rows.columns)), key_slot(key)), rows.sparkSession.sparkContext.broadcast(wanted)
+
+    def asked(batches):
+        for batch in batches:
+            yield batch if bits is None else batch.filter(pa.array(held(bits.value, batch.column(batch.num_columns - 1).to_numpy())))
 
     def run(batches):
-        for batch, data, offsets in chunks(batches, text_col):
+        for batch, data, offsets in chunks(asked(batches), text_col):
             valid = batch.column(batch.schema.get_field_index(text_col)).is_valid().to_pylist()
             spans = zip(valid, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
             packed = [pa.compress(data[a:b].tobytes(), codec="zstd", asbytes=True) if ok else None for ok, a, b in spans]
@@ -176,7 +208,7 @@ def compressed(rows: DataFrame, text_col: str = "text", names: tuple[str, str] =
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(offsets), pa.int64()), pa.array(packed, pa.binary())], names=[*others, *names])
 
     schema = rows.select(*others, F.lit(0).cast("long").alias(names[0]), F.lit(None).cast("binary").alias(names[1])).schema
-    return rows.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def unpacked(batches, names: tuple[str, str] = ("n_bytes", "packed"), limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

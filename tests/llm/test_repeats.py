@@ -137,3 +137,26 @@ def test_few_and_many_give_the_same(spark):
         for row in repeats.marked(rows, rule).mapInArrow(run, "key long, gone array<boolean>").collect():
             got[row["key"]] = row["gone"]
         assert [got[i] for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("length", [300, 400, 700])
+def test_strings_longer_than_a_block_number(spark, length):
+    r = random.Random(length)
+    shared = ["".join(r.choice("abcdefgh ") for _ in range(1300)) for _ in range(2)]
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    texts = [own(900) + shared[0] + own(50), own(2000), shared[0][200:1000] + own(700), own(300) + shared[1], shared[1] + shared[0], "ab" * 900]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(3)
+    want = [sum(gone) for gone in plainly([t.encode() for t in texts], length)]
+    got = {x["key"]: x["n_removed"] for x in suffix.deduplicated(rows, "key", length=length).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    words = [" ".join(t.replace(" ", "")) for t in texts]  # every letter a word
+    rows = spark.createDataFrame(list(enumerate(words)), "key long, text string").repartition(3)
+    want = [sum(gone) for gone in plainly([SPACE.findall(t) for t in words], length)]
+    got = {x["key"]: x["n_removed"] for x in substring.deduplicated(rows, "key", words=length).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_strings_shorter_than_their_anchors_are_refused(spark):
+    rows = spark.createDataFrame([(1, "a")], "key long, text string")
+    with pytest.raises(ValueError):
+        substring.deduplicated(rows, "key", words=3)
