@@ -86,7 +86,8 @@ def _lines(rows: DataFrame) -> DataFrame:
     """Of each line with LEAST words or more its hash, place and half hashes, equal lines of a chunk once."""
 
     def run(batches):
-        for batch, data, offsets in T.chunks(batches):
+        T.return_memory()
+        for batch, data, offsets in T.chunks(batches, limit=T.SMALLER_CHUNK):
             lines = Lines(data, offsets)
             whole = lines.whole()
             keys = batch.column("key").to_numpy()[lines.owner]
@@ -125,7 +126,8 @@ def _neighbourhoods(rows: DataFrame) -> DataFrame:
     """Variants of the lines asked for (``asked``: numbers and which halves are shared) and, of kind 3, their words."""
 
     def run(batches):
-        for batch, data, offsets in T.unpacked(batches):
+        T.return_memory()
+        for batch, data, offsets in T.unpacked(batches, limit=T.SMALLER_CHUNK):
             lines = Lines(data, offsets)
             where = {x: i for i, x in enumerate(zip(lines.owner.tolist(), lines.number.tolist(), strict=True))}
             at, kind, place, words = [], [], [], []
@@ -170,6 +172,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
     """Of pairs of a line and an earlier one with their words, the line, where they are one word apart."""
 
     def run(batches):
+        T.return_memory()
         for batch in batches:
             a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("words", "other"))
             ok = pa.array([one_apart(x, y) for x, y in zip(a, b, strict=True)], pa.bool_())
@@ -241,10 +244,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def whole(batches):
+        T.return_memory()
         at = len(columns)
         for batch in batches:
             batch = batch.filter(pa.array(~T.held(shared.value, batch.column(at).to_numpy())))
-            for part, data, offsets in T.chunks([batch], text_col):
+            for part, data, offsets in T.chunks([batch], text_col, T.SMALLER_CHUNK):
                 lines = with_words(data, offsets)
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(lines, pa.int64()), pa.array(np.zeros(len(part), np.int64))], names=[*columns, "n_lines", "n_removed"])
 
@@ -252,7 +256,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packed = T.compressed(rows, text_col, names, key, bits).join(fewer.withColumnRenamed("kept", "kept" + spare), key, "left")
 
     def run(batches):
-        for batch, data, offsets in T.unpacked(batches, names):
+        T.return_memory()
+        for batch, data, offsets in T.unpacked(batches, names, T.SMALLER_CHUNK):
             column = lambda name: batch.column(batch.schema.get_field_index(name))
             lines = Lines(data, offsets)
             raw = data.tobytes()
@@ -281,7 +286,8 @@ def counted(rows: DataFrame) -> DataFrame:
     """``key`` and ``n``, the lines of LEAST words and more, of each row of (key, text) that has some."""
 
     def run(batches):
-        for batch, data, offsets in T.chunks(batches):
+        T.return_memory()
+        for batch, data, offsets in T.chunks(batches, limit=T.SMALLER_CHUNK):
             lines = Lines(data, offsets)
             n = np.bincount(lines.owner[lines.n >= LEAST], minlength=len(batch))
             some = pa.array(n > 0)

@@ -168,6 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     rows = sample(docs, labels, label, max_rows, id_col, text_col)
 
     def run(batches):
+        T.return_memory()
         for batch, data, offsets in T.chunks(batches):
             x, size, first = lines(data, offsets)
             low = first[:-1] + np.maximum(np.diff(first) - max_lines, 0) // 2
@@ -211,6 +212,7 @@ def scored(docs: DataFrame, field: Field, text_col: str = "text", name: str = "s
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches):
+        T.return_memory()
         for batch, data, offsets in T.chunks(batches, text_col):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value(data, offsets))], names=[*batch.schema.names, name])
 

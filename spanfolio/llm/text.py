@@ -7,7 +7,9 @@ used here split on ASCII bytes only, so bytes and code points give the same word
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +20,28 @@ from spanfolio.sources.workspace import materialise
 
 PIECE = 1 << 18
 CHUNK_BYTES = 1 << 21
+#: For operators with many arrays as long as a chunk.
+SMALLER_CHUNK = 1 << 20
+#: The C library's option for the size from which an allocation has pages of its own.
+_M_MMAP_THRESHOLD = -3
 MULTIPLIER = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 32) - 1)
 
 
+@lru_cache(maxsize=1)
+def return_memory() -> None:
+    """From now on this worker gives large arrays back to the system when they are freed.
+
+    Otherwise the C library keeps what a chunk needed, beside Arrow's own pool, for as
+    long as the worker lives. Where that library lacks the option nothing changes.
+    """
+    try:
+        ctypes.CDLL(None).mallopt(_M_MMAP_THRESHOLD, 1 << 20)
+    except (AttributeError, OSError):
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1

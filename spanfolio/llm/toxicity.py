@@ -41,7 +41,8 @@ def _distinct(data, offsets, salt=None):
 
 def _counts(rows: DataFrame) -> DataFrame:
     def grams(batches):
-        for batch, data, offsets in T.unpacked(batches):
+        T.return_memory()
+        for batch, data, offsets in T.unpacked(batches, limit=T.SMALLER_CHUNK):
             data = T.LOWER[data]
             label, fold = (batch.column(c).to_numpy().astype(np.int64) for c in ("label", "fold"))
             starts, ends, inverse, at, first = _distinct(data, offsets, label * 2 + fold)
@@ -107,7 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     shared = docs.sparkSession.sparkContext.broadcast(language)
 
     def run(batches):
-        for batch, data, offsets in T.chunks(batches):
+        T.return_memory()
+        for batch, data, offsets in T.chunks(batches, limit=T.SMALLER_CHUNK):
             fold = batch.column("fold").to_numpy()
             out = np.where((fold == 0)[:, None], _features(shared.value, data, offsets, 2), _features(shared.value, data, offsets, 1))
             yield pa.RecordBatch.from_arrays([*map(pa.array, out.T), batch.column("label"), batch.column("weight")], names=[*FEATURES, "label", "weight"])
@@ -127,7 +129,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "s
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch, data, offsets in T.chunks(batches, text_col):
+        T.return_memory()
+        for batch, data, offsets in T.chunks(batches, text_col, T.SMALLER_CHUNK):
             score = shared.value.weights(_features(shared.value.language, data, offsets, ALL))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
