@@ -25,10 +25,10 @@ def by_header(spark: SparkSession, path: str) -> list[DataFrame]:
         return [_csv(spark, path)]
     first = lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
     first = first.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("names"))
-    files: dict[str, list[str]] = {}
-    for row in sorted(first.collect(), key=lambda r: r["file_path"]):
-        files.setdefault(row["names"].removeprefix("\ufeff").rstrip("\r"), []).append(row["file_path"])
-    return [_csv(spark, same) for same in files.values()] or [_csv(spark, path)]
+    plain = F.regexp_replace("names", "^\\uFEFF|\\r$", "").alias("names")
+    same = first.groupBy(plain).agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    groups = same.agg(F.sort_array(F.collect_list("files")).alias("groups")).first()["groups"]
+    return [_csv(spark, files) for files in groups] or [_csv(spark, path)]
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
