@@ -1,9 +1,9 @@
-"""Modified Kneser-Ney models over byte n-grams: counted by Spark, held in sorted hash arrays.
+"""Modified Kneser-Ney models over byte n-grams: counted by Spark, held in tables.
 
 A gram is packed into one long: up to six bytes, and above them the number of the
 group it is counted for (a language, or a class and fold), so the packed gram is its own
-hash without collisions. Each order has the sorted array of its grams and of their
-histories, so looking up many grams is a binary search in numpy.
+hash without collisions. Each order has a table of its grams and one of their histories;
+grams looked up are joined with them in sorted order, a part of each in a task.
 """
 
 from __future__ import annotations
@@ -78,43 +78,6 @@ def counted(rows: DataFrame, grams: Callable[[Iterator[pa.RecordBatch]], Iterato
     return rows.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-@dataclass
-class Model:
-    """Per order: sorted grams with discounted shares, sorted histories with the mass left to the order below."""
-
-    order: int
-    shared: int
-    grams: list[np.ndarray]
-    share: list[np.ndarray]
-    histories: list[np.ndarray]
-    left: list[np.ndarray]
-
-    def probability(self, gram: np.ndarray) -> np.ndarray:
-        """P(last byte | bytes before it, group) of packed grams of the highest order."""
-        total, weight = np.zeros(len(gram)), np.ones(len(gram))
-        for n in range(self.order, 0, -1):
-            gram = _lower(gram, n, self.shared)
-            total += weight * _look(self.grams[n - 1], self.share[n - 1], gram, 0.0)
-            weight *= _look(self.histories[n - 1], self.left[n - 1], _history(gram), 1.0)
-        return total + weight / 256
-
-
-def _lower(gram, n: int, shared: int):
-    """The last ``n`` bytes; of orders up to ``shared`` the group loses its lowest bit."""
-    return gram & ((~_GRAM if n > shared else ~_GRAM << 1) | (1 << 8 * n) - 1)
-
-
-def _history(gram: np.ndarray) -> np.ndarray:
-    return (gram & ~_GRAM) | ((gram & _GRAM) >> 8)
-
-
-def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: float) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), otherwise)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], otherwise)
-
-
 def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
     """Of counts one, two, and three or more; from how many grams have each count."""
     if not (n1 and n2):
@@ -124,46 +87,9 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float,
     return clipped(1 - 2 * y * n2 / n1, 0.95), clipped(2 - 3 * y * n3 / n2, 1.9), clipped(3 - 4 * y * (n4 / n3 if n3 else 0.5), 2.9)
 
 
-def fit(counts: DataFrame, order: int, shared: int = 0, max_entries: int = 1 << 20) -> Model:
-    """Model from counts of packed grams of ``order`` bytes.
-
-    Lower orders count in how many ways a gram is extended to the left; orders up to
-    ``shared`` count that for groups that differ in their lowest bit together. Counts
-    cover all grams. An order keeps at most ``max_entries`` grams, the most frequent ones
-    down to some count; the mass of the rest goes to the order below, so the model's
-    size, the only thing sent to tasks, has a fixed bound.
-    """
-    model = Model(order, shared, *([None] * order for _ in range(4)))
-    table = materialise(counts, "grams")
-    for n in range(order, 0, -1):
-        if n < order:
-            suffix = F.col("gram").bitwiseAND(F.lit(_signed((~_GRAM if n > shared else ~_GRAM << 1) | (1 << 8 * n) - 1)))
-            byte = F.shiftright("gram", 8 * n).bitwiseAND(F.lit(255))
-            table = materialise(table.groupBy(suffix.alias("gram")).agg(F.countDistinct(byte).alias("c")), "grams")
-        group = F.shiftright("gram", BYTES)
-        few = {r["g"]: r for r in table.groupBy(group.alias("g")).agg(*(F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4))).collect()}
-        least = _least(table, max_entries)
-        history = F.col("gram").bitwiseAND(F.lit(_signed(~_GRAM))).bitwiseOR(F.shiftright(F.col("gram").bitwiseAND(F.lit(_GRAM)), 8))
-        totals = table.groupBy(history.alias("h")).agg(F.sum("c").alias("s"))
-        kept = table.where(F.col("c") >= least).withColumn("h", history).join(totals, "h").select("gram", "h", "c", "s").toArrow()
-        gram, h, c, s = (kept.column(x).to_numpy() for x in ("gram", "h", "c", "s"))
-        by = np.argsort(gram)
-        gram, h, c, s = gram[by], h[by], c[by], s[by]
-        taken = np.zeros(len(c))
-        for g, r in few.items():
-            mine = gram >> BYTES == g
-            taken[mine] = np.array([0.0, *discounts(r["n1"], r["n2"], r["n3"], r["n4"])])[np.minimum(c[mine], 3)]
-        share = np.maximum(c - taken, 0) / np.maximum(s, 1)
-        histories, inverse = np.unique(h, return_inverse=True)
-        model.grams[n - 1], model.share[n - 1] = gram, share.astype(np.float32)
-        model.histories[n - 1] = histories
-        model.left[n - 1] = (1 - np.bincount(inverse, share, len(histories))).clip(1e-6, 1).astype(np.float32)
-    return model
-
-
 @dataclass
 class Levels:
-    """A whole model as tables, per order: (``gram``, ``share``) and (``h``, ``left``), as in ``Model``."""
+    """A whole model as tables, per order: the discounted ``share`` of each ``gram`` and the mass each history ``h`` has ``left`` for the order below."""
 
     order: int
     shared: int
@@ -180,8 +106,10 @@ def _before(gram):
 
 
 def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
-    """The model of ``fit`` with every gram of every order, whatever their number.
+    """Model from counts of packed grams of ``order`` bytes, with every gram of every order, whatever their number.
 
+    Lower orders count in how many ways a gram is extended to the left; orders up to
+    ``shared`` count that for groups that differ in their lowest bit together.
     Nothing is collected; a group's discounts are a row of a small table.
     """
     model = Levels(order, shared, [None] * order, [None] * order)
@@ -233,19 +161,3 @@ def probabilities(model: Levels, wanted: DataFrame) -> DataFrame:
 def _signed(bits: int) -> int:
     bits &= (1 << 64) - 1
     return bits - (1 << 64) if bits >> 63 else bits
-
-
-def _least(table: DataFrame, max_entries: int) -> int:
-    """The least count such that at most ``max_entries`` grams have it or more."""
-    if table.count() <= max_entries:
-        return 1
-    # counts by their power of two and within it sixteenths: a bounded number of classes
-    step = F.expr("floor(log2(c) * 16)")
-    rows = table.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("least"), F.max("c").alias("most")).orderBy(F.desc("step")).collect()
-    total, least = 0, int(rows[0]["most"]) + 1
-    for r in rows:
-        total += r["n"]
-        if total > max_entries:
-            break
-        least = int(r["least"])
-    return least

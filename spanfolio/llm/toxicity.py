@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 from spanfolio.llm import kneser_ney as K
 from spanfolio.llm import text as T
+from spanfolio.llm.gathered import gathered
 from spanfolio.llm.labelled import Logistic, every, sample
 
 #: Bytes of a gram; orders up to SHARED are counted for both classes together.
 ORDER, SHARED = 6, 3
 #: Groups of the counts: class in the lowest bit, above it the rows: all, or those of one fold.
 ALL = 0
+TOXIC = 1 << K.BYTES
 FEATURES = ("mean_llr", "excess", "strong", "strongest", "size")
 
 
@@ -58,24 +61,32 @@ def _counts(rows: DataFrame) -> DataFrame:
     return K.counted(rows, grams)
 
 
-def _features(model: K.Model, data, offsets, rows_of: int) -> np.ndarray:
+def _keys(data, offsets, rows_of):
+    """Grams of the distinct words, each for the counts its text is judged by: with them where each
+    word's begin, for every word of the texts which it is, and the first of each text."""
+    data = T.LOWER[data]
+    starts, ends, inverse, at, first = _distinct(data, offsets, rows_of)
+    if not len(at):
+        return np.zeros(0, np.int64), at, inverse, first
+    owner = np.repeat(np.arange(len(rows_of)), np.diff(first))[at]
+    gram, begin = _streams(data, starts, ends)
+    return gram | np.repeat(rows_of[owner] * 2, ends - starts + 1) << K.BYTES, begin, inverse, first
+
+
+def _features(data, offsets, rows_of, keys, found) -> np.ndarray:
     """For each text, from the log-likelihood ratio toxic over ordinary of each word.
 
     The mean over its words (the length-normalised log-likelihoods, compared), the mean of
     what words exceed 1.5 by, the logarithm of the number over 2.5, the greatest, and the
     logarithm of the number of words.
     """
-    data = T.LOWER[data]
-    starts, ends, inverse, at, first = _distinct(data, offsets)
+    gram, begin, inverse, first = _keys(data, offsets, rows_of)
     n = np.diff(first)
     out = np.zeros((len(n), len(FEATURES)))
-    if not len(at):
+    if not len(gram):
         return out
-    gram, begin = _streams(data, starts, ends)
-    distinct, which = np.unique(gram, return_inverse=True)
-    group = distinct | rows_of * 2 << K.BYTES
-    ratio = np.log(model.probability(group | 1 << K.BYTES)) - np.log(model.probability(group))
-    llr = np.clip(np.add.reduceat(ratio[which], begin), -6, 10)[inverse]
+    ratio = found[np.searchsorted(keys, gram)]
+    llr = np.clip(np.add.reduceat(ratio, begin), -6, 10)[inverse]
     owner = np.repeat(np.arange(len(n)), n)
     some = np.maximum(n, 1)
     out[:, 0] = np.bincount(owner, llr, len(n)) / some
@@ -87,34 +98,59 @@ def _features(model: K.Model, data, offsets, rows_of: int) -> np.ndarray:
     return out
 
 
+def ratios(language: K.Levels, wanted: DataFrame) -> DataFrame:
+    """(``key``, ``value``): log-likelihood ratio toxic over ordinary of the grams of ``wanted`` (``gram``: class bit unset)."""
+    toxic = F.col("gram").bitwiseAND(F.lit(TOXIC)) != 0
+    both = wanted.select(F.explode(F.array("gram", F.col("gram").bitwiseOR(F.lit(TOXIC)))).alias("gram"))
+    signed = F.when(toxic, F.log("p")).otherwise(-F.log("p"))
+    return K.probabilities(language, both).groupBy(F.col("gram").bitwiseAND(F.lit(~TOXIC)).alias("key")).agg(F.sum(signed).alias("value"))
+
+
+def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Callable, judged: Callable, schema, inputs: list[str]) -> DataFrame:
+    """``judged(batch, features)`` for pieces of ``docs``. ``rows_of(batch)`` tells by which counts each text is judged, from ``inputs``."""
+
+    def grams(batches):
+        T.return_memory()
+        for batch, data, offsets in T.chunks(batches, text_col, T.SMALLER_CHUNK):
+            found = np.unique(_keys(data, offsets, rows_of(batch))[0])
+            yield found, np.ones(len(found), np.int64)
+
+    def asked(piece):
+        batch, data, offsets = piece
+        return np.unique(_keys(data, offsets, rows_of(batch))[0])
+
+    def used(piece, keys, found):
+        batch, data, offsets = piece
+        return judged(batch, _features(data, offsets, rows_of(batch), keys, found))
+
+    return gathered(docs, text_col, asked, ratios(language, K.counted(docs.select(*inputs), grams)), used, schema)
+
+
 @dataclass
 class Model:
-    language: K.Model
+    language: K.Levels
     weights: Logistic
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 12_000, max_entries: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Models of toxic and ordinary words, and the weights that turn their comparison into a probability.
 
-    Words are counted over every labelled document; the weights alone are fitted on a
-    sample of at most ``max_rows`` of each class. Every byte of a
+    Words are counted over every labelled document and every gram is kept, as tables; the
+    weights alone are fitted on a sample of at most ``max_rows`` of each class. Every byte of a
     word is predicted from the bytes of the word before it; a rare expression falls back
     to shorter histories, and those of two bytes and fewer are counted for both classes
     together, so it says nothing for either. Weights are fitted on each half of the
     documents with the models of the other half. With no labels every score is 0.5.
     """
     rows = sample(docs, labels, label, max_rows, id_col, text_col)
-    language = K.fit(_counts(every(docs, labels, label, id_col, text_col)), ORDER, SHARED, max_entries)
-    shared = docs.sparkSession.sparkContext.broadcast(language)
+    language = K.levels(_counts(every(docs, labels, label, id_col, text_col)), ORDER, SHARED)
 
-    def run(batches):
-        T.return_memory()
-        for batch, data, offsets in T.chunks(batches, limit=T.SMALLER_CHUNK):
-            fold = batch.column("fold").to_numpy()
-            out = np.where((fold == 0)[:, None], _features(shared.value, data, offsets, 2), _features(shared.value, data, offsets, 1))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, out.T), batch.column("label"), batch.column("weight")], names=[*FEATURES, "label", "weight"])
+    def judged(batch, out):
+        return pa.RecordBatch.from_arrays([*map(pa.array, out.T), batch.column("label"), batch.column("weight")], names=[*FEATURES, "label", "weight"])
 
-    got = rows.mapInArrow(run, ", ".join(f"{f} double" for f in FEATURES) + ", label int, weight double").toArrow()
+    other = lambda batch: 2 - batch.column("fold").to_numpy().astype(np.int64)
+    schema = ", ".join(f"{f} double" for f in FEATURES) + ", label int, weight double"
+    got = _compared(rows, "text", language, other, judged, schema, ["text", "fold"]).toArrow().sort_by([(c, "ascending") for c in ("label", *FEATURES)])
     x = np.column_stack([got.column(f).to_numpy() for f in FEATURES])
     return Model(language, Logistic(x, got.column("label").to_numpy(), got.column("weight").to_numpy()))
 
@@ -123,15 +159,14 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "s
     """Every column of ``docs`` and ``name``: the probability, 0 to 1, that the whole text is toxic.
 
     Only the text is looked at. Null and empty texts get the score of a text without words; equal
-    texts get equal scores. A column of that name in ``docs`` is replaced. Nothing is shuffled.
+    texts get equal scores. A column of that name in ``docs`` is replaced. Texts cross the
+    network once, compressed, to meet the ratios of their grams (see ``gathered``).
     """
     kept = docs.drop(name)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    weights = model.weights
 
-    def run(batches):
-        T.return_memory()
-        for batch, data, offsets in T.chunks(batches, text_col, T.SMALLER_CHUNK):
-            score = shared.value.weights(_features(shared.value.language, data, offsets, ALL))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
+    def judged(batch, out):
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights(out))], names=[*batch.schema.names, name])
 
-    return kept.mapInArrow(run, kept.select("*", F.lit(0.0).alias(name)).schema)
+    every_row = lambda batch: np.full(len(batch), ALL, np.int64)
+    return _compared(kept, text_col, model.language, every_row, judged, kept.select("*", F.lit(0.0).alias(name)).schema, [text_col])

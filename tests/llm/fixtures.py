@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+from collections import Counter, defaultdict
+
+from spanfolio.llm import kneser_ney
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
 LETTERS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -62,3 +65,34 @@ def awkward(spark):
     line = "one two three four five six seven eight nine ten eleven twelve"
     rows = [(1, line), (1, line), (1, line + " more"), (None, line), (None, None), (2, None), (3, ""), (4, "x"), (5, line * 40)]
     return spark.createDataFrame([(i, t, None, "s", None, *extra) for i, t in rows], names)
+
+
+def kneser_ney_plainly(grams, order, shared=0):
+    """P(gram) of packed grams by the formula, from a Counter of grams of ``order`` bytes."""
+    group = ~((1 << 48) - 1)
+    lower = lambda g, n: g & ((group if n > shared else group << 1) | (1 << 8 * n) - 1)
+    history = lambda g: (g & group) | (g & ~group) >> 8
+    counts = {order: grams}
+    for n in range(order - 1, 0, -1):
+        before = {(lower(g, n), g >> 8 * n & 255) for g in counts[n + 1]}
+        counts[n] = Counter(g for g, _ in before)
+    after = {n: defaultdict(list) for n in counts}
+    of = {n: defaultdict(list) for n in counts}
+    for n, c in counts.items():
+        for g, times in c.items():
+            after[n][history(g)].append(times)
+            of[n][g >> 48].append(times)
+    less = {(n, g): [0.0, *kneser_ney.discounts(*(sum(t == i for t in times) for i in (1, 2, 3, 4)))] for n in of for g, times in of[n].items()}
+
+    def p(g, n=order):
+        if n == 0:
+            return 1 / 256
+        g = lower(g, n)
+        under = p(g, n - 1)
+        times = after[n].get(history(g))
+        if not times:
+            return under
+        d, own = less[n, g >> 48], counts[n].get(g, 0)
+        return (own - d[min(own, 3)] + sum(d[min(t, 3)] for t in times) * under) / sum(times)
+
+    return p

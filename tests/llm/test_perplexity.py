@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
-from fixtures import SPACE, awkward, corpus, written
+from fixtures import SPACE, awkward, corpus, kneser_ney_plainly, written
 
 from spanfolio.llm import kneser_ney, perplexity
 from spanfolio.llm.queries import QUERIES
@@ -31,66 +31,45 @@ def test_query_is_the_definition(spark, tmp_path):
         assert not (r["kept"] and r["base_failed"])
 
 
-def model_of(spark, texts, order, **more):
-    grams = Counter()
-    for t in texts:
-        b = t.encode()
-        grams.update(int.from_bytes(b[i : i + order]) for i in range(len(b) - order + 1))
-    return grams, kneser_ney.fit(spark.createDataFrame(list(grams.items()), "gram long, c long"), order, **more)
-
-
-def test_model_is_the_formula_and_sums_to_one(spark):
-    texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog and the hat " * 2]
-    grams, model = model_of(spark, texts, 3)
-    counts = {3: grams}
-    for n in (2, 1):
-        counts[n] = Counter(g & (1 << 8 * n) - 1 for g in counts[n + 1])
-    def p(g, n):
-        if n == 0:
-            return 1 / 256
-        c = counts[n]
-        of = [sum(x == i for x in c.values()) for i in (1, 2, 3, 4)]
-        d = [0.0, *kneser_ney.discounts(*of)]
-        same = {k: v for k, v in c.items() if k >> 8 == g >> 8}
-        if not same:
-            return p(g & (1 << 8 * (n - 1)) - 1, n - 1)
-        s = sum(same.values())
-        gamma = sum(d[min(v, 3)] for v in same.values()) / s
-        return max(c.get(g, 0) - d[min(c.get(g, 0), 3)], 0) / s + gamma * p(g & (1 << 8 * (n - 1)) - 1, n - 1)
-    asked = [int.from_bytes(x.encode()) for x in ("the", "cat", "zzz", "thq", "at ", "dxq")]
-    assert np.allclose(model.probability(np.array(asked)), [p(g, 3) for g in asked], rtol=1e-5)
-    for history in (b"th", b"qq", b"a "):
-        every = np.array([int.from_bytes(history + bytes([i])) for i in range(256)])
-        assert math.isclose(model.probability(every).sum(), 1, rel_tol=1e-4)
-    _, small = model_of(spark, texts, 3, max_entries=20)
-    assert max(map(len, small.grams)) <= 20
-    assert math.isclose(small.probability(np.array([int.from_bytes(b"th" + bytes([i])) for i in range(256)])).sum(), 1, rel_tol=1e-3)
-
-
-def test_whole_model_as_tables_is_the_model(spark):
-    texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog and the hat " * 2]
-    for shared in (0, 1):
-        grams, model = model_of(spark, texts, 3, shared=shared)
-        table = spark.createDataFrame(list(grams.items()), "gram long, c long")
-        asked = [*grams, *(int.from_bytes(x.encode()) for x in ("zzz", "thq", "dxq"))]
-        wanted = spark.createDataFrame([(x,) for x in asked], "gram long")
-        got = {r["gram"]: r["p"] for r in kneser_ney.probabilities(kneser_ney.levels(table, 3, shared), wanted).collect()}
-        assert np.allclose([got[x] for x in asked], model.probability(np.array(asked)), rtol=1e-5)
-
-
-def test_losses_take_every_gram(spark, monkeypatch):
-    """Each loss is that of the uncapped model, also where a capped one has fewer grams than the texts."""
-    capped = kneser_ney.fit
-    monkeypatch.setattr(kneser_ney, "fit", lambda *a, max_entries=0, **b: capped(*a, **b, max_entries=30))
+TEXTS = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog and the hat " * 2]
+
+
+def counted(texts, order):
+    return Counter(int.from_bytes(t.encode()[i : i + order]) | g << 48 for g, t in enumerate(texts) for i in range(len(t.encode()) - order + 1))
+
+
+def probabilities(spark, grams, asked, shared=0):
+    table = spark.createDataFrame(list(grams.items()), "gram long, c long")
+    wanted = spark.createDataFrame([(x,) for x in asked], "gram long")
+    got = {r["gram"]: r["p"] for r in kneser_ney.probabilities(kneser_ney.levels(table, 3, shared), wanted).collect()}
+    return [got[x] for x in asked]
+
+
+def test_model_is_the_formula(spark):
+    for texts, shared in (([" ".join(TEXTS)], 0), (TEXTS, 0), (TEXTS, 2)):
+        grams = counted(texts, 3)
+        asked = [*grams, *(int.from_bytes(x.encode()) | g << 48 for g in range(len(texts)) for x in ("zzz", "thq", "dxq", "at "))]
+        asked = list(dict.fromkeys(asked))
+        p = kneser_ney_plainly(grams, 3, shared)
+        assert np.allclose(probabilities(spark, grams, asked, shared), [p(g) for g in asked], rtol=1e-6)
+
+
+def test_model_sums_to_one(spark):
+    asked = [int.from_bytes(history + bytes([i])) for history in (b"th", b"qq", b"a ") for i in range(256)]
+    sums = np.reshape(probabilities(spark, counted([" ".join(TEXTS)], 3), asked), (3, 256)).sum(1)
+    assert np.allclose(sums, 1, rtol=1e-4)
+
+
+def test_losses_take_every_gram(spark):
+    """Each loss is that of the whole model."""
     text = "the cat sat on the mat and the dog sat on the log"
     docs = [(i, text + f" number {i}", "en") for i in range(9)] + [(9, "ein hund und eine katze", "de"), (10, "abc", "de")]
     got = {r["row_number"]: r["log_loss"] for r in perplexity.judged(numbered(spark.createDataFrame(docs, "doc_id long, text string, lang string"))[0], "row_number").collect()}
     group = dict(zip(("en", "de"), (sum(b * 31**i for i, b in enumerate(x.encode())) % 251 for x in ("en", "de"))))
     packed = {i: [int.from_bytes(f" {t}".encode()[j : j + 5]) | group[lang] << 48 for j in range(len(t) + 1 - 4)] for i, t, lang in docs}
-    counts = Counter(g for x in packed.values() for g in x)
-    model = capped(spark.createDataFrame(list(counts.items()), "gram long, c long"), 5)
+    p = kneser_ney_plainly(Counter(g for x in packed.values() for g in x), 5)
     for i, grams in packed.items():
-        want = -np.log(model.probability(np.array(grams, np.int64))).mean() if grams else None
+        want = -np.log([p(g) for g in grams]).mean() if grams else None
         assert got[i] is None if want is None else math.isclose(got[i], want, rel_tol=1e-5)
 
 
