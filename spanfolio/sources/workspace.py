@@ -41,6 +41,20 @@ def drop_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no plan reads any more, one that ``materialise`` returned each."""
+    for table in tables:
+        spark = table.sparkSession
+        files = table.inputFiles()
+        if not files:
+            continue
+        folder = files[0].rsplit("/", 1)[0]
+        if f"/tables-{spark.sparkContext.applicationId}/" not in folder:
+            raise ValueError(f"not a table of this application: {folder}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as parquet and return a scan of it.
 
