@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanfolio.sources.workspace import materialise
+from spanfolio.sources.workspace import discard, materialise
 
 BYTES = 48
 _GRAM = (1 << BYTES) - 1
@@ -124,7 +124,8 @@ def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
     for n in range(order, 0, -1):
         if n < order:
             byte = F.shiftright("gram", 8 * n).bitwiseAND(F.lit(255))
-            table = materialise(table.groupBy(_suffix(F.col("gram"), n, shared).alias("gram")).agg(F.countDistinct(byte).alias("c")), "grams")
+            above, table = table, materialise(table.groupBy(_suffix(F.col("gram"), n, shared).alias("gram")).agg(F.countDistinct(byte).alias("c")), "grams")
+            discard(above)
         few = table.groupBy(group).agg(*(F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)))
         few = materialise(few.mapInArrow(run, "g long, d1 double, d2 double, d3 double"), "discounts")
         taken = F.expr("case c when 1 then d1 when 2 then d2 else d3 end")
@@ -134,9 +135,17 @@ def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
         sums = materialise(sums, "histories")
         model.grams[n - 1] = materialise(rows.join(sums, "h").select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share")), "shares")
         model.histories[n - 1] = sums.select("h", F.least(F.greatest(F.col("t") / 2**30 / F.col("s"), F.lit(1e-6)), F.lit(1.0)).alias("left"))
+        discard(few)
+    discard(table)
     return model
 
 
+def of_groups(model: Levels, low: int, high: int) -> Levels:
+    """The part of the model for groups from ``low`` (even) to below ``high``."""
+    within = lambda column: (F.col(column) >= low << BYTES) & (F.col(column) < high << BYTES)
+    return Levels(model.order, model.shared, [t.where(within("gram")) for t in model.grams], [t.where(within("h")) for t in model.histories])
+
+
 def probabilities(model: Levels, wanted: DataFrame) -> DataFrame:
     """(``gram``, ``p``): P(last byte | bytes before it, group) of the distinct grams of ``wanted`` (``gram``).
 
@@ -154,7 +163,8 @@ def probabilities(model: Levels, wanted: DataFrame) -> DataFrame:
         if n > 1:
             rows = rows.join(below.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
         under = F.col("q") if n > 1 else F.lit(1 / 256)
-        below = materialise(rows.select("gram", (F.coalesce("share", F.lit(0.0)) + F.coalesce("left", F.lit(1.0)) * under).alias("p")), "probabilities")
+        last, below = below, materialise(rows.select("gram", (F.coalesce("share", F.lit(0.0)) + F.coalesce("left", F.lit(1.0)) * under).alias("p")), "probabilities")
+        discard(asked[n - 1], *([last] if n > 1 else []))
     return below
 
 

@@ -85,7 +85,7 @@ def _features(data, offsets, rows_of, keys, found) -> np.ndarray:
     out = np.zeros((len(n), len(FEATURES)))
     if not len(gram):
         return out
-    ratio = found[np.searchsorted(keys, gram)]
+    ratio = found[np.searchsorted(keys, gram)].astype(np.float64)
     llr = np.clip(np.add.reduceat(ratio, begin), -6, 10)[inverse]
     owner = np.repeat(np.arange(len(n)), n)
     some = np.maximum(n, 1)
@@ -103,7 +103,7 @@ def ratios(language: K.Levels, wanted: DataFrame) -> DataFrame:
     toxic = F.col("gram").bitwiseAND(F.lit(TOXIC)) != 0
     both = wanted.select(F.explode(F.array("gram", F.col("gram").bitwiseOR(F.lit(TOXIC)))).alias("gram"))
     signed = F.when(toxic, F.log("p")).otherwise(-F.log("p"))
-    return K.probabilities(language, both).groupBy(F.col("gram").bitwiseAND(F.lit(~TOXIC)).alias("key")).agg(F.sum(signed).alias("value"))
+    return K.probabilities(language, both).groupBy(F.col("gram").bitwiseAND(F.lit(~TOXIC)).alias("key")).agg(F.sum(signed).cast("float").alias("value"))
 
 
 def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Callable, judged: Callable, schema, inputs: list[str]) -> DataFrame:
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     other = lambda batch: 2 - batch.column("fold").to_numpy().astype(np.int64)
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", label int, weight double"
-    got = _compared(rows, "text", language, other, judged, schema, ["text", "fold"]).toArrow().sort_by([(c, "ascending") for c in ("label", *FEATURES)])
+    got = _compared(rows, "text", K.of_groups(language, 2, 6), other, judged, schema, ["text", "fold"]).toArrow().sort_by([(c, "ascending") for c in ("label", *FEATURES)])
     x = np.column_stack([got.column(f).to_numpy() for f in FEATURES])
     return Model(language, Logistic(x, got.column("label").to_numpy(), got.column("weight").to_numpy()))
 
@@ -169,4 +169,4 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "s
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights(out))], names=[*batch.schema.names, name])
 
     every_row = lambda batch: np.full(len(batch), ALL, np.int64)
-    return _compared(kept, text_col, model.language, every_row, judged, kept.select("*", F.lit(0.0).alias(name)).schema, [text_col])
+    return _compared(kept, text_col, K.of_groups(model.language, 0, 2), every_row, judged, kept.select("*", F.lit(0.0).alias(name)).schema, [text_col])
