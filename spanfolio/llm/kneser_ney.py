@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfolio.sources.workspace import discard, materialise
@@ -105,6 +105,63 @@ def _before(gram):
     return gram.bitwiseAND(F.lit(_signed(~_GRAM))).bitwiseOR(F.shiftright(gram.bitwiseAND(F.lit(_GRAM)), 8))
 
 
+def _lower(table: DataFrame, n: int, shared: int) -> DataFrame:
+    """Counts of the order ``n`` from those of the order above: in how many ways each gram is extended to the left."""
+    byte = F.shiftright("gram", 8 * n).bitwiseAND(F.lit(255))
+    return table.groupBy(_suffix(F.col("gram"), n, shared).alias("gram")).agg(F.countDistinct(byte).alias("c"))
+
+
+def _discounts(table: DataFrame) -> DataFrame:
+    """The three discounts of each group ``g`` of an order's counts, written."""
+
+    def run(batches):
+        for batch in batches:
+            d = [discounts(*n) for n in zip(*(batch.column(f"n{i}").to_pylist() for i in (1, 2, 3, 4)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("g"), *(pa.array([x[i] for x in d], pa.float64()) for i in range(3))], names=["g", "d1", "d2", "d3"])
+
+    few = table.groupBy(F.shiftright("gram", BYTES).alias("g")).agg(*(F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)))
+    return materialise(few.mapInArrow(run, "g long, d1 double, d2 double, d3 double"), "discounts")
+
+
+def _discounted(table: DataFrame, few: DataFrame) -> DataFrame:
+    """Each gram of an order with its history ``h`` and its discount ``d``."""
+    taken = F.expr("case c when 1 then d1 when 2 then d2 else d3 end")
+    return table.withColumn("g", F.shiftright("gram", BYTES)).join(few, "g").select("gram", _before(F.col("gram")).alias("h"), "c", taken.alias("d"))
+
+
+#: Whole numbers, so that the order of a sum doesn't show.
+_TAKEN = "cast(round(d * 1073741824) as long)"
+
+
+def _left(t, s):
+    return F.least(F.greatest(t / 2**30 / s, F.lit(1e-6)), F.lit(1.0))
+
+
+def own(counts: DataFrame, order: int) -> DataFrame:
+    """(``gram``, ``p``): P(last byte | bytes before it, group) of each counted gram itself, by the model of ``levels``.
+
+    A counted gram's suffixes are the grams of the orders below, so the model is made from
+    the lowest order up, in one table an order: histories are windows of at most 256
+    grams, and nothing is asked for apart from what was counted.
+    """
+    tables = [materialise(counts, "grams")]
+    for n in range(order - 1, 0, -1):
+        tables.insert(0, materialise(_lower(tables[0], n, 0), "grams"))
+    below = None
+    for n, table in enumerate(tables, 1):
+        few = _discounts(table)
+        history = Window.partitionBy("h")
+        rows = _discounted(table, few).withColumns({"s": F.sum("c").over(history), "t": F.sum(F.expr(_TAKEN)).over(history)})
+        rows = rows.select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share"), _left(F.col("t"), F.col("s")).alias("left"))
+        if below is not None:
+            under = below.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
+            rows = rows.withColumn("suffix", _suffix(F.col("gram"), n - 1, 0)).join(under, "suffix")
+        q = F.lit(1 / 256) if below is None else F.col("q")
+        last, below = below, materialise(rows.select("gram", (F.col("share") + F.col("left") * q).alias("p")), "probabilities")
+        discard(table, few, *([] if last is None else [last]))
+    return below
+
+
 def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
     """Model from counts of packed grams of ``order`` bytes, with every gram of every order, whatever their number.
 
@@ -114,27 +171,16 @@ def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
     """
     model = Levels(order, shared, [None] * order, [None] * order)
     table = materialise(counts, "grams")
-    group = F.shiftright("gram", BYTES).alias("g")
-
-    def run(batches):
-        for batch in batches:
-            d = [discounts(*n) for n in zip(*(batch.column(f"n{i}").to_pylist() for i in (1, 2, 3, 4)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("g"), *(pa.array([x[i] for x in d], pa.float64()) for i in range(3))], names=["g", "d1", "d2", "d3"])
-
     for n in range(order, 0, -1):
         if n < order:
-            byte = F.shiftright("gram", 8 * n).bitwiseAND(F.lit(255))
-            above, table = table, materialise(table.groupBy(_suffix(F.col("gram"), n, shared).alias("gram")).agg(F.countDistinct(byte).alias("c")), "grams")
+            above, table = table, materialise(_lower(table, n, shared), "grams")
             discard(above)
-        few = table.groupBy(group).agg(*(F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)))
-        few = materialise(few.mapInArrow(run, "g long, d1 double, d2 double, d3 double"), "discounts")
-        taken = F.expr("case c when 1 then d1 when 2 then d2 else d3 end")
-        rows = table.withColumn("g", group).join(few, "g").select("gram", _before(F.col("gram")).alias("h"), "c", taken.alias("d"))
-        # whole numbers, so that the order of a sum doesn't show
-        sums = rows.groupBy("h").agg(F.sum("c").alias("s"), F.sum(F.round(F.col("d") * 2**30).cast("long")).alias("t"))
+        few = _discounts(table)
+        rows = _discounted(table, few)
+        sums = rows.groupBy("h").agg(F.sum("c").alias("s"), F.sum(F.expr(_TAKEN)).alias("t"))
         sums = materialise(sums, "histories")
         model.grams[n - 1] = materialise(rows.join(sums, "h").select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share")), "shares")
-        model.histories[n - 1] = sums.select("h", F.least(F.greatest(F.col("t") / 2**30 / F.col("s"), F.lit(1e-6)), F.lit(1.0)).alias("left"))
+        model.histories[n - 1] = sums.select("h", _left(F.col("t"), F.col("s")).alias("left"))
         discard(few)
     discard(table)
     return model

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanfolio.llm import kneser_ney as K
 from spanfolio.llm import text as T
 from spanfolio.llm.gathered import gathered
+from spanfolio.operators.ranks import elements
 from spanfolio.sources.workspace import materialise
 
 ORDER = 5
@@ -18,12 +19,26 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
 
-def _group(lang) -> np.ndarray:
-    """A number of eight bits for each language (null: as an empty name); models of languages that share it are one."""
-    return np.array([sum(b * 31**i for i, b in enumerate((x.as_py() or "").encode())) % 251 for x in lang], np.int64)
+#: Languages with a model of their own; those of fewer texts beyond them share one.
+MODELS = 1 << 15
 
 
-def _grams(batch, data, offsets):
+def _models(rows: DataFrame) -> np.ndarray:
+    """The ``language`` of each model, sorted: of the languages with the most texts, which is all of them but for odd tables."""
+    sizes = rows.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.orderBy(F.desc("n"), "language").limit(MODELS - 1)
+    return np.array(sorted(r["language"] for r in most.collect()), np.int64)
+
+
+def _group(language: np.ndarray, models: np.ndarray) -> np.ndarray:
+    """Number of each language's model, from 1; 0 of the one that the rest shares."""
+    at = np.searchsorted(models, language)
+    known = at < len(models)
+    known[known] = models[at[known]] == language[known]
+    return np.where(known, at + 1, 0)
+
+
+def _grams(batch, data, offsets, models):
     """Packed grams of all texts, with the number of each one's text. White space counts as one blank."""
     starts, ends, first = T.words(data, offsets, T.NOT_SPACE)
     stream, begin = K.word_stream(data, starts, ends, 1)
@@ -36,18 +51,17 @@ def _grams(batch, data, offsets):
     inside = np.arange(len(gram)) + ORDER <= edge[np.minimum(owner + 1, len(edge) - 1)]
     inside &= owner < len(batch)
     gram, owner = gram[inside], owner[inside]
-    return gram | _group(batch.column("lang"))[owner] << K.BYTES, owner
+    return gram | _group(batch.column("language").to_numpy(), models)[owner] << K.BYTES, owner
 
 
-def losses(docs: DataFrame) -> DataFrame:
-    """Negative log-probability (``value``) of every gram (``key``) of ``docs`` (text, lang), by the model of all its texts."""
+def losses(docs: DataFrame, models: np.ndarray) -> DataFrame:
+    """Negative log-probability (``value``) of every gram (``key``) of ``docs`` (text, language), by the model of all its texts."""
 
     def grams(batches):
         for batch, data, offsets in T.chunks(batches):
-            yield np.unique(_grams(batch, data, offsets)[0], return_counts=True)
+            yield np.unique(_grams(batch, data, offsets, models)[0], return_counts=True)
 
-    counts = materialise(K.counted(docs.select("text", "lang"), grams), "grams")
-    return K.probabilities(K.levels(counts, ORDER), counts).select(F.col("gram").alias("key"), (-F.log("p")).alias("value"))
+    return K.own(K.counted(docs.select("text", "language"), grams), ORDER).select(F.col("gram").alias("key"), (-F.log("p")).alias("value"))
 
 
 def _repeated(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +101,19 @@ def _rules(data, offsets) -> dict[str, np.ndarray]:
     return out
 
 
+def quartiles(scored: DataFrame) -> DataFrame:
+    """``language, q1, q2, q3``: the exact losses at a quarter, half and three quarters of a language's texts that have one."""
+    part = scored.select("language", "log_loss").where("log_loss is not null")
+    sizes = materialise(part.groupBy("language").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    out = sizes.select("language")
+    for i in (1, 2, 3):
+        rank = {f"q{i}": lambda n, i=i: F.ceil(n * i / 4)}
+        out = out.join(elements(part, ["language"], "log_loss", rank, sizes=sizes).drop("n"), "language")
+    return out
+
+
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_TYPES = "key long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_loss double"
+_TYPES = "key long, language long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, log_loss double"
 
 
 def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, short: float = 10.0) -> DataFrame:
@@ -100,35 +125,35 @@ def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "l
     perplexity; null without five bytes), ``lower``, ``upper`` (the band of the language) and ``kept``.
 
     The model counts every text and keeps every gram, as tables. A language's band reaches from its median loss
-    ``reach`` times as far as the quarter below and above; both ends widen with
+    ``reach`` times as far as the quarter below and above, exact elements of its losses; both ends widen with
     ``short`` over the root of the words of the text, since a short text varies more. A text
     without loss, and one whose band is a point, is judged by the plain rules alone. Null
-    and empty texts have no words and fail; a null language is a language of its own.
+    and empty texts have no words and fail; a null language is a language of its own, and so is an empty one. ``MODELS`` - 1 languages
+    have a model each (of more, those with the most texts) and the rest one together; every language has its band.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.xxhash64(F.col(lang_col).cast("string")).alias("language"))
+    models = _models(rows)
 
     def asked(piece):
-        return np.unique(_grams(*piece)[0])
+        return np.unique(_grams(*piece, models)[0])
 
     def used(piece, keys, found):
         batch, data, offsets = piece
-        gram, owner = _grams(batch, data, offsets)
+        gram, owner = _grams(batch, data, offsets, models)
         loss = found[np.searchsorted(keys, gram)]
         n = np.bincount(owner, minlength=len(batch))
         total = np.bincount(owner, loss, len(batch))
         mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
         rules = _rules(data, offsets)
-        columns = [batch.column("key"), batch.column("lang"), *(pa.array(rules[c], pa.int64()) for c in RULES), pa.array(n, pa.int64()), mean]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "lang", *RULES, "n_grams", "log_loss"])
+        columns = [batch.column("key"), batch.column("language"), *(pa.array(rules[c], pa.int64()) for c in RULES), pa.array(n, pa.int64()), mean]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "language", *RULES, "n_grams", "log_loss"])
 
-    scored = gathered(rows, "text", asked, losses(rows), used, _TYPES)
-    scored = materialise(scored.withColumn("lang", F.coalesce("lang", F.lit(""))), "losses")
-    quarters = F.percentile_approx("log_loss", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
-    bands = materialise(scored.where("log_loss is not null").groupBy("lang").agg(quarters.alias("q")), "bands")
+    scored = materialise(gathered(rows, "text", asked, losses(rows, models), used, _TYPES), "losses")
+    bands = materialise(quartiles(scored), "bands")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     wider = F.lit(reach) * (1 + F.lit(short) / F.sqrt(F.greatest("n_words", F.lit(1))))
-    out = scored.join(bands, "lang", "left").withColumn("base_failed", failed)
-    out = out.withColumn("lower", F.col("q")[1] - wider * (F.col("q")[1] - F.col("q")[0]))
-    out = out.withColumn("upper", F.col("q")[1] + wider * (F.col("q")[2] - F.col("q")[1]))
+    out = scored.join(bands, "language", "left").withColumn("base_failed", failed)
+    out = out.withColumn("lower", F.col("q2") - wider * (F.col("q2") - F.col("q1")))
+    out = out.withColumn("upper", F.col("q2") + wider * (F.col("q3") - F.col("q2")))
     within = F.coalesce((F.col("lower") == F.col("upper")) | F.col("log_loss").between(F.col("lower"), F.col("upper")), F.lit(True))
     return out.select(F.col("key").alias(key), *RULES, "base_failed", "log_loss", "lower", "upper", (~F.col("base_failed") & within).alias("kept"))

@@ -33,7 +33,7 @@ def sha(column) -> F.Column:
 
 
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:
-    return scores.select("doc_id", (~in_training()).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scores.select("doc_id", F.coalesce(~in_training(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -54,6 +55,15 @@ def test_model_is_the_formula(spark):
         assert np.allclose(probabilities(spark, grams, asked, shared), [p(g) for g in asked], rtol=1e-6)
 
 
+def test_own_probabilities_are_those_of_the_tables(spark):
+    grams = counted(TEXTS, 3)
+    table = spark.createDataFrame(list(grams.items()), "gram long, c long")
+    got = {r["gram"]: r["p"] for r in kneser_ney.own(table, 3).collect()}
+    assert got.keys() == grams.keys()
+    p = kneser_ney_plainly(grams, 3, 0)
+    assert np.allclose([got[g] for g in grams], [p(g) for g in grams], rtol=1e-6)
+
+
 def test_model_sums_to_one(spark):
     asked = [int.from_bytes(history + bytes([i])) for history in (b"th", b"qq", b"a ") for i in range(256)]
     sums = np.reshape(probabilities(spark, counted([" ".join(TEXTS)], 3), asked), (3, 256)).sum(1)
@@ -63,9 +73,9 @@ def test_model_sums_to_one(spark):
 def test_losses_take_every_gram(spark):
     """Each loss is that of the whole model."""
     text = "the cat sat on the mat and the dog sat on the log"
-    docs = [(i, text + f" number {i}", "en") for i in range(9)] + [(9, "ein hund und eine katze", "de"), (10, "abc", "de")]
+    docs = [(i, text + f" number {i}", "en") for i in range(9)] + [(9, "ein hund und eine katze", "de"), (10, "abc", "de"), (11, "un gat i un gos", "ca"), (12, "kissa ja koira", "fi"), (13, "no name", ""), (14, "none at all", None)]
     got = {r["row_number"]: r["log_loss"] for r in perplexity.judged(numbered(spark.createDataFrame(docs, "doc_id long, text string, lang string"))[0], "row_number").collect()}
-    group = dict(zip(("en", "de"), (sum(b * 31**i for i, b in enumerate(x.encode())) % 251 for x in ("en", "de"))))
+    group = {lang: i for i, lang in enumerate(dict.fromkeys(d[2] for d in docs))}
     packed = {i: [int.from_bytes(f" {t}".encode()[j : j + 5]) | group[lang] << 48 for j in range(len(t) + 1 - 4)] for i, t, lang in docs}
     p = kneser_ney_plainly(Counter(g for x in packed.values() for g in x), 5)
     for i, grams in packed.items():
@@ -81,6 +91,30 @@ def test_odd_texts_leave_the_band(spark):
     assert got[100] is False
 
 
+def test_verdict_is_the_band(spark, monkeypatch):
+    """The band from sorted losses, its own constants, also where languages share the model of the rest."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(1, 6))) for _ in range(200)]
+    docs = [(i, " ".join(r.choice(words) if r.random() > 0.02 * (i % 9) else chr(200 + r.randrange(90)) * 4 for _ in range(r.randint(2, 90))), r.choice(["en", "de", "", None])) for i in range(240)]
+    rows, key = numbered(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    for models in (1 << 15, 2):
+        monkeypatch.setattr(perplexity, "MODELS", models)
+        got = {x[key]: x for x in perplexity.judged(rows, key).collect()}
+        verdicts = set()
+        for lang in {d[2] for d in docs}:
+            mine = [got[d[0]] for d in docs if d[2] == lang]
+            losses = sorted(x["log_loss"] for x in mine if x["log_loss"] is not None)
+            q1, q2, q3 = (losses[math.ceil(len(losses) * p) - 1] for p in (0.25, 0.5, 0.75))
+            for x in mine:
+                wider = 4 * (1 + 10 / math.sqrt(max(x["n_words"], 1)))
+                low, high = q2 - wider * (q2 - q1), q2 + wider * (q3 - q2)
+                failed = x["n_words"] < 50 or 100 * x["n_repeat_words"] > 50 * x["n_words"]
+                assert math.isclose(x["lower"], low, rel_tol=1e-9) and math.isclose(x["upper"], high, rel_tol=1e-9)
+                assert x["kept"] == (not failed and (x["log_loss"] is None or x["lower"] <= x["log_loss"] <= x["upper"]))
+                verdicts.add(x["kept"])
+        assert verdicts == {True, False}
+
+
 def test_awkward_rows(spark):
     rows, key = numbered(awkward(spark))
     assert perplexity.judged(rows, key).count() == rows.count()
