@@ -17,13 +17,15 @@ from spanfolio.llm import text as T
 
 #: Bytes of text of a chunk, one document at least.
 CHUNK_BYTES = 1 << 24
+#: Of compression: texts are most of what crosses the network.
+LEVEL = 7
 
 Piece = tuple[pa.RecordBatch, np.ndarray, np.ndarray]
 
 
 def _written(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
         out.write_table(pa.Table.from_batches(parts).combine_chunks())
     packed = sink.getvalue().to_pybytes()
     name = int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), signed=True)

@@ -152,12 +152,14 @@ def own(counts: DataFrame, order: int) -> DataFrame:
         few = _discounts(table)
         history = Window.partitionBy("h")
         rows = _discounted(table, few).withColumns({"s": F.sum("c").over(history), "t": F.sum(F.expr(_TAKEN)).over(history)})
-        rows = rows.select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share"), _left(F.col("t"), F.col("s")).alias("left"))
+        # four bytes each where they cross the network
+        share, left = ((F.col("c") - F.col("d")) / F.col("s")).cast("float"), _left(F.col("t"), F.col("s")).cast("float")
+        rows = rows.select("gram", share.alias("share"), left.alias("left"))
         if below is not None:
             under = below.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
             rows = rows.withColumn("suffix", _suffix(F.col("gram"), n - 1, 0)).join(under, "suffix")
         q = F.lit(1 / 256) if below is None else F.col("q")
-        last, below = below, materialise(rows.select("gram", (F.col("share") + F.col("left") * q).alias("p")), "probabilities")
+        last, below = below, materialise(rows.select("gram", (F.col("share").cast("double") + F.col("left").cast("double") * q).alias("p")), "probabilities")
         discard(table, few, *([] if last is None else [last]))
     return below
 

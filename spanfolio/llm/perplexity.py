@@ -61,7 +61,7 @@ def losses(docs: DataFrame, models: np.ndarray) -> DataFrame:
         for batch, data, offsets in T.chunks(batches):
             yield np.unique(_grams(batch, data, offsets, models)[0], return_counts=True)
 
-    return K.own(K.counted(docs.select("text", "language"), grams), ORDER).select(F.col("gram").alias("key"), (-F.log("p")).alias("value"))
+    return K.own(K.counted(docs.select("text", "language"), grams), ORDER).select(F.col("gram").alias("key"), (-F.log("p")).cast("float").alias("value"))
 
 
 def _repeated(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +140,7 @@ def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "l
     def used(piece, keys, found):
         batch, data, offsets = piece
         gram, owner = _grams(batch, data, offsets, models)
-        loss = found[np.searchsorted(keys, gram)]
+        loss = found[np.searchsorted(keys, gram)].astype(np.float64)
         n = np.bincount(owner, minlength=len(batch))
         total = np.bincount(owner, loss, len(batch))
         mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
