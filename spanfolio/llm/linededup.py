@@ -2,7 +2,8 @@
 
 Edits are counted in words: a line is near another if one word inserted, left out or
 changed turns one into the other. Two such lines have a variant in common: the same
-words after leaving out one of them.
+words after leaving out one of them. Lines of few words and many characters (languages
+written without blanks, addresses) are taken character by character instead.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from spanfolio.sources.workspace import materialise
 
 #: Lines of fewer words stay; near lines are looked for among lines of NEAR words and more.
 LEAST, NEAR = 3, 5
+#: The same for the characters of lines of fewer than NEAR words.
+LEAST_CHARACTERS, NEAR_CHARACTERS = 20, 60
+_SIZE = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
 #: What a line can share with another one: first or second half, of its own length or of one word less.
 HALVES = 4
 
@@ -32,6 +36,17 @@ class Lines:
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(line))
         has = np.diff(first) > 0
         self.begin, self.end, self.owner = begin[has], end[has], owner[has]
+        self.near = np.full(int(has.sum()), NEAR)
+        inside = T.NOT_SPACE[low] & (low & 0xC0 != 0x80)
+        passed = np.append(0, np.cumsum(inside))
+        few = (np.diff(first)[has] < NEAR) & (passed[self.end] - passed[self.begin] >= LEAST_CHARACTERS)
+        if few.any():
+            self.near[few] = NEAR_CHARACTERS
+            starts, ends, by = _characters(starts, ends, first[:-1][has], inside, low, self.begin[few], self.end[few], few)
+            h = T.span_hashes(low, starts, ends)
+            # a character is never equal to a word
+            h[by] = T.mixed(h[by] + np.uint64(T.MULTIPLIER))
+            first = np.append(np.searchsorted(starts, begin), len(h))
         self.first = np.append(first[:-1][has], len(h))
         self.n = np.diff(self.first)
         feeds = np.cumsum(np.append(0, data == 0x0A))
@@ -62,10 +77,24 @@ class Lines:
             base = self.n - less
             m = base // 2
             for side, h in ((0, self.part(a, a + m)), (1, self.part(b - (base - m), b))):
-                out[:, 2 * less + side] = np.where(base >= NEAR, _salted(h, base, side), 0)
+                out[:, 2 * less + side] = np.where(base >= self.near, _salted(h, base, side), 0)
         return out
 
 
+def _characters(starts, ends, first, inside, low, begin, end, few):
+    """Starts and ends of words, of lines marked as ``few`` those of characters instead, and which are characters."""
+    line = np.searchsorted(first, np.arange(len(starts)), "right") - 1
+    stay = ~few[line]
+    edge = np.zeros(len(low) + 1, np.int8)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, end, -1)
+    at = np.flatnonzero(inside & (np.cumsum(edge[:-1]) > 0))
+    every = np.concatenate([starts[stay], at])
+    order = np.argsort(every, kind="stable")
+    upto = np.concatenate([ends[stay], at + _SIZE[low[at]]])
+    return every[order], upto[order], (order >= int(stay.sum()))
+
+
 def with_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of lines of each text that have a word."""
     begin, end, line = T.words(data, offsets, np.arange(256) != 0x0A)
@@ -223,8 +252,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A line goes if one before it (in a document with a smaller id, or earlier in the same
     one) has the same words or, of two lines with NEAR words or more, is one word inserted, left out or
-    changed away. Lines are judged on the input, so a line may go for one that goes
-    itself. Words are lower-cased and split at white space. Lines of fewer than LEAST words, blank
+    changed away. A line of fewer than NEAR words and LEAST_CHARACTERS characters or more is compared,
+    with others of that kind, by its characters without white space: equal ones go, and of lines with
+    NEAR_CHARACTERS or more those one character apart. Lines are judged on the input, so a line may go for one that goes
+    itself. Words are lower-cased and split at white space. Other lines of fewer than LEAST words, blank
     ones among them, always stay. ``n_lines`` counts lines with a word. A null text
     stays null and has none; rows with equal or null ids count as documents of their own,
     so of repeated rows the first keeps its lines. Columns of ``docs`` named like the two counts are replaced.

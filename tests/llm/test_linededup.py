@@ -26,11 +26,14 @@ def plainly(documents):
         for line in (text or "").split("\n"):
             words = SPACE.findall(lowered(line))
             n += bool(words)
-            if len(words) < linededup.LEAST:
+            least = 5
+            if len(words) < 5 and sum(map(len, words)) >= 20:
+                words, least = [("character", c) for c in "".join(words)], 60
+            if len(words) < 3:
                 kept.append(line)
                 continue
             t = tuple(words)
-            if t in known or len(t) >= linededup.NEAR and any(len(s) >= linededup.NEAR and abs(len(s) - len(t)) < 2 and near(s, t) for s in seen):
+            if t in known or len(t) >= least and any(len(s) >= least and abs(len(s) - len(t)) < 2 and near(s, t) for s in seen):
                 removed += 1
             else:
                 kept.append(line)
@@ -70,6 +73,27 @@ def test_query_is_the_definition(spark, tmp_path, seed):
     assert sorted(tuple(r) for r in got.collect()) == plainly(documents)
 
 
+def test_lines_of_few_words_by_characters(spark, tmp_path):
+    r = random.Random(8)
+    chinese = "".join(chr(0x4E00 + r.randrange(900)) for _ in range(160))
+    url = "https://example.org/" + "".join(r.choice("abcdefghij/") for _ in range(300))
+    pool = [chinese, url, "B" * 19, "é" * 20, "é" * 59, "ab cd ef " + "g" * 70, url[:59], url[:60]]
+    documents = [(0, "\n".join([chinese, url, chinese, url]), "zh", "s", 1)]
+    for i in range(1, 40):
+        lines = []
+        for _ in range(r.randint(1, 5)):
+            line = list(r.choice(pool))
+            for _ in range(r.choice([0, 1, 1, 2])):
+                at = r.randrange(len(line))
+                line[at : at + 1] = r.choice([[], ["x"], ["𝒳", line[at]], [" ", line[at]]])
+            lines.append("".join(line))
+        documents.append((i, "\n".join(lines), "zh", "s", 1))
+    folder = written(spark, tmp_path / "t", documents)
+    got = QUERIES["op4_line_dedup"](spark, folder).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+    want = plainly(documents)
+    assert sorted(tuple(x) for x in got.collect()) == want and want[0][2] == 2
+
+
 def test_one_apart():
     r = random.Random(0)
     for _ in range(3000):
