@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfolio.llm import text as T
 from spanfolio.llm.labelled import Logistic, sample
+from spanfolio.sources.workspace import materialise
 
 _BYTES = {
     "symbols": b"#*$%&|<>@^~=_{}[]\\",
@@ -154,15 +155,13 @@ def trained(x: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndar
     return field
 
 
-_LINES = pa.list_(pa.float64())
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 3000, max_lines: int = 200, id_col: str = "doc_id", text_col: str = "text") -> Field:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 3000, max_lines: int = 600_000, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """The field, learned from at most ``max_rows`` labelled documents of each class.
 
-    Every line of a document has its label in training; of a document with more than
-    ``max_lines`` lines as many from its middle are learned from, so the sample has a
-    bound. The mean marginal is made a probability on the half that a field has not seen.
+    A document is learned from whole, and every line of it has its label. The sample of a
+    class also ends where its documents, in the order of a hash, would have more than
+    ``max_lines`` lines together; a document that has more by itself isn't drawn. The mean
+    marginal is made a probability on the half that a field has not seen.
     With no labels, or one class only, every text with a line has the same score.
     """
     rows = sample(docs, labels, label, max_rows, id_col, text_col)
@@ -171,15 +170,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
         T.return_memory()
         for batch, data, offsets in T.chunks(batches):
             x, size, first = lines(data, offsets)
-            low = first[:-1] + np.maximum(np.diff(first) - max_lines, 0) // 2
-            high = np.minimum(low + max_lines, first[1:])
-            cut = lambda v: pa.array([v[a:b].ravel() for a, b in zip(low, high, strict=True)], _LINES)
-            yield pa.RecordBatch.from_arrays([cut(x), cut(size), *(batch.column(c) for c in ("label", "fold", "weight"))], names=["x", "size", "label", "fold", "weight"])
-
-    got = rows.mapInArrow(run, "x array<double>, size array<double>, label int, fold long, weight double").toArrow()
-    x = [np.reshape(v, (-1, len(FEATURES))) for v in got.column("x").to_pylist()]
-    size = [np.array(v) for v in got.column("size").to_pylist()]
-    y, fold, weight = (got.column(c).to_numpy() for c in ("label", "fold", "weight"))
+            listed = lambda v, k: pa.ListArray.from_arrays(pa.array(first * k, pa.int32()), pa.array(v.astype(np.float32).ravel()))
+            columns = [listed(x, len(FEATURES)), listed(size, 1), pa.array(np.diff(first), pa.int64()), *(batch.column(c) for c in ("label", "fold", "weight"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["x", "size", "n", "label", "fold", "weight"])
+
+    found = materialise(rows.mapInArrow(run, "x array<float>, size array<float>, n long, label int, fold long, weight double"), "features")
+    drawn = F.xxhash64("size", "x")
+    sizes = found.where(F.col("n") <= max_lines).groupBy("label", drawn.alias("drawn")).agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy("drawn"))
+    within = sizes.withColumn("upto", upto).where(F.col("upto") <= max_lines).select("label", "drawn")
+    got = found.withColumn("drawn", drawn).join(within, ["label", "drawn"]).orderBy("label", "drawn").toArrow()
+    totals = {r["label"]: r["w"] for r in found.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+
+    def arrays(name, width):
+        column = got.column(name).combine_chunks()
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        ends = np.cumsum(got.column("n").to_numpy())[:-1] if len(got) else []
+        return np.split(values.reshape(-1, *width), ends) if len(got) else []
+
+    x, size = arrays("x", (len(FEATURES),)), arrays("size", ())
+    y, fold, weight = (got.column(c).to_numpy().copy() for c in ("label", "fold", "weight"))
+    for value, total in totals.items():
+        if (y == value).any():
+            weight[y == value] *= total / weight[y == value].sum()
 
     def part(which):
         first = np.concatenate([[0], np.cumsum([len(x[i]) for i in which])]).astype(np.int64)
