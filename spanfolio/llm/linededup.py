@@ -21,36 +21,52 @@ LEAST, NEAR = 3, 5
 #: The same for the characters of lines of fewer than NEAR words.
 LEAST_CHARACTERS, NEAR_CHARACTERS = 20, 60
 _SIZE = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
+_NOT_FEED = np.arange(256) != 0x0A
 #: What a line can share with another one: first or second half, of its own length or of one word less.
 HALVES = 4
 
 
-class Lines:
-    """The lines with words of some texts: hashes of their words, and their numbers among all lines of the text."""
+class Places:
+    """The lines with words of some texts: their numbers among all lines of the text, and how many words each has."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        begin, end, line = T.words(data, offsets, np.arange(256) != 0x0A)
-        starts, ends, _ = T.words(low := T.LOWER[data], offsets, T.NOT_SPACE)
-        h = T.span_hashes(low, starts, ends)
-        first = np.searchsorted(starts, np.append(begin, len(data)))
+        begin, end, line = T.words(data, offsets, _NOT_FEED)
+        self.starts, self.ends, _ = T.words(data, offsets, T.NOT_SPACE)
+        first = np.searchsorted(self.starts, np.append(begin, len(data)))
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(line))
         has = np.diff(first) > 0
         self.begin, self.end, self.owner = begin[has], end[has], owner[has]
-        self.near = np.full(int(has.sum()), NEAR)
-        inside = T.NOT_SPACE[low] & (low & 0xC0 != 0x80)
-        passed = np.append(0, np.cumsum(inside))
-        few = (np.diff(first)[has] < NEAR) & (passed[self.end] - passed[self.begin] >= LEAST_CHARACTERS)
+        # lines without words have no first word
+        self.first = np.append(first[:-1][has], len(self.starts))
+        self.n = np.diff(self.first)
+        feeds = np.flatnonzero(data == 0x0A)
+        self.number = np.searchsorted(feeds, self.begin) - np.searchsorted(feeds, offsets[:-1])[self.owner]
+        self.few = self.n < NEAR
+        some = np.flatnonzero(self.few & (self.end - self.begin >= LEAST_CHARACTERS))
+        self.few[:] = False
+        if len(some):
+            passed = np.append(0, np.cumsum(T.NOT_SPACE[data] & (data & 0xC0 != 0x80)))
+            characters = passed[self.end[some]] - passed[self.begin[some]]
+            self.few[some] = characters >= LEAST_CHARACTERS
+            self.n[some] = np.where(self.few[some], characters, self.n[some])
+
+
+class Lines(Places):
+    """The same with hashes of the words."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        super().__init__(data, offsets)
+        low, starts, ends, few = T.LOWER[data], self.starts, self.ends, self.few
+        self.near = np.where(few, NEAR_CHARACTERS, NEAR)
         if few.any():
-            self.near[few] = NEAR_CHARACTERS
-            starts, ends, by = _characters(starts, ends, first[:-1][has], inside, low, self.begin[few], self.end[few], few)
+            inside = T.NOT_SPACE[low] & (low & 0xC0 != 0x80)
+            starts, ends, by = _characters(starts, ends, self.first[:-1], inside, low, self.begin[few], self.end[few], few)
             h = T.span_hashes(low, starts, ends)
             # a character is never equal to a word
             h[by] = T.mixed(h[by] + np.uint64(T.MULTIPLIER))
-            first = np.append(np.searchsorted(starts, begin), len(h))
-        self.first = np.append(first[:-1][has], len(h))
-        self.n = np.diff(self.first)
-        feeds = np.cumsum(np.append(0, data == 0x0A))
-        self.number = feeds[self.begin] - feeds[offsets[:-1]][self.owner]
+            self.first = np.append(0, np.cumsum(self.n))
+        else:
+            h = T.span_hashes(low, starts, ends)
         self.words = h
         # sums from which the hash of any run of words follows, also with a word left out
         self.total = np.zeros(len(h) + 1, np.uint64)
@@ -97,7 +113,7 @@ def _characters(starts, ends, first, inside, low, begin, end, few):
 
 def with_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of lines of each text that have a word."""
-    begin, end, line = T.words(data, offsets, np.arange(256) != 0x0A)
+    begin, end, line = T.words(data, offsets, _NOT_FEED)
     passed = np.concatenate([[0], np.cumsum(T.NOT_SPACE[data])])
     found = np.concatenate([[0], np.cumsum(passed[end] > passed[begin])])
     return np.diff(found[line])
@@ -290,7 +306,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         T.return_memory()
         for batch, data, offsets in T.unpacked(batches, names, T.SMALLER_CHUNK):
             column = lambda name: batch.column(batch.schema.get_field_index(name))
-            lines = Lines(data, offsets)
+            lines = Places(data, offsets)
             raw = data.tobytes()
             stay, valid = column("kept" + spare).to_pylist(), column(names[1]).is_valid().to_pylist()
             gone: list[list[int]] = [[] for _ in stay]
@@ -319,7 +335,7 @@ def counted(rows: DataFrame) -> DataFrame:
     def run(batches):
         T.return_memory()
         for batch, data, offsets in T.chunks(batches, limit=T.SMALLER_CHUNK):
-            lines = Lines(data, offsets)
+            lines = Places(data, offsets)
             n = np.bincount(lines.owner[lines.n >= LEAST], minlength=len(batch))
             some = pa.array(n > 0)
             yield pa.RecordBatch.from_arrays([batch.column("key").filter(some), pa.array(n).filter(some)], names=["key", "n"])

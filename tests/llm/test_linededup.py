@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -111,3 +112,16 @@ def test_awkward_rows(spark):
     assert sorted(x for x in kept if x is not None) == sorted(["", "", "", "", "x", "one two three four five six seven eight nine ten eleven twelve", docs.where("doc_id = 5").first()["text"]])
     assert kept.count(None) == 2
     assert linededup.deduplicated(docs.where("false")).count() == 0
+
+
+def test_lines_are_counted_without_hashes():
+    r = random.Random(4)
+    texts = ["".join(r.choice("ab é中 \t\n\x0b  wordx漢字字字字字字") for _ in range(r.randint(0, 300))) for _ in range(400)] + ["", "\n", "a"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    places, lines = linededup.Places(data, offsets), linededup.Lines(data, offsets)
+    assert not hasattr(places, "words") and len(lines.words) == lines.first[-1]
+    for name in ("begin", "end", "owner", "number", "n"):
+        assert getattr(places, name).tolist() == getattr(lines, name).tolist()
+    want = [(i, j) for i, t in enumerate(texts) for j, line in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", line)]
+    assert list(zip(places.owner.tolist(), places.number.tolist(), strict=True)) == want
