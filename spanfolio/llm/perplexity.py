@@ -41,15 +41,23 @@ def _group(language: np.ndarray, models: np.ndarray) -> np.ndarray:
 def _grams(batch, data, offsets, models):
     """Packed grams of all texts, with the number of each one's text. White space counts as one blank."""
     starts, ends, first = T.words(data, offsets, T.NOT_SPACE)
-    stream, begin = K.word_stream(data, starts, ends, 1)
+    lengths = ends - starts
+    # a blank before each word, and one at the end
+    blank = np.append(np.cumsum(lengths + 1) - lengths - 1, int(lengths.sum()) + len(lengths))
+    stream = np.full(int(blank[-1]) + 1, 0x20, np.uint8)
+    of_word = np.ones(len(stream), bool)
+    of_word[blank] = False
+    stream[of_word] = data[T.NOT_SPACE[data]]
     gram = K.packed(stream, ORDER)
     if not len(gram):
         return gram, gram
     # where each text's stream begins; a gram belongs to a text if all its bytes do
-    edge = np.append(begin - 1, len(stream) - 1)[first]
-    owner = np.searchsorted(edge, np.arange(len(gram)), "right") - 1
-    inside = np.arange(len(gram)) + ORDER <= edge[np.minimum(owner + 1, len(edge) - 1)]
-    inside &= owner < len(batch)
+    edge = blank[first]
+    owner = np.repeat(np.arange(len(batch)), np.diff(edge))[: len(gram)]
+    inside = np.ones(ORDER + len(stream), bool)
+    for i in range(1, ORDER):
+        inside[ORDER + edge[1:] - i] = False
+    inside = inside[ORDER:][: len(gram)]
     gram, owner = gram[inside], owner[inside]
     return gram | _group(batch.column("language").to_numpy(), models)[owner] << K.BYTES, owner
 
@@ -66,11 +74,12 @@ def losses(docs: DataFrame, models: np.ndarray) -> DataFrame:
 
 def _repeated(owner: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which entries equal another of the same text, and which of them are not the first."""
-    key = T.mixed(h + owner.astype(np.uint64) * np.uint64(T.MULTIPLIER))
-    _, at, inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    later = np.ones(len(key), bool)
-    later[at] = False
-    return counts[inverse] > 1, later
+    at, which = T.classes(T.mixed(h + owner.astype(np.uint64) * np.uint64(T.MULTIPLIER)))
+    first = np.full(len(at), len(which), np.int64)
+    np.minimum.at(first, which, np.arange(len(which)))
+    later = np.ones(len(which), bool)
+    later[first] = False
+    return np.bincount(which, minlength=len(at))[which] > 1, later
 
 
 def _rules(data, offsets) -> dict[str, np.ndarray]:
@@ -135,12 +144,12 @@ def judged(docs: DataFrame, key: str, text_col: str = "text", lang_col: str = "l
     models = _models(rows)
 
     def asked(piece):
-        return np.unique(_grams(*piece, models)[0])
+        return T.distinct(_grams(*piece, models)[0])
 
-    def used(piece, keys, found):
+    def used(piece, values):
         batch, data, offsets = piece
         gram, owner = _grams(batch, data, offsets, models)
-        loss = found[np.searchsorted(keys, gram)].astype(np.float64)
+        loss = values(gram).astype(np.float64)
         n = np.bincount(owner, minlength=len(batch))
         total = np.bincount(owner, loss, len(batch))
         mean = pa.array(total / np.maximum(n, 1), mask=n == 0)

@@ -111,6 +111,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Each key once, sorted."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys[new]
+
+
+def classes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, in the order of keys, and for every place which of them is there."""
+    by = np.argsort(keys)
+    ordered = keys[by]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    which = np.empty(len(keys), np.int64)
+    which[by] = np.cumsum(new) - 1
+    return by[new], which
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans given in order of their starts and ends."""
     out = np.empty(len(starts), np.uint64)

@@ -38,7 +38,7 @@ def _distinct(data, offsets, salt=None):
     h = T.span_hashes(data, starts, ends)
     if salt is not None:
         h = T.mixed(h + np.repeat(salt, np.diff(first)).astype(np.uint64))
-    _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+    at, inverse = T.classes(h)
     return starts[at], ends[at], inverse, at, first
 
 
@@ -73,7 +73,7 @@ def _keys(data, offsets, rows_of):
     return gram | np.repeat(rows_of[owner] * 2, ends - starts + 1) << K.BYTES, begin, inverse, first
 
 
-def _features(data, offsets, rows_of, keys, found) -> np.ndarray:
+def _features(data, offsets, rows_of, values) -> np.ndarray:
     """For each text, from the log-likelihood ratio toxic over ordinary of each word.
 
     The mean over its words (the length-normalised log-likelihoods, compared), the mean of
@@ -85,7 +85,7 @@ def _features(data, offsets, rows_of, keys, found) -> np.ndarray:
     out = np.zeros((len(n), len(FEATURES)))
     if not len(gram):
         return out
-    ratio = found[np.searchsorted(keys, gram)].astype(np.float64)
+    ratio = values(gram).astype(np.float64)
     llr = np.clip(np.add.reduceat(ratio, begin), -6, 10)[inverse]
     owner = np.repeat(np.arange(len(n)), n)
     some = np.maximum(n, 1)
@@ -112,16 +112,16 @@ def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Calla
     def grams(batches):
         T.return_memory()
         for batch, data, offsets in T.chunks(batches, text_col, T.SMALLER_CHUNK):
-            found = np.unique(_keys(data, offsets, rows_of(batch))[0])
+            found = T.distinct(_keys(data, offsets, rows_of(batch))[0])
             yield found, np.ones(len(found), np.int64)
 
     def asked(piece):
         batch, data, offsets = piece
-        return np.unique(_keys(data, offsets, rows_of(batch))[0])
+        return T.distinct(_keys(data, offsets, rows_of(batch))[0])
 
-    def used(piece, keys, found):
+    def used(piece, values):
         batch, data, offsets = piece
-        return judged(batch, _features(data, offsets, rows_of(batch), keys, found))
+        return judged(batch, _features(data, offsets, rows_of(batch), values))
 
     return gathered(docs, text_col, asked, ratios(language, K.counted(docs.select(*inputs), grams)), used, schema)
 
