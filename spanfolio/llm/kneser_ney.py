@@ -182,8 +182,8 @@ def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
         sums = rows.groupBy("h").agg(F.sum("c").alias("s"), F.sum(F.expr(_TAKEN)).alias("t"))
         sums = materialise(sums, "histories")
         model.grams[n - 1] = materialise(rows.join(sums, "h").select("gram", ((F.col("c") - F.col("d")) / F.col("s")).alias("share")), "shares")
-        model.histories[n - 1] = sums.select("h", _left(F.col("t"), F.col("s")).alias("left"))
-        discard(few)
+        model.histories[n - 1] = materialise(sums.select("h", _left(F.col("t"), F.col("s")).alias("left")), "left")
+        discard(few, sums)
     discard(table)
     return model
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,7 +43,11 @@ def drop_tables(spark: SparkSession) -> None:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete written tables that no plan reads any more, one that ``materialise`` returned each."""
+    """Delete written tables that no plan reads any more, one that ``materialise`` returned each.
+
+    Also has the driver collect its garbage: Spark deletes the shuffle files of finished
+    jobs only then, and by itself a driver may go on for half an hour.
+    """
     for table in tables:
         spark = table.sparkSession
         files = table.inputFiles()
@@ -53,6 +58,9 @@ def discard(*tables: DataFrame) -> None:
             raise ValueError(f"not a table of this application: {folder}")
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:

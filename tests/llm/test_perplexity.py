@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter
 
@@ -8,6 +9,7 @@ from fixtures import SPACE, awkward, corpus, kneser_ney_plainly, written
 from spanfolio.llm import kneser_ney, perplexity
 from spanfolio.llm.queries import QUERIES
 from spanfolio.llm.text import numbered
+from spanfolio.sources.workspace import run_folder
 
 
 def plainly(text):
@@ -119,3 +121,13 @@ def test_awkward_rows(spark):
     rows, key = numbered(awkward(spark))
     assert perplexity.judged(rows, key).count() == rows.count()
     assert perplexity.judged(rows.where("false"), key).count() == 0
+
+
+def test_only_the_model_stays_on_disk(spark):
+    folder = run_folder(spark)
+    there = lambda: Counter(name.rsplit("-", 1)[0] for name in (os.listdir(folder) if os.path.isdir(folder) else []))
+    before = there()
+    counts = spark.createDataFrame([(int.from_bytes(b"abcab"[i : i + 3], "big"), i + 1) for i in range(3)], "gram long, c long")
+    model = kneser_ney.levels(counts, 3)
+    assert there() - before == Counter({"shares": 3, "left": 3})
+    assert all(t.columns == ["h", "left"] for t in model.histories)
