@@ -159,5 +159,5 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: str, text_col: str = "text"
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The rows of ``docs`` without any word of a benchmark window; columns stay as they are."""
     rows, key = T.numbered(docs, id_col, text_col)
-    bad = hits(rows, benchmark, key, text_col, item_col).where("n_hit > 0").select(key)
-    return rows.join(bad, key, "left_anti").select(*docs.columns)
+    bad = materialise(hits(rows, benchmark, key, text_col, item_col).where("n_hit > 0").select(key), "contaminated")
+    return T.without(rows, bad, key).select(*docs.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanfolio.llm.text import compressed, key_filter
-from spanfolio.sources.workspace import materialise
+from spanfolio.sources.workspace import discard, materialise
 
 
 def in_training(id_col: str = "doc_id"):
@@ -54,7 +54,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col
     if taken is None:
         taken = known.withColumn("weight", F.lit(1.0)).withColumn("fold", F.lit(0).cast("long"))
     taken = materialise(taken, "sample-ids")
-    return materialise(texts.join(F.broadcast(taken), id_col).select("text", "label", "fold", "weight"), "sample")
+    texts = materialise(texts.join(F.broadcast(taken), id_col).select("text", "label", "fold", "weight"), "sample")
+    discard(known, taken)
+    return texts
 
 
 class Logistic:

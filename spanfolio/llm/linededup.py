@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanfolio.llm import text as T
-from spanfolio.sources.workspace import materialise
+from spanfolio.sources.workspace import discard, materialise
 
 #: Lines of fewer words stay; near lines are looked for among lines of NEAR words and more.
 LEAST, NEAR = 3, 5
@@ -260,7 +260,9 @@ def kept_lines(rows: DataFrame) -> DataFrame:
     pairs = pairs.join(words, "place").join(words.select(F.col("place").alias("earlier"), F.col("words").alias("other")), "earlier")
     near = _verified(pairs.select(F.col("place.key").alias("key"), F.col("place.number").alias("number"), "words", "other")).distinct()
     kept = first.join(near, ["key", "number"], "left_anti").groupBy("key").agg(F.collect_list("number").alias("kept"))
-    return materialise(kept, "kept-lines")
+    kept = materialise(kept, "kept-lines")
+    discard(first, asked, found)
+    return kept
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -282,6 +284,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = counted(rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")))
     fewer = counts.join(kept, "key", "left").where(F.col("n") > F.coalesce(F.size("kept"), F.lit(0)))
     fewer = materialise(fewer.select(F.col("key").alias(key), F.coalesce("kept", F.array().cast("array<long>")).alias("kept")), "fewer-lines")
+    discard(kept)
     # documents that lose no line needn't meet their numbers: a filter of the others' keys parts them
     bits = T.key_filter(fewer, key)
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanfolio.llm import text as T
 from spanfolio.llm.components import components
-from spanfolio.sources.workspace import materialise
+from spanfolio.sources.workspace import discard, materialise
 
 SHINGLE = 5
 #: Coordinates of a sketch and rows of a band. A pair of similarity 0.8 misses all 30 bands
@@ -161,33 +161,45 @@ def grouped(docs: DataFrame, key: str, text_col: str = "text", percent: int = 85
     buckets = first.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
     buckets = materialise(buckets.join(shared, "bucket"), "buckets")
-    texts = materialise(rows.join(buckets.select(F.col("id").alias("key")).distinct(), "key", "left_semi"), "candidate-texts")
+    candidates = materialise(buckets.select(F.col("id").alias("key")).distinct(), "candidates")
+    texts = materialise(T.among(rows, candidates, "key"), "candidate-texts")
+    discard(candidates)
     own = materialise(_own(texts), "own-shingles")
-    members = materialise(buckets.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
-    centers = members.groupBy("bucket").agg(F.min_by("id", F.struct(F.col("own") / F.col("n"), "id")).alias("center"))
-    members = materialise(members.join(centers, "bucket"), "members")
+    judged = materialise(buckets.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "members")
+    discard(buckets, own)
+    centers = judged.groupBy("bucket").agg(F.min_by("id", F.struct(F.col("own") / F.col("n"), "id")).alias("center"))
+    members = materialise(judged.join(centers, "bucket"), "members")
+    discard(judged)
     ends = F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")
     compared = materialise(_compared(members.where("id <> center").select(*ends).distinct(), texts), "compared")
     similar = f"100 * common >= {int(percent)} * (size_a + size_b - common)"
     links = compared.where(similar).select("a", "b")
-    roots = materialise(components(links), "roots")
+    roots = components(links)
     # what a member shares with the center of its bucket, and its component
     shares = compared.select("a", "b", "common").unionAll(compared.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
     state = members.join(shares.select(F.col("a").alias("id"), F.col("b").alias("center"), "common"), ["id", "center"], "left")
     state = state.withColumn("common", F.coalesce("common", "n")).withColumn("extra", F.greatest(F.col("n") - F.col("common") - F.col("own"), F.lit(0)))
     state = state.join(roots, "id", "left").select("bucket", "id", "n", "common", "extra", F.coalesce("root", "id").alias("root"))
     state = materialise(state, "states")
+    discard(members)
     several = state.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    state = materialise(state.join(several, "bucket"), "open-buckets")
-    x, y = state.alias("x"), state.alias("y")
+    unsettled = materialise(state.join(several, "bucket"), "open-buckets")
+    discard(state)
+    x, y = unsettled.alias("x"), unsettled.alias("y")
     most = "(least(x.common, y.common) + least(x.extra, y.extra))"
     possible = F.expr(f"x.bucket = y.bucket AND x.root < y.root AND 100 * {most} >= {int(percent)} * (x.n + y.n - {most})")
     pairs = x.join(y, possible).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
     more = materialise(_compared(pairs, texts).where(similar).select("a", "b"), "links")
+    discard(unsettled, texts)
     if not more.isEmpty():
-        roots = materialise(components(links.unionAll(more)), "roots")
+        discard(roots)
+        roots = components(links.unionAll(more))
+    discard(compared, more)
     known = first.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(*equal, F.coalesce("root", "rep").alias("component"))
-    return summaries.join(known, equal, "left").select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component"))
+    found = summaries.join(known, equal, "left").select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component"))
+    found = materialise(found, "components")
+    discard(summaries, first, roots)
+    return found
 
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -197,4 +209,4 @@ def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     """
     rows, key = T.numbered(docs, id_col, text_col)
     later = grouped(rows, key, text_col, percent).where(F.col("component") != F.col(key)).select(key)
-    return rows.join(later, key, "left_anti").select(*docs.columns)
+    return T.without(rows, later, key).select(*docs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spanfolio.llm import text as T
 from spanfolio.llm.labelled import Logistic, sample
-from spanfolio.sources.workspace import materialise
+from spanfolio.sources.workspace import discard, materialise
 
 _BYTES = {
     "symbols": b"#*$%&|<>@^~=_{}[]\\",
@@ -164,6 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     marginal is made a probability on the half that a field has not seen.
     With no labels, or one class only, every text with a line has the same score.
     """
+    T.return_memory()  # what the fit needs, the driver has for itself afterwards
     rows = sample(docs, labels, label, max_rows, id_col, text_col)
 
     def run(batches):
@@ -181,6 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: in
     within = sizes.withColumn("upto", upto).where(F.col("upto") <= max_lines).select("label", "drawn")
     got = found.withColumn("drawn", drawn).join(within, ["label", "drawn"]).orderBy("label", "drawn").toArrow()
     totals = {r["label"]: r["w"] for r in found.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    discard(rows, found)
 
     def arrays(name, width):
         column = got.column(name).combine_chunks()

@@ -221,6 +221,32 @@ def held(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (bits[slot >> 6] >> (slot & 63) & 1).astype(bool)
 
 
+def _perhaps(rows: DataFrame, keys: DataFrame, key: str) -> F.Column:
+    """Whether a row's ``key`` may be in ``keys``, by a filter of these."""
+    shared = rows.sparkSession.sparkContext.broadcast(key_filter(keys, key))
+
+    def listed(slot: pa.Array) -> pa.Array:
+        return pa.array(held(shared.value, slot.to_numpy()))
+
+    return F.arrow_udf(listed, "boolean")(key_slot(key))
+
+
+def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rows`` whose ``key`` is in ``keys`` (a written table). Of other rows only those
+    whose bit a listed key has set cross the network."""
+    return rows.where(_perhaps(rows, keys, key)).join(keys.select(key), key, "left_semi").select(*rows.columns)
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rows`` whose ``key`` is not in ``keys`` (a written table).
+
+    Rows that a filter of the keys surely lets go are read past the join, so that of whole
+    texts only those cross the network whose key is listed, or whose bit another key has set.
+    """
+    perhaps = _perhaps(rows, keys, key)
+    return rows.where(~perhaps).unionAll(rows.where(perhaps).join(keys.select(key), key, "left_anti").select(*rows.columns))
+
+
 def compressed(
     rows: DataFrame, text_col: str = "text", names: tuple[str, str] = ("n_bytes", "packed"), key: str | None = None, wanted: np.ndarray | None = None
 ) -> DataFrame:

@@ -1,11 +1,13 @@
 """Small tables with every awkward case, and the definitions written plainly."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
 
 from spanfolio.llm import kneser_ney
+from spanfolio.sources.workspace import run_folder
 
 SPACE = re.compile("[^\x20\x09-\x0d]+")
 LETTERS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -50,6 +52,12 @@ def corpus(seed=0, n=60, vocabulary=40, longest=160):
     return rows
 
 
+def tables_left(spark):
+    """How many written tables of each label there are."""
+    folder = run_folder(spark)
+    return Counter(name.rsplit("-", 1)[0] for name in (os.listdir(folder) if os.path.isdir(folder) else []))
+
+
 def written(spark, folder, documents, benchmark=None, labels=None):
     """A folder of tables as the queries read them."""
     spark.createDataFrame(documents, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")

@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from fixtures import SPACE, awkward, corpus, lowered, sha, written
+from fixtures import SCHEMA, SPACE, awkward, corpus, lowered, sha, tables_left, written
 
 from spanfolio.llm import linededup
 from spanfolio.llm.queries import QUERIES
@@ -125,3 +125,11 @@ def test_lines_are_counted_without_hashes():
         assert getattr(places, name).tolist() == getattr(lines, name).tolist()
     want = [(i, j) for i, t in enumerate(texts) for j, line in enumerate(t.split("\n")) if re.search(r"[^\x20\x09-\x0D]", line)]
     assert list(zip(places.owner.tolist(), places.number.tolist(), strict=True)) == want
+
+
+def test_the_work_is_deleted(spark):
+    docs = spark.createDataFrame(corpus(4, 60), SCHEMA)
+    before = tables_left(spark)
+    out = linededup.deduplicated(docs)
+    assert tables_left(spark) - before == {"fewer-lines": 1}
+    assert out.count() == 60 and out.collect()

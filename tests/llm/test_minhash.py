@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from fixtures import SPACE, awkward, corpus, lowered, written
+from fixtures import SCHEMA, SPACE, awkward, corpus, lowered, tables_left, written
 
 from spanfolio.llm import minhash
+from spanfolio.llm import text as T
 from spanfolio.llm.components import components
 from spanfolio.llm.queries import QUERIES
 from spanfolio.llm.text import utf8
@@ -91,3 +92,25 @@ def test_awkward_rows(spark):
     # the line (null id first) with its copies and its near copy is one; three rows have no words
     assert sorted(len(r["text"] or "") for r in kept.collect()) == [0, 0, 0, 1, 62, 2480]
     assert minhash.distinct(docs.where("false")).count() == 0
+
+
+def test_texts_that_stay_pass_by_the_join_and_the_work_is_deleted(spark):
+    docs = spark.createDataFrame(corpus(4, 60), SCHEMA)
+    before = tables_left(spark)
+    kept = minhash.distinct(docs)
+    assert tables_left(spark) - before == {"components": 1}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("Join LeftAnti") == 1 and plan.count("ArrowEvalPython") >= 2
+    assert {r["doc_id"] for r in kept.collect()} == {g[0] for g in plainly(corpus(4, 60), 80) if g[3]}
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 64])
+def test_without_is_the_anti_join(spark, monkeypatch, bits):
+    monkeypatch.setattr(T, "KEY_BITS", bits)  # a full filter lets every row through to the join
+    rows = spark.createDataFrame([(i, f"t{i}", [i]) for i in (*range(300), *range(20))], "k long, text string, more array<int>")
+    keys = spark.createDataFrame([(i,) for i in range(0, 400, 3)], "k long")
+    want = rows.join(keys, "k", "left_anti")
+    got = T.without(rows, keys, "k")
+    assert got.columns == rows.columns and sorted(got.collect()) == sorted(want.collect())
+    assert sorted(T.without(rows, keys.where("false"), "k").collect()) == sorted(rows.collect())
+    assert sorted(T.among(rows, keys, "k").collect()) == sorted(rows.join(keys, "k", "left_semi").collect())
