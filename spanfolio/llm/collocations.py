@@ -29,6 +29,8 @@ LONGEST = 4
 SHARD_BYTES = 12 << 20
 #: The filter of frequent phrases has at most so many bits, whatever their number.
 FILTER_BITS = 1 << 27
+#: Suffixes whose phrases are grown at once, those of one phrase at least.
+SUFFIXES = 1 << 16
 UNKNOWN = "und"
 
 _INSIDE = np.ones(256, bool)
@@ -95,6 +97,7 @@ def _shards(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
+        T.return_memory()
         held: dict[str, _Shard] = {}
 
         def written(names) -> Iterator[pa.RecordBatch]:
@@ -139,6 +142,7 @@ def _numbered(shards: DataFrame, words: DataFrame) -> DataFrame:
     found = found.agg(F.collect_list("local").alias("local"), F.collect_list("word_id").alias("word_id"))
 
     def run(batches):
+        T.return_memory()
         for batch in batches:
             for row in batch.to_pylist():
                 seq = _unpacked(row["seq"], row["n"])
@@ -165,7 +169,7 @@ class Index:
         key, reach = seq.astype(np.int64), 1
         while reach < depth:
             if reach > 1:
-                _, key = np.unique(key, return_inverse=True)
+                _, key = T.classes(key)
             key = key * (int(key.max()) + 1) + np.roll(key, -reach)
             reach *= 2
         # the order of suffixes that share their first symbols doesn't matter for counts
@@ -184,35 +188,52 @@ class Index:
         return which, symbol, np.searchsorted(self.places, symbol << 32 | low[which]), count, passed - passed[first][which]
 
 
-def phrases(seq: np.ndarray, n: int, frequent) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of ``n`` symbols but 0 in a sequence that begins and ends with 0, a row each, and their counts.
+def _blocks(size: np.ndarray) -> Iterator[slice]:
+    """Intervals of about SUFFIXES suffixes together, one at least."""
+    ends, at = np.cumsum(size), 0
+    while at < len(size):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SUFFIXES, "right")))
+        yield slice(at, upto)
+        at = upto
 
-    Only those whose parts of fewer symbols are ``frequent``: that takes rows of symbols
-    and tells which may be.
-    """
+
+def grown(seq: np.ndarray, n: int, frequent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``phrases``, some at a time: what a step holds beside the index doesn't grow with the sequence."""
     forward = Index(seq, n - 1) if n > 2 else None
     symbol, size = np.unique(seq, return_counts=True)
     low = np.cumsum(size) - size
     words, low, size = symbol[symbol > 0][:, None].astype(np.int64), low[symbol > 0], size[symbol > 0]
     mirrored = low.copy()  # begin of the reversed phrase's interval in the reversed sequence
-    for k in range(1, n):
-        last = k == n - 1
-        here, there = (mirrored, low) if last else (low, mirrored)
-        if last:
-            forward = None
-        which, found, begin, count, lesser = (Index(seq[::-1], n) if last else forward).extended(here, size)
-        other = there[which] + lesser
+    for _ in range(2, n):  # at the left
+        parts = []
+        for some in _blocks(size):
+            which, found, begin, count, lesser = forward.extended(low[some], size[some])
+            longer, other = np.column_stack([found, words[some][which]]), mirrored[some][which] + lesser
+            ok = found > 0
+            ok[ok] = frequent(longer[ok])
+            parts.append((longer[ok], begin[ok], count[ok], other[ok]))
+        if not parts:
+            return
+        words, low, size, mirrored = map(np.concatenate, zip(*parts, strict=True))
+    forward = None
+    backward = Index(seq[::-1], n)
+    for some in _blocks(size):  # at the right
+        which, found, _, count, _ = backward.extended(mirrored[some], size[some])
+        longer = np.column_stack([words[some][which], found])
         ok = found > 0
-        which, found, begin, count, other = which[ok], found[ok], begin[ok], count[ok], other[ok]
-        words = np.column_stack([words[which], found] if last else [found, words[which]])
-        ok = np.ones(len(words), bool)
-        if k > 1 and last:
-            ok = frequent(words[:, 1:])
-        elif k + 1 < n:
-            ok = frequent(words)
-        words, size = words[ok], count[ok]
-        low, mirrored = (other[ok], begin[ok]) if last else (begin[ok], other[ok])
-    return words, size
+        if n > 2:
+            ok[ok] = frequent(longer[ok][:, 1:])
+        yield longer[ok], count[ok]
+
+
+def phrases(seq: np.ndarray, n: int, frequent) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of ``n`` symbols but 0 in a sequence that begins and ends with 0, a row each, and their counts.
+
+    Only those whose parts of fewer symbols are ``frequent``: that takes rows of symbols
+    and tells which may be.
+    """
+    words, counts = zip((np.zeros((0, n), np.int64), np.zeros(0, np.int64)), *grown(seq, n, frequent), strict=True)
+    return np.concatenate(words), np.concatenate(counts)
 
 
 def _slots(words: np.ndarray, bits: int) -> np.ndarray:
@@ -243,6 +264,7 @@ def _counted(sequences: DataFrame, n: int, filters: dict, least: int) -> DataFra
     shared = sequences.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
+        T.return_memory()
         for batch in batches:
             for size, packed in zip(batch.column("n").to_pylist(), batch.column("seq").to_pylist(), strict=True):
                 ids, seq = np.unique(_unpacked(packed, size), return_inverse=True)
@@ -255,11 +277,10 @@ def _counted(sequences: DataFrame, n: int, filters: dict, least: int) -> DataFra
                     slot = _slots(ids[rows], len(table) << 6)
                     return (table[slot >> 6] >> (slot & 63) & 1).astype(bool)
 
-                words, count = phrases(seq, n, frequent)
-                words = np.column_stack([ids[words], np.zeros((len(words), LONGEST - n), np.int64)])
-                columns = words[:, 0] << 32 | words[:, 1], words[:, 2] << 32 | words[:, 3], count
-                for low in range(0, len(count), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[low : low + (1 << 16)], pa.int64()) for c in columns], names=["k1", "k2", "f"])
+                for words, count in grown(seq, n, frequent):
+                    words = np.column_stack([ids[words], np.zeros((len(words), LONGEST - n), np.int64)])
+                    columns = words[:, 0] << 32 | words[:, 1], words[:, 2] << 32 | words[:, 3], count
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "f"])
 
     counts = sequences.mapInArrow(run, "k1 long, k2 long, f long").groupBy("k1", "k2").agg(F.sum("f").alias("f"))
     return materialise(counts.where(F.col("f") >= least).withColumn("n_words", F.lit(n)), "phrases")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -74,3 +75,16 @@ def test_index_lists_every_phrase_with_its_count(n):
         want = Counter(g for i in range(len(seq) - n + 1) if 0 not in (g := tuple(seq[i : i + n])))
         words, count = C.phrases(np.array(seq), n, lambda rows: np.ones(len(rows), bool))
         assert dict(zip(map(tuple, words.tolist()), count.tolist(), strict=True)) == want
+
+
+def test_memory_beside_the_index_is_bounded():
+    r = np.random.default_rng(0)
+    seq = np.minimum(r.zipf(1.3, 300_000), 20_000)
+    seq[r.random(len(seq)) < 0.1] = 0
+    seq[[0, -1]] = 0
+    tracemalloc.start()
+    found = sum(int(count.sum()) for _, count in C.grown(seq, 2, None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == int(((seq[1:] > 0) & (seq[:-1] > 0)).sum())
+    assert peak < 40 * len(seq)  # all pairs at once took 51 bytes a symbol
