@@ -188,10 +188,9 @@ def levels(counts: DataFrame, order: int, shared: int = 0) -> Levels:
     return model
 
 
-def of_groups(model: Levels, low: int, high: int) -> Levels:
-    """The part of the model for groups from ``low`` (even) to below ``high``."""
-    within = lambda column: (F.col(column) >= low << BYTES) & (F.col(column) < high << BYTES)
-    return Levels(model.order, model.shared, [t.where(within("gram")) for t in model.grams], [t.where(within("h")) for t in model.histories])
+def forget(model: Levels) -> None:
+    """Delete the tables of a model."""
+    discard(*model.grams, *model.histories)
 
 
 def probabilities(model: Levels, wanted: DataFrame) -> DataFrame:

@@ -40,7 +40,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that each whole text is toxic, learned from the labels that may be learned from."""
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(in_training()))
-    return _judged(toxicity.scored(docs, model), 0.3)
+    out = toxicity.scored(docs, model)
+    model.discard()
+    return _judged(out, 0.3)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

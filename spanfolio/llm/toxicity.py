@@ -14,6 +14,7 @@ from spanfolio.llm import kneser_ney as K
 from spanfolio.llm import text as T
 from spanfolio.llm.gathered import gathered
 from spanfolio.llm.labelled import Logistic, every, sample
+from spanfolio.sources.workspace import discard, materialise
 
 #: Bytes of a gram; orders up to SHARED are counted for both classes together.
 ORDER, SHARED = 6, 3
@@ -103,11 +104,14 @@ def ratios(language: K.Levels, wanted: DataFrame) -> DataFrame:
     toxic = F.col("gram").bitwiseAND(F.lit(TOXIC)) != 0
     both = wanted.select(F.explode(F.array("gram", F.col("gram").bitwiseOR(F.lit(TOXIC)))).alias("gram"))
     signed = F.when(toxic, F.log("p")).otherwise(-F.log("p"))
-    return K.probabilities(language, both).groupBy(F.col("gram").bitwiseAND(F.lit(~TOXIC)).alias("key")).agg(F.sum(signed).cast("float").alias("value"))
+    found = K.probabilities(language, both)
+    out = materialise(found.groupBy(F.col("gram").bitwiseAND(F.lit(~TOXIC)).alias("key")).agg(F.sum(signed).cast("float").alias("value")), "ratios")
+    discard(found)
+    return out
 
 
-def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Callable, judged: Callable, schema, inputs: list[str]) -> DataFrame:
-    """``judged(batch, features)`` for pieces of ``docs``. ``rows_of(batch)`` tells by which counts each text is judged, from ``inputs``."""
+def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Callable, judged: Callable, schema, inputs: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``judged(batch, features)`` for pieces of ``docs``, and the written ratios that it reads. ``rows_of(batch)`` tells by which counts each text is judged, from ``inputs``."""
 
     def grams(batches):
         T.return_memory()
@@ -123,7 +127,8 @@ def _compared(docs: DataFrame, text_col: str, language: K.Levels, rows_of: Calla
         batch, data, offsets = piece
         return judged(batch, _features(data, offsets, rows_of(batch), values))
 
-    return gathered(docs, text_col, asked, ratios(language, K.counted(docs.select(*inputs), grams)), used, schema)
+    values = ratios(language, K.counted(docs.select(*inputs), grams))
+    return gathered(docs, text_col, asked, values, used, schema), values
 
 
 @dataclass
@@ -131,6 +136,10 @@ class Model:
     language: K.Levels
     weights: Logistic
 
+    def discard(self) -> None:
+        """Delete the tables of the model, when no more texts are to be scored. What ``scored`` has returned doesn't read them."""
+        K.forget(self.language)
+
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Models of toxic and ordinary words, and the weights that turn their comparison into a probability.
@@ -140,17 +149,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     word is predicted from the bytes of the word before it; a rare expression falls back
     to shorter histories, and those of two bytes and fewer are counted for both classes
     together, so it says nothing for either. Weights are fitted on each half of the
-    documents with the models of the other half. With no labels every score is 0.5.
+    documents with the models of the other half. With no labels every score is 0.5. The
+    halves' models are gone before that of all documents is made.
     """
     rows = sample(docs, labels, label, max_rows, id_col, text_col)
-    language = K.levels(_counts(every(docs, labels, label, id_col, text_col)), ORDER, SHARED)
+    counts = materialise(_counts(every(docs, labels, label, id_col, text_col)), "grams")
+    whole = F.col("gram") < 2 << K.BYTES
+    halves = K.levels(counts.where(~whole), ORDER, SHARED)
 
     def judged(batch, out):
         return pa.RecordBatch.from_arrays([*map(pa.array, out.T), batch.column("label"), batch.column("weight")], names=[*FEATURES, "label", "weight"])
 
     other = lambda batch: 2 - batch.column("fold").to_numpy().astype(np.int64)
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", label int, weight double"
-    got = _compared(rows, "text", K.of_groups(language, 2, 6), other, judged, schema, ["text", "fold"]).toArrow().sort_by([(c, "ascending") for c in ("label", *FEATURES)])
+    seen, values = _compared(rows, "text", halves, other, judged, schema, ["text", "fold"])
+    got = seen.toArrow().sort_by([(c, "ascending") for c in ("label", *FEATURES)])
+    discard(values)
+    K.forget(halves)
+    language = K.levels(counts.where(whole), ORDER, SHARED)
+    discard(counts, rows)
     x = np.column_stack([got.column(f).to_numpy() for f in FEATURES])
     return Model(language, Logistic(x, got.column("label").to_numpy(), got.column("weight").to_numpy()))
 
@@ -169,4 +186,4 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "s
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights(out))], names=[*batch.schema.names, name])
 
     every_row = lambda batch: np.full(len(batch), ALL, np.int64)
-    return _compared(kept, text_col, K.of_groups(model.language, 0, 2), every_row, judged, kept.select("*", F.lit(0.0).alias(name)).schema, [text_col])
+    return _compared(kept, text_col, model.language, every_row, judged, kept.select("*", F.lit(0.0).alias(name)).schema, [text_col])[0]

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from fixtures import awkward, kneser_ney_plainly, written
+from fixtures import awkward, kneser_ney_plainly, tables_left, written
 
 from spanfolio.llm import quality_crf, toxicity
 from spanfolio.llm.labelled import Logistic, sample
@@ -125,3 +125,12 @@ def test_logistic_finds_the_weights():
     y = (r.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))).astype(int)
     fitted = Logistic(x, y, np.ones(4000))
     assert abs(fitted.beta[1] - 2) < 0.25 and abs(fitted.beta[2]) < 0.15
+
+
+def test_only_the_ratios_outlive_the_model(spark, tmp_path):
+    documents, labels = labelled_corpus(2, 60)
+    folder = written(spark, tmp_path / "t", documents, labels=labels)
+    before = tables_left(spark)
+    scores = QUERIES["op1_toxicity"](spark, folder)
+    assert tables_left(spark) - before == {"labels": 1, "ratios": 1}
+    assert scores.count() == len(documents) and scores.collect()
