@@ -243,7 +243,8 @@ def kept_lines(rows: DataFrame) -> DataFrame:
     rows = rows.select("key", "text")
     first, asked = _firsts(_lines(rows))
     asked = materialise(asked, "shared-halves")
-    packed = T.compressed(rows, key="key", wanted=T.key_filter(asked, "key"))
+    # shuffled even where the join broadcasts: two functions in one task would hold two workers of each core
+    packed = T.compressed(rows, key="key", wanted=T.key_filter(asked, "key")).repartition("key")
     found = materialise(_neighbourhoods(packed.join(asked, "key")), "neighbourhoods")
     place = F.struct("key", "number")
     words = found.where("kind = 3").select(place.alias("place"), "words")
@@ -303,7 +304,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(lines, pa.int64()), pa.array(np.zeros(len(part), np.int64))], names=[*columns, "n_lines", "n_removed"])
 
     untouched = rows.select(*columns, T.key_slot(key).alias(slot)).mapInArrow(whole, schema)
-    packed = T.compressed(rows, text_col, names, key, bits).join(fewer.withColumnRenamed("kept", "kept" + spare), key, "left")
+    packed = T.compressed(rows, text_col, names, key, bits).repartition(key).join(fewer.withColumnRenamed("kept", "kept" + spare), key, "left")
 
     def run(batches):
         T.return_memory()

@@ -7,6 +7,7 @@ from fixtures import SCHEMA, SPACE, awkward, corpus, lowered, sha, tables_left,
 
 from spanfolio.llm import linededup
 from spanfolio.llm.queries import QUERIES
+from spanfolio.sources.workspace import materialise
 
 
 def near(a, b):
@@ -133,3 +134,42 @@ def test_the_work_is_deleted(spark):
     out = linededup.deduplicated(docs)
     assert tables_left(spark) - before == {"fewer-lines": 1}
     assert out.count() == 60 and out.collect()
+
+
+def functions_in_a_task(plan):
+    """The most Python functions that a task of a plan runs one behind the other."""
+    most, above = 0, []
+    for line in plan.splitlines():
+        node = re.sub(r"^[\s:+-]*(\*\(\d+\) )?", "", line)
+        depth = len(line) - len(node)
+        while above and above[-1][0] >= depth:
+            above.pop()
+        n = 0 if re.match(r"(Broadcast)?Exchange\b", node) else (above[-1][1] if above else 0) + bool(re.match(r"MapInArrow|ArrowEvalPython", node))
+        above.append((depth, n))
+        most = max(most, n)
+    return most
+
+
+def test_no_task_holds_two_workers(spark, monkeypatch):
+    """Small tables are broadcast; texts are unpacked in another task than that which packs them all the same."""
+    plans = []
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, label="table"):
+        plans.append(plan_of(df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(linededup, "materialise", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        documents = corpus(5, 60)
+        out = linededup.deduplicated(spark.createDataFrame(documents, SCHEMA).coalesce(2))
+        plans.append(plan_of(out))
+        got = {r["doc_id"]: r["n_removed"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum("BroadcastHashJoin" in p for p in plans) > 1
+    assert sum(got.values()) > 0 and got == {r[0]: r[2] for r in plainly(sorted(documents))}
+    assert functions_in_a_task("MapInArrow a\n+- *(1) Project\n   +- MapInArrow b") == 2
+    assert max(map(functions_in_a_task, plans)) == 1  # 2 before, where texts were joined with small tables
