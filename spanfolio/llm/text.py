@@ -89,12 +89,16 @@ def chunks(batches, name: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tu
 
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words, and for each text the number of its first word (n + 1 numbers)."""
-    inside = table[data]
+    return runs(table[data], offsets)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words`` of bytes that are marked as ``inside``."""
     start, stop = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
     stop[:-1] &= ~inside[1:]
     edges = offsets[1:-1]
-    edges = edges[(edges > 0) & (edges < len(data))]
+    edges = edges[(edges > 0) & (edges < len(inside))]
     start[edges] = inside[edges]
     stop[edges - 1] = inside[edges - 1]
     starts = np.flatnonzero(start)

@@ -1,7 +1,11 @@
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import SCHEMA, SPACE, awkward, corpus, lowered, sha, tables_left, written
 
@@ -9,6 +13,8 @@ from spanfolio.llm import linededup
 from spanfolio.llm.queries import QUERIES
 from spanfolio.sources.workspace import materialise
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def near(a, b):
     """Levenshtein distance of at most one, by words."""
@@ -173,3 +179,83 @@ def test_no_task_holds_two_workers(spark, monkeypatch):
     assert sum(got.values()) > 0 and got == {r[0]: r[2] for r in plainly(sorted(documents))}
     assert functions_in_a_task("MapInArrow a\n+- *(1) Project\n   +- MapInArrow b") == 2
     assert max(map(functions_in_a_task, plans)) == 1  # 2 before, where texts were joined with small tables
+
+
+def test_lines_longer_than_a_chunk(spark, tmp_path):
+    r = random.Random(6)
+    words = [r.choice(("ab", "cd", "ef")) for _ in range(linededup.CHUNK_BYTES + 5)]
+    letters = [chr(0x4E00 + r.randrange(900)) for _ in range(linededup.CHUNK_BYTES // 2)]
+    third, last = len(words) // 3, len(letters) - 7
+    lines = [
+        " ".join(words),
+        " ".join([*words[:third], "gh", *words[third + 1 :]]),
+        " ".join([*words, "ab"]),
+        " ".join(["gh", "gh", *words[2:]]),
+        "".join(letters),
+        "".join([*letters[:last], *letters[last + 1 :]]),
+        "x".join(["", *letters[:2], "".join(letters[2:])]),
+    ]
+    documents = [(i, "a\n" + x + "\r\n\n", "en", "s", 1) for i, x in enumerate(lines)]
+    got = QUERIES["op4_line_dedup"](spark, written(spark, tmp_path / "t", documents)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+    gone = (1, 2, 5)
+    assert sorted(tuple(x) for x in got.collect()) == [(i, 2, int(i in gone), sha("a\n\n" if i in gone else t)) for i, t, *_ in documents]
+
+
+def test_lines_are_cut_out_of_many_texts_at_once():
+    r = random.Random(7)
+    for _ in range(200):
+        texts = [None if r.random() < 0.1 else "".join(r.choice("ab\n\n \r中") for _ in range(r.choice([0, 1, 2, 5, 30]))) for _ in range(r.randint(1, 12))]
+        raw = [(t or "").encode() for t in texts]
+        data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+        split = [(t or "").split("\n") for t in texts]
+        assert linededup.with_words(data, offsets).tolist() == [sum(bool(SPACE.search(x)) for x in some) for some in split]
+        places = linededup.Places(data, offsets)
+        at = np.array([i for i in range(len(places.n)) if r.random() < 0.5], int)
+        got = linededup._cut(data, offsets, places.begin[at], places.end[at], places.owner[at], pa.array(texts, pa.string()).is_valid())
+        got.validate(full=True)
+        gone = set(zip(places.owner[at].tolist(), places.number[at].tolist(), strict=True))
+        left = ["\n".join(x for j, x in enumerate(some) if (i, j) not in gone) for i, some in enumerate(split)]
+        assert got.to_pylist() == [None if t is None else x for t, x in zip(texts, left, strict=True)]
+
+
+FAULTS = """
+import resource, sys
+sys.path.insert(0, sys.argv[1])
+import numpy as np, pyarrow as pa
+from spanfolio.llm import linededup
+
+class Rows:
+    def mapInArrow(self, run, schema):
+        return run
+
+text = "\\n".join(" ".join(f"word{i * j % 997}" for j in range(9)) for i in range(40))
+batch = pa.record_batch({"key": np.arange(3000), "text": [text] * 3000})
+run = linededup._lines(Rows())
+for _ in range(2):
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    for _ in run([batch]):
+        pass
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / (3000 * len(text) / 2**20))
+"""
+
+
+def test_arrays_of_a_chunk_get_no_pages_of_their_own():
+    """A page fetched anew for each 4 KB of each array was nearly half of the time; a worker takes the same ones again."""
+    done = subprocess.run([sys.executable, "-c", FAULTS, ROOT], capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 1000  # pages for each MB of text
+
+
+def test_texts_are_read_four_times(spark, tmp_path, monkeypatch):
+    """For the lines, the lines asked for, the texts that stay and those that lose lines; not once more to count lines."""
+    plans = []
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, label="table"):
+        plans.append(plan_of(df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(linededup, "materialise", noted)
+    docs = spark.read.parquet(f"{written(spark, tmp_path / 't', corpus(5, 60))}/documents.parquet")
+    plans.append(plan_of(linededup.deduplicated(docs)))
+    reads = [len(re.findall(r"FileScan parquet \[[^\]]*\btext#", p)) for p in plans]
+    assert sum(reads) == 4
